@@ -6,7 +6,9 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -19,11 +21,12 @@ from cohortlens.functions.fixed import SILHOUETTE_TARGET
 from cohortlens.operators import features as FE
 from cohortlens.operators.rows import hash_sample
 from cohortlens.sources.scratch import cached, checkpointed
-from cohortlens.sources.tables import to_driver
+from cohortlens.sources.tables import broadcast_if_small, to_driver
 
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 SEED = 42
 MAX_BROADCAST_CLUSTERS = 1_000
+PARALLEL_FITS = 4
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
     "seconds double, error string"
@@ -67,11 +70,15 @@ def fit(
 
 def silhouette(df: DataFrame, features: str = "pca", prediction: str = "prediction") -> float | None:
     """Mean silhouette with squared Euclidean distance; None for fewer than two clusters."""
-    if df.select(prediction).distinct().limit(2).count() < 2:
-        return None
-    return ClusteringEvaluator(
+    evaluator = ClusteringEvaluator(
         featuresCol=features, predictionCol=prediction, metricName="silhouette"
-    ).evaluate(df)
+    )
+    try:
+        return evaluator.evaluate(df)
+    except Exception as problem:
+        if "Number of clusters must be greater than one" in str(problem):
+            return None
+        raise
 
 
 def fit_and_score(df: DataFrame, algorithm: str, k: int, features: str = "pca") -> Clustering:
@@ -124,10 +131,7 @@ def cost(df: DataFrame, features: str, prediction: str = "prediction") -> DataFr
 
     The means are broadcast once they are known to be few; beyond that they are joined.
     """
-    means = centroids(df, features, prediction)
-    few = means.take(MAX_BROADCAST_CLUSTERS + 1)
-    if len(few) <= MAX_BROADCAST_CLUSTERS:
-        means = F.broadcast(df.sparkSession.createDataFrame(few, means.schema))
+    means = broadcast_if_small(centroids(df, features, prediction), MAX_BROADCAST_CLUSTERS)
     joined = df.select(prediction, features).join(means, prediction)
     distance = C.squared_distance(vector_to_array(F.col(features)), F.col("centre"))
     return joined.agg(F.sum(distance).alias("cost"))
@@ -149,25 +153,32 @@ def sweep(
     features: str = "pca",
     label: str = "",
     k_pca: int | None = None,
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Fit every algorithm for every k on held rows, and list silhouette and cost.
 
-    A fit that fails is listed with its error and does not end the sweep.
+    A few fits run side by side: each is a long series of short jobs, and one alone
+    leaves executors idle between them. A fit that fails is listed with its error and
+    does not end the sweep.
     """
-    found = []
-    with cached(df) as held:
-        for algorithm in algorithms:
-            for k in ks:
-                started = time.perf_counter()
-                try:
-                    result = fit_and_score(held, algorithm, k, features)
-                    score, total, error = (
-                        result.silhouette, float(result.model.summary.trainingCost), None
-                    )
-                except Exception as problem:
-                    score, total, error = None, None, str(problem)[:500]
-                seconds = time.perf_counter() - started
-                found.append((label, k_pca, algorithm, k, score, total, seconds, error))
+    settings = [(algorithm, k) for algorithm in algorithms for k in ks]
+    with cached(df) as held, ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
+        held.count()
+
+        def attempt(setting: tuple[str, int]) -> tuple:
+            algorithm, k = setting
+            started = time.perf_counter()
+            score = total = error = None
+            try:
+                result = fit_and_score(held, algorithm, k, features)
+                score, total = result.silhouette, float(result.model.summary.trainingCost)
+            except Exception as problem:
+                error = str(problem)[:500]
+            seconds = time.perf_counter() - started
+            return (label, k_pca, algorithm, k, score, total, seconds, error)
+
+        run = inheritable_thread_target(df.sparkSession)(attempt)
+        found = pool.map(run, settings, chunksize=1)
     return df.sparkSession.createDataFrame(found, SWEEP_SCHEMA)
 
 

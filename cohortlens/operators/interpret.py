@@ -17,9 +17,11 @@ from cohortlens.functions.fixed import (
 )
 from cohortlens.operators.profile import category_shares
 
-# The windows without partitions below run over cluster profiles, which have one row
-# per cluster, never over the clustered rows.
-ALL_CLUSTERS = Window.partitionBy()
+
+
+def all_clusters():
+    """A window over a whole profile: one row per cluster, never the clustered rows."""
+    return Window.partitionBy()
 
 
 # ---------------------------------------------------------------- profiles
@@ -68,8 +70,8 @@ def normalised(profile: DataFrame, names: Sequence[str]) -> DataFrame:
     """Each mean moved to its place between the smallest and largest cluster."""
     return profile.withColumns(
         {
-            n: (F.col(n) - F.min(n).over(ALL_CLUSTERS))
-            / (F.max(n).over(ALL_CLUSTERS) - F.min(n).over(ALL_CLUSTERS) + 1e-6)
+            n: (F.col(n) - F.min(n).over(all_clusters()))
+            / (F.max(n).over(all_clusters()) - F.min(n).over(all_clusters()) + 1e-6)
             for n in names
         }
     )
@@ -169,7 +171,7 @@ def named_by_level(
     """Name each cluster by where its means lie between the extremes of all clusters."""
 
     def level(column: str) -> Column:
-        low, high = F.min(column).over(ALL_CLUSTERS), F.max(column).over(ALL_CLUSTERS)
+        low, high = F.min(column).over(all_clusters()), F.max(column).over(all_clusters())
         return F.when(high > low, (F.col(column) - low) / (high - low)).otherwise(0.5)
 
     levels = profile.withColumns(

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions.columns import struct_rows, same_keys
-from cohortlens.operators.ranks import quantiles_of_counts, value_counts
-from cohortlens.sources.scratch import written
-from cohortlens.sources.tables import to_driver
+from cohortlens.operators.ranks import exact_quantiles, long_values, value_counts
+from cohortlens.sources.tables import broadcast_if_small, to_driver
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -98,25 +97,7 @@ def numeric_summary(
     Quartiles are exact elements of the data by default.
     """
     names = list(names or columns_of_kind(df, "numeric"))
-    counts = written(value_counts(df, names), "values")
-    weight = F.col("n")
-    middles = counts.groupBy("variable").agg(
-        F.sum("n").alias("n_known"),
-        (F.sum(F.col("value") * weight) / F.sum("n")).alias("mean"),
-        F.min("value").alias("minimum"),
-        F.max("value").alias("maximum"),
-    )
-    # One row per column: broadcasting it is safe whatever the data size.
-    spread = (
-        counts.join(F.broadcast(middles), "variable")
-        .groupBy("variable", "n_known", "mean", "minimum", "maximum")
-        .agg(F.sum(weight * F.pow(F.col("value") - F.col("mean"), 2)).alias("_squares"))
-        .withColumn(
-            "deviation",
-            F.when(F.col("n_known") > 1, F.sqrt(F.col("_squares") / (F.col("n_known") - 1))),
-        )
-    )
-    return spread.join(quantiles_of_counts(counts, QUARTILES, (), interpolate), "variable").select(
+    return exact_quantiles(df, names, QUARTILES, (), interpolate).select(
         "variable", "n_known", "mean", "deviation", "minimum", *QUARTILES, "maximum"
     )
 
@@ -143,17 +124,14 @@ def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, dict]:
 
 def automatic_bins(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
     """Bins per column by the narrower of the Freedman-Diaconis and Sturges widths."""
-    spans = _ranges(df, names)
-    counts = written(value_counts(df, list(spans)), "values")
     bins = {}
-    for row in to_driver(quantiles_of_counts(counts, QUARTILES), max(len(names), 1)):
-        span = spans[row.variable]
-        length = span["hi"] - span["lo"]
+    for row in to_driver(exact_quantiles(df, names, QUARTILES), max(len(names), 1)):
+        length = row.maximum - row.minimum
         if length == 0:
             bins[row.variable] = 1
             continue
-        sturges = length / (math.log2(span["n"]) + 1)
-        spread = 2.0 * (row.q75 - row.q25) * span["n"] ** (-1 / 3)
+        sturges = length / (math.log2(row.n_known) + 1)
+        spread = 2.0 * (row.q75 - row.q25) * row.n_known ** (-1 / 3)
         bins[row.variable] = math.ceil(length / (min(spread, sturges) if spread else sturges))
     return bins
 
@@ -179,22 +157,18 @@ def histogram(
             {"variable": name, "low": low, "width": (high - low) / number, "bins": number,
              "rows": span["n"]}
         )
-    cells = struct_rows(
-        [
-            {
-                "variable": F.lit(f["variable"]),
-                "bin": F.least(
-                    F.floor((F.col(f["variable"]).cast("double") - f["low"]) / f["width"]),
-                    F.lit(f["bins"] - 1),
-                ).cast("int"),
-                "inside": ~F.isnan(F.col(f["variable"]).cast("double")),
-            }
-            for f in frames
-        ]
-    )
+    cells = []
+    for f in frames:
+        value = F.col(f["variable"]).cast("double")
+        place = F.least(F.floor((value - f["low"]) / f["width"]), F.lit(f["bins"] - 1))
+        # The smaller of NULL and a number is the number, so unknown values go first.
+        known = value.isNotNull() & ~F.isnan(value)
+        cells.append(
+            {"variable": F.lit(f["variable"]), "bin": F.when(known, place).cast("int")}
+        )
     counted = (
-        df.select(F.inline(cells))
-        .where(F.col("bin").isNotNull() & F.col("inside"))
+        df.select(F.inline(struct_rows(cells)))
+        .where(F.col("bin").isNotNull())
         .groupBy("variable", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -267,25 +241,24 @@ def box_stats(
     single_task_rows: int | None = None,
 ) -> DataFrame:
     """Quartiles, whisker ends and number of outliers per column (and group)."""
-    group = list(group)
     keys = [*group, "variable"]
-    counts = written(value_counts(df, names, group), "values")
     extra = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
-    quartiles = quantiles_of_counts(counts, QUARTILES, group, **extra)
+    quartiles = exact_quantiles(df, names, QUARTILES, group, **extra)
     spread = F.col("q75") - F.col("q25")
     inside = (F.col("value") >= F.col("q25") - reach * spread) & (
         F.col("value") <= F.col("q75") + reach * spread
     )
     return (
-        counts.alias("c")
-        .join(quartiles.alias("q"), same_keys(keys, "c", "q"))
-        .select(*[F.col(f"c.{k}") for k in keys], "c.value", "c.n", *QUARTILES)
+        long_values(df, names, group)
+        .alias("v")
+        .join(broadcast_if_small(quartiles).alias("q"), same_keys(keys, "v", "q"))
+        .select(*[F.col(f"v.{k}") for k in keys], "v.value", *QUARTILES)
         .groupBy(*keys, *QUARTILES)
         .agg(
-            F.sum("n").alias("n_known"),
+            F.count(F.lit(1)).alias("n_known"),
             F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
             F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).cast("bigint").alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(*keys, "n_known", *QUARTILES, "low_whisker", "high_whisker", "outliers")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.window import Window
 
 from cohortlens.functions.columns import struct_rows, same_keys
 from cohortlens.sources.scratch import written
+from cohortlens.sources.tables import broadcast_if_small
 
 # Up to this many rows a group is summed by one ordinary window task.
 SINGLE_TASK_ROWS = 1_000_000
@@ -68,6 +70,16 @@ def _so_far(window):
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def long_values(df: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """Known values of numeric columns, one row per cell."""
+    cells = struct_rows(
+        [{"variable": F.lit(n), "value": F.col(n).cast("double")} for n in names]
+    )
+    return df.select(*group, F.inline(cells)).where(
+        F.col("value").isNotNull() & ~F.isnan("value")
+    )
+
+
 def value_counts(
     df: DataFrame, names: Sequence[str], group: Sequence[str] = ()
 ) -> DataFrame:
@@ -76,55 +88,155 @@ def value_counts(
     Output: ``group`` columns, ``variable``, ``value``, ``n``; NULL and NaN are left out.
     Equal values are combined before the shuffle.
     """
-    cells = struct_rows(
-        [{"variable": F.lit(n), "value": F.col(n).cast("double")} for n in names]
-    )
     return (
-        df.select(*group, F.inline(cells))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        long_values(df, names, group)
         .groupBy(*group, "variable", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def quantiles_of_counts(
-    counts: DataFrame,
+# ---------------------------------------------------------------- exact quantiles
+# Accuracy of the sketches that bracket a quantile: ranks are off by n / ACCURACY at
+# most. Brackets reach three times as far to either side.
+ACCURACY = 10_000
+MARGIN = 3 / ACCURACY
+
+
+def brackets(
+    df: DataFrame, names: Sequence[str], shares: Sequence[float], group: Sequence[str] = ()
+) -> DataFrame:
+    """Size, moments, extremes and an interval around each wanted quantile.
+
+    One row per column and group; ``low`` and ``high`` hold one bound per share. All of
+    it comes from mergeable aggregates in one pass.
+    """
+    points = [min(max(p + side, 0.0), 1.0) for p in shares for side in (-MARGIN, MARGIN)]
+    parts = []
+    for i, name in enumerate(names):
+        value = F.col(name).cast("double")
+        value = F.when(~F.isnan(value), value)
+        parts += [
+            F.count(value).alias(f"n{i}"),
+            F.avg(value).alias(f"mean{i}"),
+            F.stddev_samp(value).alias(f"deviation{i}"),
+            F.min(value).alias(f"minimum{i}"),
+            F.max(value).alias(f"maximum{i}"),
+            F.percentile_approx(value, points, ACCURACY).alias(f"bounds{i}"),
+        ]
+    rows = [
+        {
+            "variable": F.lit(name),
+            "n_known": F.col(f"n{i}"),
+            "mean": F.col(f"mean{i}"),
+            "deviation": F.col(f"deviation{i}"),
+            "minimum": F.col(f"minimum{i}"),
+            "maximum": F.col(f"maximum{i}"),
+            "low": F.array(*[F.col(f"bounds{i}")[2 * j] for j in range(len(shares))]),
+            "high": F.array(*[F.col(f"bounds{i}")[2 * j + 1] for j in range(len(shares))]),
+        }
+        for i, name in enumerate(names)
+    ]
+    return df.groupBy(*group).agg(*parts).select(*group, F.inline(struct_rows(rows)))
+
+
+def _bracketed_counts(
+    df: DataFrame, names: Sequence[str], bounds: DataFrame, group: Sequence[str], number: int
+) -> DataFrame:
+    """Counts of the values inside the brackets; each gap below a bracket is one row.
+
+    Gap rows have ``exact`` false and stand just before the bracket they lead up to.
+    Everything above the last bracket is left out, so only a small part of the values
+    is ever shuffled.
+    """
+    keys = [*group, "variable"]
+    value, place = F.col("l.value"), F.lit(None)
+    for j in reversed(range(number)):
+        low, high = F.col("b.low")[j], F.col("b.high")[j]
+        inside = F.struct(F.greatest(value, low).alias("value"), (value >= low).alias("exact"))
+        place = F.when(value <= high, inside).otherwise(place)
+    return (
+        long_values(df, names, group).alias("l")
+        .join(bounds.alias("b"), same_keys(keys, "l", "b"))
+        .select(*[F.col(f"l.{k}") for k in keys], place.alias("place"))
+        .where("place is not null")
+        .groupBy(*keys, "place.value", "place.exact")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def exact_quantiles(
+    df: DataFrame,
+    names: Sequence[str],
     shares: dict[str, float],
     group: Sequence[str] = (),
     interpolate: bool = True,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Exact quantiles of a ``value_counts`` table, one column per entry of ``shares``.
+    """Exact quantiles with the statistics of ``brackets``, one row per column and group.
 
-    With ``interpolate`` the value lies linearly between its two neighbours, else it
-    is the smallest element whose cumulative share reaches the requested one.
+    With ``interpolate`` a quantile lies linearly between its two neighbours, else it is
+    the smallest element whose cumulative share reaches the requested one. Sketches
+    narrow the search to a sliver of the values, and the sliver is ranked exactly. Should
+    a rank lie outside its bracket after all, all values are ranked instead.
     """
+    group = list(group)
+    points = sorted(shares.items(), key=lambda item: item[1])
+    found = brackets(df, names, [p for _, p in points], group)
+    bounds = broadcast_if_small(found)
+    counts = written(_bracketed_counts(df, names, bounds, group, len(points)), "ranks")
+    picked = written(
+        _picked(counts, bounds, dict(points), group, interpolate, single_task_rows), "quantiles"
+    )
+    if picked.where("missed").limit(1).count():
+        whole = value_counts(df, names, group).withColumn("exact", F.lit(True))
+        picked = _picked(
+            written(whole, "ranks"), bounds, dict(points), group, interpolate, single_task_rows
+        )
+    return picked.drop("missed")
+
+
+def _picked(
+    counts: DataFrame,
+    bounds: DataFrame,
+    shares: dict[str, float],
+    group: Sequence[str],
+    interpolate: bool,
+    single_task_rows: int,
+) -> DataFrame:
+    """Read the wanted ranks off the counts; ``missed`` tells that one was not found."""
     keys = [*group, "variable"]
-    ranked = running_totals(counts, ["value"], "n", keys, single_task_rows)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_rows"))
+    ranked = running_totals(counts, ["value", "exact"], "n", keys, single_task_rows)
     placed = (
         ranked.alias("r")
-        .join(totals.alias("t"), same_keys(keys, "r", "t"))
-        .select(*[F.col(f"r.{c}") for c in [*keys, "value", "n", "running"]], "t._rows")
+        .join(bounds.alias("b"), same_keys(keys, "r", "b"))
+        .select(
+            *[F.col(f"r.{c}") for c in [*keys, "value", "exact", "n", "running"]], "b.n_known"
+        )
     )
-    first, last = F.col("running") - F.col("n"), F.col("running") - 1
+    first, last, rows = F.col("running") - F.col("n"), F.col("running") - 1, F.col("n_known")
 
     def at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position <= last), F.col("value")))
+        hit = (first <= position) & (position <= last) & F.col("exact")
+        return F.max(F.when(hit, F.col("value")))
 
-    picked, results = [], []
+    parts, results = [], []
     for name, share in shares.items():
         if interpolate:
-            point = (F.col("_rows") - 1) * F.lit(float(share))
-            picked += [
-                at(F.floor(point)).alias(f"_lo_{name}"),
-                at(F.ceil(point)).alias(f"_hi_{name}"),
-                F.max(point - F.floor(point)).alias(f"_part_{name}"),
-            ]
+            point = (rows - 1) * F.lit(float(share))
+            parts += [at(F.floor(point)).alias(f"_lo_{name}"), at(F.ceil(point)).alias(f"_hi_{name}")]
             low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-            results.append((low + (high - low) * F.col(f"_part_{name}")).alias(name))
+            results.append((low + (high - low) * (point - F.floor(point))).alias(name))
         else:
-            point = F.greatest(F.ceil(F.col("_rows") * F.lit(float(share))) - 1, F.lit(0))
-            picked.append(at(point).alias(name))
-            results.append(F.col(name))
-    return placed.groupBy(*keys).agg(*picked).select(*keys, *results)
+            point = F.greatest(F.ceil(rows * F.lit(float(share))) - 1, F.lit(0))
+            parts.append(at(point).alias(f"_at_{name}"))
+            results.append(F.col(f"_at_{name}").alias(name))
+    picks = placed.groupBy(*keys).agg(*parts)
+    # Columns without any known value have no pick and keep their row, with NULLs.
+    every = bounds.drop("low", "high").alias("b").join(
+        picks.alias("p"), same_keys(keys, "b", "p"), "left"
+    )
+    missed = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in shares])
+    return every.select(
+        *[F.col(f"b.{c}") for c in [*keys, "n_known", "mean", "deviation", "minimum", "maximum"]],
+        *results,
+    ).withColumn("missed", missed & (rows > 0))

@@ -23,12 +23,17 @@ def clean_text(
 def cleaning_trace(
     df: DataFrame, key: str, column: str, corrections: dict[str, str] = TYPOS
 ) -> DataFrame:
-    """The text after each cleaning step, one row per step, in one projection."""
-    rows, value = [{"step": F.lit(0), "name": F.lit("original"), "value": F.col(column)}], F.col(column)
-    for i, (name, step) in enumerate(X.cleaning_steps(corrections).items(), start=1):
-        value = step(value)
-        rows.append({"step": F.lit(i), "name": F.lit(name), "value": value})
-    return df.select(key, F.inline(struct_rows(rows)))
+    """The text after each cleaning step, one row per step."""
+    names = ["original", *X.cleaning_steps(corrections)]
+    staged = df.select(key, F.col(column).alias("_s0"))
+    # One projection per step: each stage is computed once and then only referred to.
+    for i, step in enumerate(X.cleaning_steps(corrections).values(), start=1):
+        staged = staged.withColumn(f"_s{i}", step(F.col(f"_s{i - 1}")))
+    rows = [
+        {"step": F.lit(i), "name": F.lit(name), "value": F.col(f"_s{i}")}
+        for i, name in enumerate(names)
+    ]
+    return staged.select(key, F.inline(struct_rows(rows)))
 
 
 # ---------------------------------------------------------------- patterns

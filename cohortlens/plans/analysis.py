@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.fixed import TYPOS
+from cohortlens.functions import text as X
 from cohortlens.operators import clusters as CL
 from cohortlens.operators import features as FE
 from cohortlens.operators import interpret as IN
 from cohortlens.operators import rows as R
 from cohortlens.operators import spelling as SP
 from cohortlens.operators import text as TX
-from cohortlens.functions import text as X
+from cohortlens.sources.scratch import written
 from cohortlens.sources.tables import to_driver
 
 
@@ -46,7 +47,9 @@ def segment(
     ``categories`` are one-hot encoded, ``codes`` only indexed. ``measures`` maps the
     columns to average to the names the report and the namer use.
     """
-    repaired = R.fill_unknown(df, [*categories, *codes])
+    used = R.distinct_names([key], categories, codes, numeric, measures)
+    # Every estimator reads the rows again, so they are prepared and written once.
+    repaired = written(R.fill_unknown(df.select(*used), [*categories, *codes]), "prepared")
     _, ready = FE.fit_features(repaired, categories, codes, numeric, scaler)
     chosen, tried = CL.choose(
         ready.select(key, "scaled"), key, k_pca=k_pca, ks=ks, partitions=partitions

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.sources.scratch import written
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
@@ -47,6 +49,17 @@ def to_driver(df: DataFrame, max_rows: int = 10_000) -> list[Row]:
     return rows
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A join side that is broadcast only after its rows were counted to be few.
+
+    A larger one is written once and left to Spark's own choice of join.
+    """
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        return written(df, "side")
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def head(df: DataFrame, order: str | Sequence[str], rows: int = 5) -> DataFrame:
     """First rows in key order, so that the preview is the same on every run."""
     keys = [order] if isinstance(order, str) else list(order)
