@@ -61,3 +61,13 @@ def same_keys(names: Sequence[str], left: str, right: str) -> Column:
     """Join condition on several keys of two aliased tables, where NULL equals NULL."""
     conditions = [F.col(f"{left}.`{n}`").eqNullSafe(F.col(f"{right}.`{n}`")) for n in names]
     return reduce(lambda a, b: a & b, conditions)
+
+
+def only_known(column: Column) -> Column:
+    """A generator giving the value once, or no row at all where it is NULL.
+
+    A filter on a computed column is moved below the projection that computes it, and
+    the expression is then worked out twice. A generator is not, so costly expressions
+    that decide about their own row go through this one.
+    """
+    return F.explode(F.array_compact(F.array(column)))

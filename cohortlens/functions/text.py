@@ -80,19 +80,6 @@ def cleaning_steps(corrections: dict[str, str] = TYPOS) -> dict[str, Step]:
     }
 
 
-def cleaned(text: Column, corrections: dict[str, str] = TYPOS) -> Column:
-    """All nine steps with fewer passes over the text; equal to applying them in turn.
-
-    Mentions and hashtags go in one pass: what follows a match is never a word
-    character, so removing one kind cannot extend or create a match of the other.
-    Non-letters and blanks go in one pass: both leave one blank per run.
-    """
-    text = F.regexp_replace(text, r"[@#]\w+", "")
-    text = strip_urls(strip_tags(text))
-    text = correct_words(expand_contractions(text), corrections)
-    return lower_trimmed(F.regexp_replace(text, r"[^a-zA-Z]+", " "))
-
-
 def words(text: Column) -> Column:
     """Lower-cased words split at white space; leading blanks give an empty word."""
     return F.split(F.lower(text), r"\s+")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortlens.functions.columns import only_known
 from cohortlens.operators.text import top_words
 
 PIECES = 5
@@ -130,9 +131,9 @@ def nearest_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .select("word", "n", "suggestion", "suggestion_n")
         .distinct()
     )
-    measured = candidates.withColumn(
-        "distance", edits(F.col("word"), F.col("suggestion"))
-    ).where("distance is not null")
+    measured = candidates.select(
+        "*", only_known(edits(F.col("word"), F.col("suggestion"))).alias("distance")
+    )
     best = Window.partitionBy("word").orderBy(
         F.asc("distance"), F.desc("suggestion_n"), F.asc("suggestion")
     )

@@ -77,7 +77,7 @@ def prepare_text(
     corrections = dict(TYPOS)
     if vocabulary is not None:
         corrections |= found_corrections(composed, "text", vocabulary)
-    cleaned = R.drop_blank(TX.clean_text(composed, "text", "clean", corrections), "clean")
+    cleaned = TX.clean_text(composed, "text", "clean", corrections, drop_blank=True)
     split = cleaned.withColumn("words", X.tokens(F.col("clean")))
     return TX.without_stop_words(split, "words", "kept").withColumn(
         "final", F.array_join("kept", " ")

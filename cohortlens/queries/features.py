@@ -161,7 +161,7 @@ LINE = ["l_orderkey", "l_linenumber"]
     f"SELECT l_orderkey, l_linenumber, {', '.join(_minmax_sql(n) for n in PRICES)} FROM lineitem",
 )
 def minmax_scale(spark, folder):
-    items = read_table(spark, folder, "lineitem").select(*LINE, *PRICES)
+    items = read_table(spark, folder, "lineitem", spread=True).select(*LINE, *PRICES)
     _, ready = FE.fit_features(items, numeric=PRICES, scaler="minmax")
     return elements(ready, "scaled", LINE, PRICES, 8)
 
@@ -173,7 +173,7 @@ def minmax_scale(spark, folder):
     + " FROM lineitem",
 )
 def standard_scale(spark, folder):
-    items = read_table(spark, folder, "lineitem").select(*LINE, *PRICES)
+    items = read_table(spark, folder, "lineitem", spread=True).select(*LINE, *PRICES)
     _, ready = FE.fit_features(items, numeric=PRICES, scaler="standard")
     return elements(ready, "scaled", LINE, PRICES, 8)
 

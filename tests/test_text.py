@@ -86,7 +86,7 @@ def test_short_form_equals_the_steps(spark, values):
     stepwise = F.col("text")
     for step in X.cleaning_steps().values():
         stepwise = step(stepwise)
-    both = df.select("text", stepwise.alias("a"), X.cleaned(F.col("text")).alias("b"))
+    both = TX.clean_text(df.select("text", stepwise.alias("a")), "text", "b")
     assert both.where("a <> b").collect() == []
 
 
