@@ -128,7 +128,8 @@ def fit_features(
     """Fit the feature stages and return the model with the transformed rows.
 
     Index-only columns with more labels than the driver should hold are indexed by a
-    join instead. One-hot columns that wide are refused.
+    join instead. One-hot columns that wide are refused. Each estimator reads ``df``
+    again: write a costly view to a table first.
     """
     names = distinct_names(one_hot, index_only)
     numbers = label_numbers(df, names) if names else {}

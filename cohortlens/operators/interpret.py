@@ -98,10 +98,11 @@ def cluster_tokens(
     df: DataFrame, categories: Sequence[str], drugs: Sequence[str], prediction: str = "prediction"
 ) -> DataFrame:
     """Count of each ``column=value`` and each active ``drug_value`` per cluster."""
-    parts = [_token(c, "=", EMPTY_CATEGORY) for c in categories]
-    parts += [_token(d, "_", INACTIVE_DRUG) for d in drugs]
+    parts = [_token(c, "=", EMPTY_CATEGORY).alias(c) for c in categories]
+    parts += [_token(d, "_", INACTIVE_DRUG).alias(d) for d in drugs]
+    wide = df.select(prediction, *parts)
     return (
-        df.select(prediction, F.explode(F.array(*parts)).alias("token"))
+        wide.unpivot([prediction], [*categories, *drugs], "column", "token")
         .where("token is not null")
         .groupBy(prediction, "token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -110,8 +111,10 @@ def cluster_tokens(
 
 def drug_tokens(df: DataFrame, key: str, drugs: Sequence[str]) -> DataFrame:
     """The active drugs of each row as ``drug_value``."""
-    parts = [_token(d, "_", INACTIVE_DRUG) for d in drugs]
-    return df.select(key, F.explode(F.array_compact(F.array(*parts))).alias("token"))
+    wide = df.select(key, *[_token(d, "_", INACTIVE_DRUG).alias(d) for d in drugs])
+    return wide.unpivot([key], list(drugs), "column", "token").where("token is not null").drop(
+        "column"
+    )
 
 
 def _token(name: str, joint: str, none: Sequence[str]) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.functions.columns import struct_rows, same_keys
+from cohortlens.functions.columns import same_keys, struct_rows
 from cohortlens.operators.ranks import exact_quantiles, long_values, value_counts
+from cohortlens.sources.scratch import written
 from cohortlens.sources.tables import broadcast_if_small, to_driver
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -56,11 +57,9 @@ def frequency(df: DataFrame, name: str) -> DataFrame:
 
 def category_counts(df: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Counts of every value of several columns, in one pass over the rows."""
-    cells = struct_rows(
-        [{"variable": F.lit(n), "value": F.col(n).cast("string")} for n in names]
-    )
+    wide = df.select(*group, *[F.col(n).cast("string").alias(n) for n in names])
     return (
-        df.select(*group, F.inline(cells))
+        wide.unpivot(list(group), list(names), "variable", "value")
         .groupBy(*group, "variable", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -71,10 +70,10 @@ def category_shares(
 ) -> DataFrame:
     """Percentage of each value among all rows, or among the rows of its group.
 
-    Totals come from the counts themselves; there is one per variable and group.
+    The counts are written once; the totals, one per variable and group, come from them.
     """
     keys = [*group, "variable"]
-    counts = category_counts(df, names, group)
+    counts = written(category_counts(df, names, group), "category-counts")
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("_rows"))
     return (
         counts.alias("c")
@@ -157,17 +156,16 @@ def histogram(
             {"variable": name, "low": low, "width": (high - low) / number, "bins": number,
              "rows": span["n"]}
         )
-    cells = []
+    places = []
     for f in frames:
         value = F.col(f["variable"]).cast("double")
         place = F.least(F.floor((value - f["low"]) / f["width"]), F.lit(f["bins"] - 1))
         # The smaller of NULL and a number is the number, so unknown values go first.
         known = value.isNotNull() & ~F.isnan(value)
-        cells.append(
-            {"variable": F.lit(f["variable"]), "bin": F.when(known, place).cast("int")}
-        )
+        places.append(F.when(known, place).cast("int").alias(f["variable"]))
     counted = (
-        df.select(F.inline(struct_rows(cells)))
+        df.select(*places)
+        .unpivot([], [f["variable"] for f in frames], "variable", "bin")
         .where(F.col("bin").isNotNull())
         .groupBy("variable", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -240,7 +238,10 @@ def box_stats(
     reach: float = 1.5,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """Quartiles, whisker ends and number of outliers per column (and group)."""
+    """Quartiles, whisker ends and number of outliers per column (and group).
+
+    ``df`` is read three times: write a costly view to a table first.
+    """
     keys = [*group, "variable"]
     extra = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
     quartiles = exact_quantiles(df, names, QUARTILES, group, **extra)

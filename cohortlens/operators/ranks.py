@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlens.functions.columns import struct_rows, same_keys
+from cohortlens.functions.columns import same_keys, struct_rows
 from cohortlens.sources.scratch import written
 from cohortlens.sources.tables import broadcast_if_small
 
@@ -72,10 +72,8 @@ def _so_far(window):
 
 def long_values(df: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Known values of numeric columns, one row per cell."""
-    cells = struct_rows(
-        [{"variable": F.lit(n), "value": F.col(n).cast("double")} for n in names]
-    )
-    return df.select(*group, F.inline(cells)).where(
+    wide = df.select(*group, *[F.col(n).cast("double").alias(n) for n in names])
+    return wide.unpivot(list(group), list(names), "variable", "value").where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
 
@@ -157,8 +155,8 @@ def _bracketed_counts(
     return (
         long_values(df, names, group).alias("l")
         .join(bounds.alias("b"), same_keys(keys, "l", "b"))
+        .where(value <= F.col("b.high")[number - 1])
         .select(*[F.col(f"l.{k}") for k in keys], place.alias("place"))
-        .where("place is not null")
         .groupBy(*keys, "place.value", "place.exact")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -177,7 +175,8 @@ def exact_quantiles(
     With ``interpolate`` a quantile lies linearly between its two neighbours, else it is
     the smallest element whose cumulative share reaches the requested one. Sketches
     narrow the search to a sliver of the values, and the sliver is ranked exactly. Should
-    a rank lie outside its bracket after all, all values are ranked instead.
+    a rank lie outside its bracket after all, all values are ranked instead. ``df`` is
+    read twice: write a costly view to a table first.
     """
     group = list(group)
     points = sorted(shares.items(), key=lambda item: item[1])

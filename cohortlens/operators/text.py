@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import text as X
 from cohortlens.functions.columns import only_known, shortened, struct_rows
 from cohortlens.functions.fixed import EXTRA_STOP_WORDS, PATTERNS, TYPOS
+from cohortlens.sources.scratch import written
 
 
 def clean_text(
@@ -89,36 +90,39 @@ def pattern_report(
 ) -> DataFrame:
     """Rows per pattern with a shortened before and after of the lowest matching key.
 
-    Only the key travels with the aggregate; the texts of the few chosen rows are
-    looked up afterwards, so no long text is carried through the aggregation.
+    One pass finds counts and keys; no text travels with the aggregate. The texts of the
+    few chosen keys are then looked up with a filter that reaches the scan.
     """
-    parts, rows = [], []
+    parts = []
     shown = F.lit(True) if exclude_key is None else F.col(key) != F.lit(exclude_key)
-    for i, (name, pattern) in enumerate(patterns.items()):
+    for i, pattern in enumerate(patterns.values()):
         hit = F.col(column).rlike(pattern)
         parts += [
             F.count_if(hit).alias(f"n{i}"),
             F.min(F.when(hit & shown, F.col(key))).alias(f"k{i}"),
         ]
-        rows.append({"pattern": F.lit(name), "n": F.col(f"n{i}"), "example_key": F.col(f"k{i}")})
-    found = df.agg(*parts).select(F.inline(struct_rows(rows)))
-    texts = df.select(F.col(key).alias("example_key"), F.col(column).alias("_text"))
+    row = df.agg(*parts).first()
+    found = [(name, row[f"n{i}"], row[f"k{i}"]) for i, name in enumerate(patterns)]
+    key_type = df.schema[key].dataType.simpleString()
+    # One line per pattern, so both sides of the join below are that short.
+    lines = df.sparkSession.createDataFrame(
+        found, f"pattern string, n bigint, example_key {key_type}"
+    )
+    keys = list({k for _, _, k in found if k is not None})
+    texts = df.where(F.col(key).isin(keys)).select(
+        F.col(key).alias("example_key"), F.col(column).alias("_text")
+    )
     after = F.lit(None).cast("string")
     for name, pattern in patterns.items():
         blank = " " if name == "non_letters" else ""
-        after = F.when(
-            F.col("pattern") == name, F.regexp_replace("_text", pattern, blank)
-        ).otherwise(after)
-    # ``found`` has one row per pattern, so it is the side to broadcast.
-    matched = F.broadcast(found).join(texts, "example_key")
-    examples = matched.select(
-        "pattern", shortened(F.col("_text"), length).alias("before"),
-        shortened(after, length).alias("after"),
-    )
-    return found.join(examples, "pattern", "left").select(
-        "pattern", "n", "example_key",
-        F.coalesce("before", F.lit("N/A")).alias("before"),
-        F.coalesce("after", F.lit("N/A")).alias("after"),
+        cleaned = F.regexp_replace("_text", pattern, blank)
+        after = F.when(F.col("pattern") == name, cleaned).otherwise(after)
+    return lines.join(texts, "example_key", "left").select(
+        "pattern",
+        "n",
+        "example_key",
+        F.coalesce(shortened(F.col("_text"), length), F.lit("N/A")).alias("before"),
+        F.coalesce(shortened(after, length), F.lit("N/A")).alias("after"),
     )
 
 
@@ -153,24 +157,32 @@ def top_words(counts: DataFrame, rows: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc("word")).limit(rows)
 
 
+def stop_words(extra: Sequence[str] = EXTRA_STOP_WORDS) -> list[str]:
+    return StopWordsRemover.loadDefaultStopWords("english") + list(extra)
+
+
 def without_stop_words(
     df: DataFrame, column: str, out: str = "kept", extra: Sequence[str] = EXTRA_STOP_WORDS
 ) -> DataFrame:
     """Drop English and extra stop-words from an array of words."""
-    stop = StopWordsRemover.loadDefaultStopWords("english") + list(extra)
-    remover = StopWordsRemover(inputCol=column, outputCol=out, stopWords=stop)
+    remover = StopWordsRemover(inputCol=column, outputCol=out, stopWords=stop_words(extra))
     return remover.transform(df)
 
 
-def stop_word_effect(df: DataFrame, column: str, rows: int = 100) -> DataFrame:
-    """The most frequent words with and without stop-words, side by side."""
-    split = df.select(X.tokens(F.col(column)).alias("_words"))
-    kept = without_stop_words(split, "_words", "_kept")
-
-    def ranked(array: str, count: str) -> DataFrame:
-        exploded = kept.select(F.explode(array).alias("word")).where("word <> ''")
-        counts = exploded.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-        return top_words(counts, rows).withColumnRenamed("n", count)
+def stop_word_effect(
+    df: DataFrame, column: str, rows: int = 100, extra: Sequence[str] = EXTRA_STOP_WORDS
+) -> DataFrame:
+    """The most frequent words with and without stop-words, side by side.
 
-    before, after = ranked("_words", "n_before"), ranked("_kept", "n_after")
+    Stop-words go word by word, so they can be taken from the counts: the texts are
+    split and counted once for both sides.
+    """
+    word = F.explode(X.tokens(F.col(column))).alias("word")
+    counts = written(
+        df.select(word).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n")),
+        "word-counts",
+    )
+    kept = counts.where(~F.lower("word").isin(*[w.lower() for w in stop_words(extra)]))
+    before = top_words(counts, rows).withColumnRenamed("n", "n_before")
+    after = top_words(kept, rows).withColumnRenamed("n", "n_after")
     return before.join(after, "word", "full")

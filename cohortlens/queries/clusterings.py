@@ -9,9 +9,9 @@ from cohortlens.operators import clusters as CL
 from cohortlens.operators import features as FE
 from cohortlens.queries import registry
 from cohortlens.queries import sql as S
-from cohortlens.queries.features import elements, filled
+from cohortlens.queries.features import filled, measured
 from cohortlens.queries.repairs import sample_sql
-from cohortlens.sources.encounters import CATEGORICAL, NUMERIC, encounters
+from cohortlens.sources.encounters import CATEGORICAL, NUMERIC
 from cohortlens.sources.tables import read_table, to_driver
 
 add = registry.add
@@ -35,7 +35,7 @@ def mixed_features(spark, folder, scaler: str):
 
 
 def numeric_features(spark, folder):
-    _, ready = FE.fit_features(encounters(spark, folder), numeric=NUMERIC)
+    _, ready = FE.fit_features(measured(spark, folder), numeric=NUMERIC)
     return ready.select("encounter_id", "scaled")
 
 
@@ -322,5 +322,3 @@ def model_comparison(spark, folder):
         F.round("cost", 4).alias("cost"), "meets_target",
     )
 
-
-__all__ = ["elements"]

@@ -13,6 +13,7 @@ from cohortlens.operators import rows as R
 from cohortlens.queries import registry
 from cohortlens.queries import sql as S
 from cohortlens.sources.encounters import CATEGORICAL, DIAGNOSES, NUMERIC, encounters
+from cohortlens.sources.scratch import written
 from cohortlens.sources.tables import read_table
 
 add = registry.add
@@ -21,7 +22,12 @@ PRICES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def filled(spark, folder):
-    return R.fill_unknown(encounters(spark, folder), CODED)
+    """Repaired encounters as a table: the estimators read them several times."""
+    return written(R.fill_unknown(encounters(spark, folder), CODED), "filled")
+
+
+def measured(spark, folder):
+    return written(encounters(spark, folder).select("encounter_id", *NUMERIC), "measured")
 
 
 def _filled_sql() -> str:
@@ -149,7 +155,7 @@ def _minmax_sql(n: str, digits: int = 8) -> str:
     ),
 )
 def numeric_only(spark, folder):
-    _, ready = FE.fit_features(encounters(spark, folder), numeric=NUMERIC)
+    _, ready = FE.fit_features(measured(spark, folder), numeric=NUMERIC)
     return elements(ready, "scaled", ["encounter_id"], NUMERIC, 8)
 
 
@@ -161,7 +167,7 @@ LINE = ["l_orderkey", "l_linenumber"]
     f"SELECT l_orderkey, l_linenumber, {', '.join(_minmax_sql(n) for n in PRICES)} FROM lineitem",
 )
 def minmax_scale(spark, folder):
-    items = read_table(spark, folder, "lineitem", spread=True).select(*LINE, *PRICES)
+    items = read_table(spark, folder, "lineitem").select(*LINE, *PRICES)
     _, ready = FE.fit_features(items, numeric=PRICES, scaler="minmax")
     return elements(ready, "scaled", LINE, PRICES, 8)
 
@@ -173,7 +179,7 @@ def minmax_scale(spark, folder):
     + " FROM lineitem",
 )
 def standard_scale(spark, folder):
-    items = read_table(spark, folder, "lineitem", spread=True).select(*LINE, *PRICES)
+    items = read_table(spark, folder, "lineitem").select(*LINE, *PRICES)
     _, ready = FE.fit_features(items, numeric=PRICES, scaler="standard")
     return elements(ready, "scaled", LINE, PRICES, 8)
 
@@ -188,7 +194,7 @@ SQUARES = " + ".join(f"{n} * {n}" for n in NUMERIC)
 
 @add("fe9_pca_projection")
 def pca_projection(spark, folder):
-    _, ready = FE.fit_features(encounters(spark, folder), numeric=NUMERIC)
+    _, ready = FE.fit_features(measured(spark, folder), numeric=NUMERIC)
     model = FE.fit_pca(ready, 3)
     return elements(model.transform(ready), "pca", ["encounter_id"], ["pc1", "pc2", "pc3"], 6)
 
@@ -201,7 +207,7 @@ def pca_projection(spark, folder):
 )
 def pca_keeps_length(spark, folder):
     """All components together only turn the vectors, so lengths must stay."""
-    _, ready = FE.fit_features(encounters(spark, folder), numeric=NUMERIC)
+    _, ready = FE.fit_features(measured(spark, folder), numeric=NUMERIC)
     turned = FE.fit_pca(ready, len(NUMERIC)).transform(ready)
     return turned.select("encounter_id", norm("pca").alias("squared_length"))
 
@@ -227,7 +233,7 @@ def explained_variance(spark, folder):
 )
 def variance_concentration(spark, folder):
     """Sum of squared shares: it equals that of the covariances over the squared trace."""
-    _, ready = FE.fit_features(encounters(spark, folder), numeric=NUMERIC)
+    _, ready = FE.fit_features(measured(spark, folder), numeric=NUMERIC)
     shares = FE.explained_variance(spark, FE.fit_pca(ready, len(NUMERIC)))
     return shares.agg(
         F.count(F.lit(1)).alias("components"),

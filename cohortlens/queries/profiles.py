@@ -11,7 +11,7 @@ from cohortlens.queries import registry
 from cohortlens.queries import sql as S
 from cohortlens.sources import tables as IO
 from cohortlens.sources.encounters import CATEGORICAL, encounters
-from cohortlens.sources.scratch import cached, fresh_path
+from cohortlens.sources.scratch import cached, fresh_path, written
 
 add = registry.add
 PRICES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -229,7 +229,7 @@ def category_percent(spark, folder):
     f"FROM ({S.unpivoted('lineitem', PRICES, cast='DOUBLE')}) GROUP BY variable",
 )
 def numeric_summary(spark, folder):
-    items = IO.read_table(spark, folder, "lineitem", spread=True)
+    items = IO.read_table(spark, folder, "lineitem")
     return rounded(P.numeric_summary(items, PRICES), ["mean", "deviation"], 7)
 
 
@@ -254,7 +254,7 @@ FROM grid g LEFT JOIN hits h ON h.variable = g.variable AND h.bin = g.bin"""
 
 @add("ag4_histogram_percent", _histogram_sql("lineitem", PRICES, "20"))
 def histogram_percent(spark, folder):
-    items = IO.read_table(spark, folder, "lineitem", spread=True)
+    items = IO.read_table(spark, folder, "lineitem")
     return rounded(P.histogram(items, PRICES, 20), ["lower", "upper", "percent"])
 
 
@@ -288,7 +288,7 @@ FROM grid g JOIN merged m ON m.variable = g.variable
 GROUP BY g.variable, g.point, low, step, total, width""",
 )
 def density_curve(spark, folder):
-    items = IO.read_table(spark, folder, "lineitem", spread=True)
+    items = IO.read_table(spark, folder, "lineitem")
     found = P.density(items, ["l_quantity", "l_extendedprice"])
     return rounded(rounded(found, ["x"]), ["density"], 10)
 
@@ -315,7 +315,7 @@ FROM long l JOIN box b ON {on} GROUP BY {lead}q25, q50, q75"""
     "WITH " + _box_sql(S.unpivoted("lineitem", PRICES, cast="DOUBLE"), []),
 )
 def box_stats(spark, folder):
-    items = IO.read_table(spark, folder, "lineitem", spread=True)
+    items = IO.read_table(spark, folder, "lineitem")
     return rounded(P.box_stats(items, PRICES), ["q25", "q50", "q75"])
 
 
@@ -331,6 +331,7 @@ BOXED = ["time_in_hospital", "num_medications"]
 )
 def box_stats_by_group(spark, folder):
     chosen = R.keep_values(encounters(spark, folder), "gender", ["F", "O"])
+    chosen = written(chosen.select("gender", *BOXED), "boxed")
     return rounded(P.box_stats(chosen, BOXED, ["gender"]), ["q25", "q50", "q75"])
 
 

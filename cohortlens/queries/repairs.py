@@ -13,7 +13,7 @@ from cohortlens.operators import rows as R
 from cohortlens.operators import text as TX
 from cohortlens.queries import registry
 from cohortlens.queries import sql as S
-from cohortlens.sources.encounters import CATEGORICAL, DIAGNOSES, NUMERIC, encounters
+from cohortlens.sources.encounters import CATEGORICAL, DIAGNOSES, encounters
 from cohortlens.sources.tables import read_table
 
 add = registry.add
@@ -26,7 +26,7 @@ def composed(spark, folder):
 
 
 def noisy_documents(spark, folder):
-    documents = read_table(spark, folder, "documents", spread=True).select("doc_id", "text")
+    documents = read_table(spark, folder, "documents", ["doc_id"]).select("doc_id", "text")
     return R.override(documents, "doc_id", 0, "text", NOISY_TEXT)
 
 
@@ -48,7 +48,7 @@ def point_filter(spark, folder):
 
 @add("pf4_exclude_by_key", "SELECT doc_id, lang, source FROM documents WHERE doc_id <> 0")
 def exclude_by_key(spark, folder):
-    documents = read_table(spark, folder, "documents", spread=True).select("doc_id", "lang", "source")
+    documents = read_table(spark, folder, "documents", ["doc_id"]).select("doc_id", "lang", "source")
     return R.exclude(documents, "doc_id", 0)
 
 
@@ -82,7 +82,7 @@ def drop_marker_words(spark, folder):
     "AS word FROM conversations) WHERE length(word) > 2 GROUP BY word",
 )
 def min_word_length(spark, folder):
-    words = TX.explode_words(read_table(spark, folder, "conversations", spread=True), "text")
+    words = TX.explode_words(read_table(spark, folder, "conversations", ["conv_id", "turn"]), "text")
     return R.longer_than(words, "word", 2).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -217,12 +217,12 @@ def hash_sample(spark, folder):
 
 @add("pf20_first_rows", "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 20")
 def first_rows(spark, folder):
-    return R.first_rows(read_table(spark, folder, "documents", spread=True).select("doc_id", "text"), "doc_id", 20)
+    return R.first_rows(read_table(spark, folder, "documents", ["doc_id"]).select("doc_id", "text"), "doc_id", 20)
 
 
 @add("pf21_shorten_text", "SELECT doc_id, substr(text, 1, 100) || '...' AS shown FROM documents")
 def shorten_text(spark, folder):
-    return read_table(spark, folder, "documents", spread=True).select(
+    return read_table(spark, folder, "documents", ["doc_id"]).select(
         "doc_id", C.shortened(F.col("text"), 100).alias("shown")
     )
 
@@ -234,7 +234,7 @@ def shorten_text(spark, folder):
     "ON l.doc_id = d.doc_id",
 )
 def attach_by_key(spark, folder):
-    documents = read_table(spark, folder, "documents", spread=True).select("doc_id", "lang")
+    documents = read_table(spark, folder, "documents", ["doc_id"]).select("doc_id", "lang")
     return R.attach(documents, read_table(spark, folder, "labels"), "doc_id")
 
 
@@ -282,7 +282,7 @@ CLEANED_DOCUMENTS = (
 )
 def keep_lowest_key(spark, folder):
     clean = X.lower_trimmed(X.squeeze_blanks(X.blank_non_letters(F.col("text"))))
-    documents = read_table(spark, folder, "documents", spread=True).select("doc_id", clean.alias("clean"))
+    documents = read_table(spark, folder, "documents", ["doc_id"]).select("doc_id", clean.alias("clean"))
     return R.keep_lowest_key(documents, ["clean"], "doc_id")
 
 
@@ -306,5 +306,3 @@ NAMES = R.distinct_names(CATEGORICAL, ["insulin", "metformin", "readmitted"])
 def distinct_names(spark, folder):
     return P.category_counts(encounters(spark, folder), NAMES)
 
-
-__all__ = ["NUMERIC", "composed", "noisy_documents", "sample_sql"]

@@ -73,7 +73,7 @@ _step_query("tx9_lower_trim", "lower_case", X.lower_trimmed)
     f"SELECT page_id, {gone('html', PATTERNS['html_tags'])} AS text FROM pages",
 )
 def strip_tags(spark, folder):
-    return read_table(spark, folder, "pages", spread=True).select(
+    return read_table(spark, folder, "pages", ["page_id"]).select(
         "page_id", X.strip_tags(F.col("html")).alias("text")
     )
 
@@ -84,7 +84,7 @@ def strip_tags(spark, folder):
     f"{gone('html', PATTERNS['urls'])} AS text FROM pages",
 )
 def strip_urls(spark, folder):
-    return read_table(spark, folder, "pages", spread=True).select(
+    return read_table(spark, folder, "pages", ["page_id"]).select(
         "page_id",
         X.strip_urls(F.concat(F.lit("see "), "url")).alias("link"),
         X.strip_urls(F.col("html")).alias("text"),
@@ -117,7 +117,7 @@ def custom_rule(spark, folder):
     "unnest(string_split_regex(lower(text), '\\s+')) AS word FROM documents) GROUP BY ALL",
 )
 def words_to_rows(spark, folder):
-    documents = read_table(spark, folder, "documents", spread=True)
+    documents = read_table(spark, folder, "documents", ["doc_id"])
     return (
         documents.select("doc_id", F.explode(X.words(F.col("text"))).alias("word"))
         .groupBy("doc_id", "word")
@@ -132,7 +132,7 @@ def words_to_rows(spark, folder):
 )
 def token_array(spark, folder):
     split = X.tokens(F.col("text"))
-    return read_table(spark, folder, "documents", spread=True).select(
+    return read_table(spark, folder, "documents", ["doc_id"]).select(
         "doc_id", F.array_join(split, "|").alias("tokens"), F.size(split).alias("n")
     )
 
@@ -149,7 +149,7 @@ KEPT_SQL = (
     "CAST(len(" + KEPT_SQL.format("text") + ") AS INTEGER) AS n FROM documents",
 )
 def remove_stop_words(spark, folder):
-    split = read_table(spark, folder, "documents", spread=True).select(
+    split = read_table(spark, folder, "documents", ["doc_id"]).select(
         "doc_id", X.tokens(F.col("text")).alias("words")
     )
     return TX.without_stop_words(split, "words").select(
@@ -181,7 +181,7 @@ COUNTS_SQL = (
 @add("ag11_word_frequency", "SELECT word, count(*) AS n FROM ("
      + WORDS_SQL.format("documents") + ") WHERE word <> '' GROUP BY word")
 def word_frequency(spark, folder):
-    return TX.word_counts(read_table(spark, folder, "documents", spread=True), "text")
+    return TX.word_counts(read_table(spark, folder, "documents", ["doc_id"]), "text")
 
 
 @add(
@@ -195,7 +195,7 @@ def word_frequency(spark, folder):
     "FROM before b FULL JOIN after a ON a.word = b.word",
 )
 def stop_word_effect(spark, folder):
-    return TX.stop_word_effect(read_table(spark, folder, "documents", spread=True), "text")
+    return TX.stop_word_effect(read_table(spark, folder, "documents", ["doc_id"]), "text")
 
 
 # ---------------------------------------------------------------- patterns
@@ -296,7 +296,7 @@ def vocabulary(spark, folder):
 
 
 def document_words(spark, folder):
-    return TX.word_counts(read_table(spark, folder, "documents", spread=True), "text", min_length=3)
+    return TX.word_counts(read_table(spark, folder, "documents", ["doc_id"]), "text", min_length=3)
 
 
 @add(

@@ -26,7 +26,7 @@ NUMERIC = [
 
 def item_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their part, reduced to one row per order."""
-    items = read_table(spark, folder, "lineitem", spread=True)
+    items = read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber"])
     parts = read_table(spark, folder, "part")
     flag = F.col("l_returnflag") == "R"
     shipped = F.col("l_linestatus") == "F"

@@ -11,17 +11,19 @@ from pyspark.sql import types as T
 from cohortlens.sources.scratch import written
 
 
-def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(
+    spark: SparkSession, folder: str, name: str, spread_by: Sequence[str] = ()
+) -> DataFrame:
     """One parquet table of a data folder.
 
-    With ``spread``, a table stored in fewer row groups than there are cores is dealt
-    out to all of them, for work that costs more than moving the rows. Tables of many
-    files are read as they lie.
+    A table stored in fewer row groups than there are cores is dealt out to all of them
+    by the key ``spread_by``, for work that costs more than moving the rows. Tables of
+    many files are read as they lie.
     """
     table = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if spread and table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores)
+    if spread_by and table.rdd.getNumPartitions() < cores:
+        return table.repartition(cores, *spread_by)
     return table
 
 
