@@ -26,7 +26,7 @@ from cohortlens.sources.tables import broadcast_if_small, to_driver
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 SEED = 42
 MAX_BROADCAST_CLUSTERS = 1_000
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
     "seconds double, error string"
@@ -258,35 +258,38 @@ def choose(
     ks: Sequence[int] = tuple(range(2, 9)),
     target: float = SILHOUETTE_TARGET,
     fallback_k_pca: int = 15,
+    preferred: str = "kmeans",
     partitions: int | None = None,
 ) -> tuple[Clustering, DataFrame]:
-    """Sweep both algorithms and keep the better; below ``target`` retry with more components.
+    """Sweep both algorithms, and retry with more components when both miss ``target``.
 
-    The retry is kept only when it scores higher. One component fit serves both rounds.
-    Returns the chosen clustering and the table of everything that was tried.
+    The best fit of the ``preferred`` algorithm is chosen, unless the retry beats every
+    first score; then its best fit is, of either algorithm. One component fit serves
+    both rounds. Returns the chosen clustering and the table of everything tried.
     """
     spark = df.sparkSession
     widest = FE.fit_pca(df, max(k_pca, fallback_k_pca), scaled, "_components")
     laid = stable_layout(widest.transform(df), key, ["_components"], partitions)
     available = len(widest.explainedVariance)
 
-    def round_of(components: int) -> DataFrame:
+    def round_of(components: int) -> list[Row]:
         reduced = FE.leading(laid, "_components", "pca", components).select(key, "pca")
-        return sweep(reduced, ks=ks, label="reduced", k_pca=components)
+        return to_driver(sweep(reduced, ks=ks, label="reduced", k_pca=components))
 
     def best(rows: list[Row]) -> Row | None:
         scored = [r for r in rows if r.silhouette is not None]
-        first = {"kmeans": 0, "bisecting": 1}
-        return min(scored, key=lambda r: (-r.silhouette, first[r.algorithm], r.k), default=None)
+        rank = lambda r: (-r.silhouette, r.algorithm != preferred, r.k)
+        return min(scored, key=rank, default=None)
 
-    tried = to_driver(round_of(min(k_pca, available)))
-    winner = best(tried)
+    tried = round_of(min(k_pca, available))
+    highest = best(tried)
+    winner = best([r for r in tried if r.algorithm == preferred]) or highest
     wider = min(fallback_k_pca, available)
-    if (winner is None or winner.silhouette < target) and wider > k_pca:
-        again = to_driver(round_of(wider))
+    if (highest is None or highest.silhouette < target) and wider > k_pca:
+        again = round_of(wider)
         tried += again
         retry = best(again)
-        if retry and (winner is None or retry.silhouette > winner.silhouette):
+        if retry and (highest is None or retry.silhouette > highest.silhouette):
             winner = retry
     if winner is None:
         raise ValueError("no clustering could be fitted")

@@ -63,11 +63,12 @@ def to_driver(df: DataFrame, max_rows: int = 10_000) -> list[Row]:
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """A join side that is broadcast only after its rows were counted to be few.
 
-    A larger one is written once and left to Spark's own choice of join.
+    It is computed and written once; a larger one is left to Spark's own choice of join.
     """
-    rows = df.take(max_rows + 1)
+    side = written(df, "side")
+    rows = side.take(max_rows + 1)
     if len(rows) > max_rows:
-        return written(df, "side")
+        return side
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 

@@ -149,15 +149,35 @@ def test_grid_skips_what_cannot_be_fitted(spark, filled):
     assert {(r.k_pca, r.error is None) for r in rows} == {(2, True), (10, False)}
 
 
-def test_choice_keeps_the_better_round(ready):
-    chosen, tried = CL.choose(ready, "encounter_id", ks=(2, 3), target=2.0, partitions=4)
+def test_choice_and_retry(ready, monkeypatch):
+    kept, tried = CL.choose(ready, "encounter_id", ks=(2, 3), target=-1.0, partitions=4)
     rows = tried.collect()
-    assert {r.k_pca for r in rows} == {3, 15}
-    assert chosen.silhouette == pytest.approx(max(r.silhouette for r in rows), abs=1e-9)
-    kept, first = CL.choose(ready, "encounter_id", ks=(2, 3), target=-1.0, partitions=4)
-    assert {r.k_pca for r in first.collect()} == {3}
+    assert {r.k_pca for r in rows} == {3} and kept.algorithm == "kmeans"
+    assert kept.silhouette == pytest.approx(
+        max(r.silhouette for r in rows if r.algorithm == "kmeans"), abs=1e-9
+    )
     assert kept.rows.count() == ready.count()
 
+    def scores(first: float, retry: float):
+        def fake(df, ks, label, k_pca):
+            score = {3: first, 15: retry}[k_pca]
+            lines = [
+                (label, k_pca, a, k, score + 0.01 * (a == "bisecting"), 1.0, 0.0, None)
+                for a in ("kmeans", "bisecting") for k in ks
+            ]
+            return df.sparkSession.createDataFrame(lines, CL.SWEEP_SCHEMA)
+        return fake
+
+    for first, retry, expected in [
+        (0.7, 0.9, ("kmeans", 3)),      # target met: no second round
+        (0.3, 0.5, ("bisecting", 15)),  # second round better
+        (0.5, 0.3, ("kmeans", 3)),      # second round worse
+    ]:
+        monkeypatch.setattr(CL, "sweep", scores(first, retry))
+        chosen, tried = CL.choose(ready, "encounter_id", ks=(2,), partitions=4)
+        assert (chosen.algorithm, FE.vector_size(chosen.rows, "pca")) == expected
+        assert {r.k_pca for r in tried.collect()} == ({3} if first >= 0.6 else {3, 15})
+
 
 # ---------------------------------------------------------------- names
 def test_rank_of_ties(spark):
