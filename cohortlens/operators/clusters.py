@@ -26,7 +26,7 @@ from cohortlens.sources.tables import broadcast_if_small, to_driver
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 SEED = 42
 MAX_BROADCAST_CLUSTERS = 1_000
-PARALLEL_FITS = 8
+PARALLEL_FITS = 4
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
     "seconds double, error string"

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import text as X
@@ -67,13 +67,21 @@ def cleaning_trace(
 
 # ---------------------------------------------------------------- patterns
 def pattern_counts(
-    df: DataFrame, column: str, patterns: dict[str, str] = PATTERNS
+    df: DataFrame,
+    column: str,
+    patterns: dict[str, str] = PATTERNS,
+    example_from: Column | None = None,
 ) -> DataFrame:
-    """Rows matching each pattern and the smallest first match, in a single pass."""
+    """Rows matching each pattern and an example match, in a single pass.
+
+    The example is the first match in the row ``example_from`` is true for, or else the
+    smallest first match of all rows.
+    """
     parts, rows = [], []
     for i, (name, pattern) in enumerate(patterns.items()):
         found = X.first_match(F.col(column), pattern)
-        parts += [F.count(found).alias(f"n{i}"), F.min(found).alias(f"m{i}")]
+        shown = found if example_from is None else F.when(example_from, found)
+        parts += [F.count(found).alias(f"n{i}"), F.min(shown).alias(f"m{i}")]
         rows.append(
             {"pattern": F.lit(name), "n": F.col(f"n{i}"), "example": F.col(f"m{i}")}
         )

@@ -187,8 +187,8 @@ def scaler_grid(spark, folder):
     )
 
 
-@add("cl12_full_grid")
-def full_grid(spark, folder):
+@add("cl12_feature_set_grid")
+def feature_set_grid(spark, folder):
     sets = _feature_sets(spark, folder, "minmax", "standard", "numeric")
     found = CL.grid(sets, "encounter_id", [5, 10], [2, 4], partitions=PARTITIONS)
     return scored(found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlens.functions import text as X
-from cohortlens.functions.fixed import CONTRACTIONS, EXTRA_STOP_WORDS, PATTERNS, TYPOS
+from cohortlens.functions.fixed import CONTRACTIONS, CONTRACTIONS_SHORT, EXTRA_STOP_WORDS, PATTERNS, TYPOS
 from cohortlens.operators import spelling as SP
 from cohortlens.operators import text as TX
 from cohortlens.queries import registry
@@ -22,8 +22,8 @@ def gone(text: str, pattern: str, by: str = "") -> str:
     return f"regexp_replace({text}, {S.quoted(pattern)}, '{by}', 'g')"
 
 
-def contractions_sql(text: str) -> str:
-    for short, full in CONTRACTIONS:
+def contractions_sql(text: str, rules: list[tuple[str, str]] = CONTRACTIONS) -> str:
+    for short, full in rules:
         text = f"replace({text}, {S.quoted(short)}, '{full}')"
     return text
 
@@ -68,6 +68,30 @@ _step_query("tx8_squeeze_blanks", "blanks", X.squeeze_blanks)
 _step_query("tx9_lower_trim", "lower_case", X.lower_trimmed)
 
 
+@add(
+    "tx5_short_rules",
+    S.on_noisy(f"SELECT doc_id, {contractions_sql('text', CONTRACTIONS_SHORT)} AS text FROM noisy"),
+)
+def short_rules(spark, folder):
+    expanded = X.expand_contractions(F.col("text"), CONTRACTIONS_SHORT)
+    return noisy_documents(spark, folder).withColumn("text", expanded)
+
+
+def _anywhere_sql(text: str) -> str:
+    for wrong, right in TYPOS.items():
+        text = f"replace({text}, '{wrong}', '{right}')"
+    return text
+
+
+@add(
+    "tx6_correct_anywhere",
+    S.on_noisy(f"SELECT doc_id, {_anywhere_sql('text')} AS text FROM noisy"),
+)
+def correct_anywhere(spark, folder):
+    corrected = X.correct_words(F.col("text"), whole_word=False)
+    return noisy_documents(spark, folder).withColumn("text", corrected)
+
+
 @add(
     "tx3_strip_tags",
     f"SELECT page_id, {gone('html', PATTERNS['html_tags'])} AS text FROM pages",
@@ -213,6 +237,21 @@ def pattern_counts(spark, folder):
     return TX.pattern_counts(noisy_documents(spark, folder), "text")
 
 
+@add(
+    "ag9_pattern_counts_for_row",
+    S.on_noisy(
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS pattern, count(m) AS n, max(CASE WHEN doc_id = 0 THEN m END) AS example "
+            f"FROM (SELECT doc_id, nullif(regexp_extract(text, {S.quoted(p)}, 0), '') AS m FROM noisy)"
+            for n, p in PATTERNS.items()
+        )
+    ),
+)
+def pattern_counts_for_row(spark, folder):
+    documents = noisy_documents(spark, folder)
+    return TX.pattern_counts(documents, "text", example_from=F.col("doc_id") == 0)
+
+
 def _report_sql(name: str, pattern: str) -> str:
     by = " " if name == "non_letters" else ""
     hit = f"regexp_matches(text, {S.quoted(pattern)})"

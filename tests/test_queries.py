@@ -7,7 +7,7 @@ from tests.compare import differences
 
 SQL = entrypoint.oracle_sql()
 # Fits have no SQL; the long grids are left to the full comparison run.
-LONG = {"cl11_scaler_grid", "cl12_full_grid", "cl9_scaler_comparison"}
+LONG = {"cl11_scaler_grid", "cl12_feature_set_grid", "cl9_scaler_comparison"}
 ROWS_ONLY = [n for n in entrypoint.queries() if n not in SQL and n not in LONG]
 
 

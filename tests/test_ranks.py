@@ -61,6 +61,15 @@ def test_quantiles_equal_numpy(skewed, single_task_rows):
         assert row.n_known == len(part)
 
 
+def test_many_groups_are_joined_without_broadcast(skewed, monkeypatch):
+    _, df = skewed
+    few = K.exact_quantiles(df, ["x", "y"], P.QUARTILES, ["g"])
+    original = K.broadcast_if_small
+    monkeypatch.setattr(K, "broadcast_if_small", lambda side: original(side, 1))
+    many = K.exact_quantiles(df, ["x", "y"], P.QUARTILES, ["g"])
+    assert few.exceptAll(many).count() == 0 and many.count() == few.count()
+
+
 def test_a_missed_bracket_is_made_good(skewed, monkeypatch):
     frame, df = skewed
     original = K.brackets
