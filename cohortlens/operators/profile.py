@@ -245,6 +245,8 @@ def box_stats(
     keys = [*group, "variable"]
     extra = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
     quartiles = exact_quantiles(df, names, QUARTILES, group, **extra)
+    # Without a group there is one row per column.
+    side = broadcast_if_small(quartiles) if group else F.broadcast(quartiles)
     spread = F.col("q75") - F.col("q25")
     inside = (F.col("value") >= F.col("q25") - reach * spread) & (
         F.col("value") <= F.col("q75") + reach * spread
@@ -252,7 +254,7 @@ def box_stats(
     return (
         long_values(df, names, group)
         .alias("v")
-        .join(broadcast_if_small(quartiles).alias("q"), same_keys(keys, "v", "q"))
+        .join(side.alias("q"), same_keys(keys, "v", "q"))
         .select(*[F.col(f"v.{k}") for k in keys], "v.value", *QUARTILES)
         .groupBy(*keys, *QUARTILES)
         .agg(

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from cohortlens.functions.columns import same_keys, struct_rows
 from cohortlens.sources.scratch import written
-from cohortlens.sources.tables import broadcast_if_small
+from cohortlens.sources.tables import broadcast_if_small, to_driver
 
 # Up to this many rows a group is summed by one ordinary window task.
 SINGLE_TASK_ROWS = 1_000_000
@@ -181,19 +181,25 @@ def exact_quantiles(
     group = list(group)
     points = sorted(shares.items(), key=lambda item: item[1])
     found = brackets(df, names, [p for _, p in points], group)
-    bounds = broadcast_if_small(found)
+    bounds = broadcast_if_small(found) if group else F.broadcast(_one_per_column(found, names))
     counts = written(_bracketed_counts(df, names, bounds, group, len(points)), "ranks")
-    picked = written(
-        _picked(counts, bounds, dict(points), group, interpolate, single_task_rows), "quantiles"
-    )
+
+    def read_off(table: DataFrame) -> DataFrame:
+        picked = _picked(table, bounds, dict(points), group, interpolate, single_task_rows)
+        return written(picked, "quantiles") if group else _one_per_column(picked, names)
+
+    picked = read_off(counts)
     if picked.where("missed").limit(1).count():
         whole = value_counts(df, names, group).withColumn("exact", F.lit(True))
-        picked = _picked(
-            written(whole, "ranks"), bounds, dict(points), group, interpolate, single_task_rows
-        )
+        picked = read_off(written(whole, "ranks"))
     return picked.drop("missed")
 
 
+def _one_per_column(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A result with one row per column, kept as a local table."""
+    return df.sparkSession.createDataFrame(to_driver(df, len(names)), df.schema)
+
+
 def _picked(
     counts: DataFrame,
     bounds: DataFrame,
