@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import licenses, merkle, mixture, packing, shards, simhash, suffixes, toxicity
+from cohortlens.llm import extraction, licenses, merkle, mixture, outliers, packing, shards, simhash, suffixes, toxicity
 from cohortlens.llm.common import table
 from cohortlens.queries import Registry
 
@@ -26,6 +26,16 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@registry.add("op4_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.quality(table(spark, folder, "documents"))
+
+
+@registry.add("op5_html_extraction")
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 @registry.add("op6_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
