@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,14 +151,21 @@ def links(values: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     Connected fingerprints are exactly those connected by pairs at most ``distance`` bits
     apart; of the pairs themselves only spanning edges of each group are kept.
     """
-    session = values.sparkSession
     rows = _divisions(distance)
     rest = values.select("fp", F.lit(0).alias("node"))
     found = None
     for level in range(1, LEVELS + 1):
-        division = session.createDataFrame([r[1:] for r in rows if r[0] == level], "node int, child int, mask long")
-        keyed = rest.join(F.broadcast(division), "node").select(
-            F.col("child").alias("node"), F.col("fp").bitwiseAND(F.col("mask")).alias("block"), "fp"
+        # One row per child of the row's node, at most 3 * 3 ** (level - 1) of them in all.
+        children = F.array(
+            *(
+                F.struct(F.lit(node).alias("parent"), F.lit(child).alias("node"), F.lit(mask).cast("long").alias("mask"))
+                for at, node, child, mask in rows
+                if at == level
+            )
+        )
+        own = F.filter(children, lambda c: c["parent"] == F.col("node"))
+        keyed = rest.select("fp", F.explode(own).alias("child")).select(
+            F.col("child.node").alias("node"), F.col("fp").bitwiseAND(F.col("child.mask")).alias("block"), "fp"
         )
         sizes = keyed.groupBy("node", "block").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         keyed = written(keyed.join(sizes, ["node", "block"]), "blocks")
@@ -174,15 +182,42 @@ def links(values: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
 
 
 def _joined(keyed: DataFrame, distance: int) -> DataFrame:
-    groups = keyed.groupBy("node", "block").agg(F.collect_list("fp").alias("fps")).select("fps")
-
-    def make(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for (fps,) in rows:
-            values = np.sort(np.array(fps, np.int64).view(np.uint64))
-            for a, b in trie_edges(values, distance):
-                yield signed(a), signed(b)
-
-    return map_rows(groups, make, T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+    """Edges of all groups. Rows of a group arrive one after the other; one group is held."""
+    dealt = keyed.select("node", "block", "fp").repartition("node", "block").sortWithinPartitions("node", "block", "fp")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((3, 0), np.int64)
+        for batch in batches:
+            columns = [column.to_numpy(zero_copy_only=False).astype(np.int64) for column in batch.columns]
+            held = np.concatenate([held, np.stack(columns)], axis=1)
+            last = held[:, -1:] if held.shape[1] else held
+            done = int(np.flatnonzero((held[:2] != last[:2]).any(axis=0)).max(initial=-1)) + 1
+            if done:
+                yield _edges(held[:, :done], distance)
+                held = held[:, done:]
+        if held.shape[1]:
+            yield _edges(held, distance)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _edges(rows: np.ndarray, distance: int) -> pa.RecordBatch:
+    """Edges of whole groups, given as node, block and fingerprint in order."""
+    new = np.r_[True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)]
+    starts = np.flatnonzero(new)
+    ends = np.r_[starts[1:], rows.shape[1]]
+    values = rows[2].view(np.uint64)
+    two = starts[ends - starts == 2]
+    near = two[np.bitwise_count(values[two] ^ values[two + 1]) <= distance]
+    found = [rows[2][[near, near + 1]].T]
+    for low, high in zip(starts.tolist(), ends.tolist(), strict=True):
+        if high - low > 2:
+            edges = list(trie_edges(np.sort(values[low:high]), distance))
+            if edges:
+                found.append(np.array(edges, np.uint64).view(np.int64))
+    a, b = np.concatenate(found).T
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def near_duplicates(
@@ -200,6 +235,11 @@ def near_duplicates(
     give equal rows. Columns other than the id and the text are not read. An empty table gives
     an empty table.
     """
+    return _groups(docs, id_col, text_col, width, distance).drop("root")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int) -> DataFrame:
+    """The same rows with ``root``, which tells groups apart even where ids repeat."""
     hashed = written(fingerprints(docs, id_col, text_col, width), "fingerprints")
     values = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")), "values")
     roots = components(links(values, distance)).select(F.col("node").alias("fp"), "root")
@@ -207,9 +247,9 @@ def near_duplicates(
         values.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted"
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
+    classes = written(rooted.join(smallest, "root").select("fp", "component_id", "root"), "classes")
     return hashed.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
     )
 
 
@@ -219,7 +259,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The one with the smallest id stays. Of rows that share that id, too, one stays. Rows without
     an id are never a group's first unless the whole group has none; then one of them stays.
     """
-    classes = written(near_duplicates(docs, id_col, text_col), "groups")
+    classes = written(_groups(docs, id_col, text_col, SHINGLE_WORDS, MAX_DISTANCE), "groups")
     again = written(
         classes.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")), "again"
     )
@@ -240,11 +280,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _one_each(rows: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows that share their id with other rows: the fingerprint tells their groups apart."""
     own = rows.select(F.struct("*").alias("row"), _hex_fingerprint(F.col(text_col)).alias("own"))
-    groups = classes.select("fingerprint", "component_id").distinct()
+    groups = classes.select("fingerprint", "component_id", "root").distinct()
     return (
         own.join(groups, own["own"] == groups["fingerprint"])
         .filter(F.col(f"row.{id_col}").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.first("row").alias("row"))
         .select("row.*")
     )
