@@ -75,32 +75,20 @@ def components(edges: DataFrame) -> DataFrame:
     row per edge; nothing passes through the driver but three sums per round.
     """
     pairs = written(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "edges",
+        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges"
     )
-    before = None
     while True:
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (
-            both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        )
-        large = written(large.filter("a <> b"), "large-star")
+        # Each edge gives one: neighbours larger than a node move to its smallest neighbour.
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = written(large, "large-star")
+        if _signature(large) == _signature(pairs):
+            break  # the large star leaves stars, and nothing else, as they are
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        pairs = written(
-            moved.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "small-star"
-        )
-        now = tuple(
-            pairs.agg(
-                F.count(F.lit(1)),
-                F.bit_xor(F.xxhash64("a", "b")),
-                F.sum(F.hash("a", "b").cast("long")),
-            ).first()
-        )
-        if now == before:
-            break
-        before = now
+        pairs = written(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+    pairs = pairs.distinct()
     roots = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
 
@@ -134,6 +122,12 @@ def numbered(rows: DataFrame, group: list[str], order: list[str], total: int) ->
     )
 
 
+def _signature(pairs: DataFrame) -> tuple:
+    """Count and order-free sums of a table of pairs."""
+    digest = F.xxhash64("a", "b")
+    return tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(digest), F.sum(F.shiftright(digest, 16))).first())
+
+
 def map_arrays(
     df: DataFrame, make: Callable[[Iterable[tuple]], Iterable[tuple]], schema: T.StructType, rows: int = 1 << 16
 ) -> DataFrame:
