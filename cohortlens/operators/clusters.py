@@ -13,10 +13,11 @@ from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import columns as C
+from cohortlens.functions.columns import struct_rows
 from cohortlens.functions.fixed import SILHOUETTE_TARGET
 from cohortlens.operators import features as FE
 from cohortlens.operators.rows import hash_sample
@@ -140,9 +141,45 @@ def cost(df: DataFrame, features: str, prediction: str = "prediction") -> DataFr
 def silhouettes(
     df: DataFrame, features: str, labelings: Sequence[str]
 ) -> DataFrame:
-    """Silhouette of several given labelings of the same rows."""
-    scores = [(name, silhouette(df, features, name)) for name in labelings]
-    return df.sparkSession.createDataFrame(scores, "labeling string, silhouette double")
+    """Silhouette of several given labelings of the same rows; NULL below two clusters.
+
+    All labelings share two passes: sizes, vector sums and squared lengths per labeling and
+    cluster, then the mean score. A row's mean squared distance to a cluster follows from
+    these sums, so no pair of rows is formed.
+    """
+    cells = struct_rows(
+        [{"labeling": F.lit(n), "cluster": F.col(n).cast("string")} for n in labelings]
+    )
+    point = vector_to_array(F.col(features))
+    squares = F.aggregate(point, F.lit(0.0), lambda s, v: s + v * v)
+    rows = df.select(point.alias("point"), features, squares.alias("length"), F.inline(cells))
+    rows = rows.where("cluster is not null")
+    sums = rows.groupBy("labeling", "cluster").agg(
+        F.count(F.lit(1)).alias("n"),
+        vector_to_array(Summarizer.sum(F.col(features))).alias("total"),
+        F.sum("length").alias("lengths"),
+    )
+    sides = sums.groupBy("labeling").agg(
+        F.collect_list(F.struct("cluster", "n", "total", "lengths")).alias("clusters")
+    )
+
+    def mean_distance(c: Column) -> Column:
+        products = F.zip_with("point", c["total"], lambda x, y: x * y)
+        dot = F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
+        return F.col("length") + (c["lengths"] - 2 * dot) / c["n"]
+
+    own = F.filter("clusters", lambda c: c["cluster"] == F.col("cluster"))[0]
+    others = F.filter("clusters", lambda c: c["cluster"] != F.col("cluster"))
+    a = mean_distance(own) * own["n"] / (own["n"] - 1)
+    b = F.array_min(F.transform(others, mean_distance))
+    measured = rows.join(broadcast_if_small(sides, MAX_BROADCAST_CLUSTERS), "labeling").select(
+        "labeling", own["n"].alias("n"), F.size("clusters").alias("k"), a.alias("a"), b.alias("b")
+    )
+    larger = F.greatest("a", "b")
+    score = F.when((F.col("n") == 1) | (larger == 0), 0.0).otherwise((F.col("b") - F.col("a")) / larger)
+    scores = measured.groupBy("labeling").agg(F.avg(F.when(F.col("k") > 1, score)).alias("silhouette"))
+    names = df.sparkSession.createDataFrame([(n,) for n in labelings], "labeling string")
+    return names.join(F.broadcast(scores), "labeling", "left")
 
 
 # ---------------------------------------------------------------- sweeps
@@ -173,7 +210,7 @@ def sweep(
                 result = fit_and_score(held, algorithm, k, features)
                 score, total = result.silhouette, float(result.model.summary.trainingCost)
             except Exception as problem:
-                error = str(problem)[:500]
+                error = str(problem)
             seconds = time.perf_counter() - started
             return (label, k_pca, algorithm, k, score, total, seconds, error)
 
@@ -232,21 +269,24 @@ def comparison(parts: Sequence[Clustering]) -> DataFrame:
 
 def compare_labelings(df: DataFrame, features: str, labelings: Sequence[str]) -> DataFrame:
     """The same comparison for given labelings of one set of rows."""
+    scores = silhouettes(df, features, labelings)
     lines = []
     for name in labelings:
-        sizes = to_driver(
-            df.groupBy(name).agg(F.count(F.lit(1)).alias("n")).orderBy(name), MAX_BROADCAST_CLUSTERS
+        counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+        sizes = counts.agg(
+            F.count(F.lit(1)).alias("k"),
+            F.transform(F.array_sort(F.collect_list(F.struct(name, "n"))), lambda c: c["n"]).alias("sizes"),
         )
         lines.append(
-            cost(df, features, name).select(
+            sizes.select(
                 F.lit(name).alias("labeling"),
-                F.lit(len(sizes)).cast("bigint").alias("k"),
-                F.lit(silhouette(df, features, name)).cast("double").alias("silhouette"),
-                "cost",
-                F.lit([row["n"] for row in sizes]).cast("array<bigint>").alias("sizes"),
+                "k",
+                cost(df, features, name).scalar().alias("cost"),
+                "sizes",
             )
         )
-    return reduce(DataFrame.union, lines)
+    found = reduce(DataFrame.union, lines).join(F.broadcast(scores), "labeling")
+    return found.select("labeling", "k", "silhouette", "cost", "sizes")
 
 
 # ---------------------------------------------------------------- choosing

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -17,7 +18,6 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cohortlens.functions.columns import struct_rows
 from cohortlens.operators.profile import category_counts
@@ -25,8 +25,8 @@ from cohortlens.operators.ranks import running_totals
 from cohortlens.operators.rows import distinct_names
 from cohortlens.sources.scratch import written
 
-# A fitted indexer keeps its labels on the driver, so their number is checked first.
-MAX_LABELS = 100_000
+# Spark's covariance of a wider vector would not fit one machine, and PCA refuses it.
+MAX_WIDTH = 65_535
 
 
 # ---------------------------------------------------------------- category index
@@ -40,13 +40,17 @@ def label_index(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return ranked.select("variable", "value", "n", (F.col("running") - 1).alias("index"))
 
 
-def index_by_join(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Add ``<name>_idx`` to each row; NULL gets the index after the last label.
+def index_by_join(
+    df: DataFrame, names: Sequence[str], labels: DataFrame | None = None
+) -> DataFrame:
+    """Add ``<name>_idx`` to each row; NULL and unknown labels get the index after the last.
 
-    Labels are joined on, so neither driver nor broadcast has to hold them. A label
-    shared by many rows makes a large join partition, which Spark splits at run time.
+    Labels are joined on, so neither driver nor broadcast has to hold them. Those of another
+    table may be given. A label shared by many rows makes a large join partition, which Spark
+    splits at run time.
     """
-    labels = written(label_index(df, names), "label-index")
+    if labels is None:
+        labels = written(label_index(df, names), "label-index")
     for name in names:
         own = labels.where(F.col("variable") == name)
         size = own.agg(F.count(F.lit(1)).alias("size"))
@@ -62,12 +66,6 @@ def index_by_join(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df
 
 
-def label_numbers(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
-    """Approximate number of labels per column, in one pass."""
-    row = df.agg(*[F.approx_count_distinct(n).alias(n) for n in names]).first()
-    return {n: row[n] for n in names}
-
-
 # ---------------------------------------------------------------- assembling
 def _scaler(kind: str, source: str, out: str):
     if kind == "minmax":
@@ -116,6 +114,23 @@ def feature_stages(
     return stages
 
 
+@dataclass
+class FittedFeatures:
+    """Fitted feature stages: a label table for the index-only columns and a fitted pipeline.
+
+    The labels stay on the cluster, so there may be any number of them.
+    """
+
+    coded: list[str]
+    labels: DataFrame | None
+    model: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.coded:
+            df = index_by_join(df, self.coded, self.labels)
+        return self.model.transform(df)
+
+
 def fit_features(
     df: DataFrame,
     one_hot: Sequence[str] = (),
@@ -123,30 +138,25 @@ def fit_features(
     numeric: Sequence[str] = (),
     scaler: str | None = "minmax",
     invalid: str = "skip",
-    max_labels: int = MAX_LABELS,
-) -> tuple[PipelineModel, DataFrame]:
-    """Fit the feature stages and return the model with the transformed rows.
+) -> tuple[FittedFeatures, DataFrame]:
+    """Fit the feature stages and return them with the transformed rows.
 
-    Index-only columns with more labels than the driver should hold are indexed by a
-    join instead. One-hot columns that wide are refused. Each estimator reads ``df``
+    Index-only columns are indexed by a join with their label table; one-hot columns by an
+    indexer, whose labels are as many as the slots of the vectors. Each estimator reads ``df``
     again: write a costly view to a table first.
     """
-    names = distinct_names(one_hot, index_only)
-    numbers = label_numbers(df, names) if names else {}
-    wide = [n for n in names if numbers[n] > max_labels]
-    refused = [n for n in wide if n in one_hot]
-    if refused:
-        raise ValueError(f"too many labels to one-hot encode: {refused}")
-    if wide:
-        df = index_by_join(df, wide)
-    stages = feature_stages(one_hot, index_only, numeric, scaler, invalid, wide)
-    model = Pipeline(stages=stages).fit(df)
-    return model, model.transform(df)
+    coded = [n for n in distinct_names(index_only) if n not in one_hot]
+    labels = written(label_index(df, coded), "label-index") if coded else None
+    indexed = index_by_join(df, coded, labels) if coded else df
+    stages = feature_stages(one_hot, index_only, numeric, scaler, invalid, coded)
+    fitted = FittedFeatures(coded, labels, Pipeline(stages=stages).fit(indexed))
+    return fitted, fitted.model.transform(indexed)
 
 
-def with_stage(model: PipelineModel, stage, df: DataFrame) -> PipelineModel:
-    """A fitted chain with one more stage, fitted on the chain's own output."""
-    return Pipeline(stages=[model, stage]).fit(df)
+def with_stage(fitted: FittedFeatures, stage, df: DataFrame) -> FittedFeatures:
+    """Fitted stages with one more, fitted on their own output."""
+    more = stage.fit(fitted.transform(df))
+    return replace(fitted, model=PipelineModel(stages=[fitted.model, more]))
 
 
 def vector_size(df: DataFrame, column: str) -> int:
@@ -160,8 +170,14 @@ def vector_size(df: DataFrame, column: str) -> int:
 
 # ---------------------------------------------------------------- reduction
 def fit_pca(df: DataFrame, k: int, source: str = "scaled", out: str = "pca") -> PCAModel:
-    """Principal components; ``k`` is lowered to the number of features when larger."""
-    k = min(k, vector_size(df, source))
+    """Principal components; ``k`` is lowered to the number of features when larger.
+
+    Vectors wider than ``MAX_WIDTH`` are refused before anything is computed.
+    """
+    width = vector_size(df, source)
+    if width > MAX_WIDTH:
+        raise ValueError(f"{width} features are too many for components; index some columns only")
+    k = min(k, width)
     return PCA(k=k, inputCol=source, outputCol=out).fit(df)
 
 
@@ -177,9 +193,9 @@ def explained_variance(spark: SparkSession, model: PCAModel) -> DataFrame:
 
 
 def cumulative(shares: DataFrame, order: str = "component", value: str = "share") -> DataFrame:
-    """Running total over a short ranked list such as PCA components."""
-    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return shares.withColumn("cumulative", F.sum(value).over(upto))
+    """Running total over ranked shares, of any number."""
+    summed = running_totals(shares, [F.col(order)], value)
+    return summed.withColumnRenamed("running", "cumulative")
 
 
 def components_for(

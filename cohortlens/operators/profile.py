@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions.columns import same_keys, struct_rows
-from cohortlens.operators.ranks import exact_quantiles, long_values, value_counts
+from cohortlens.operators.ranks import exact_quantiles, long_values
 from cohortlens.sources.scratch import written
 from cohortlens.sources.tables import broadcast_if_small, to_driver
 
@@ -101,23 +103,28 @@ def numeric_summary(
     )
 
 
+def _finite(name: str) -> Column:
+    """A column's value as a double; NULL where it is NULL, NaN or infinite."""
+    value = F.col(f"`{name}`").cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def _ranges(df: DataFrame, names: Sequence[str]) -> dict[str, dict]:
-    """Count, extremes and deviation per column, from one pass and one driver row."""
+    """Count, extremes and deviation of the finite values per column, from one pass and one
+    driver row. Columns without any are listed with a count of 0."""
     parts = []
     for i, name in enumerate(names):
-        value = F.col(name).cast("double")
-        value = F.when(~F.isnan(value), value)
+        value = _finite(name)
         parts += [
             F.count(value).alias(f"n{i}"),
             F.min(value).alias(f"lo{i}"),
             F.max(value).alias(f"hi{i}"),
             F.stddev_samp(value).alias(f"sd{i}"),
         ]
-    row = df.agg(*parts).first()
+    row = df.agg(*parts).first() if names else None
     return {
         name: {"n": row[f"n{i}"], "lo": row[f"lo{i}"], "hi": row[f"hi{i}"], "sd": row[f"sd{i}"]}
         for i, name in enumerate(names)
-        if row[f"n{i}"]
     }
 
 
@@ -125,8 +132,8 @@ def automatic_bins(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
     """Bins per column by the narrower of the Freedman-Diaconis and Sturges widths."""
     bins = {}
     for row in to_driver(exact_quantiles(df, names, QUARTILES), max(len(names), 1)):
-        length = row.maximum - row.minimum
-        if length == 0:
+        length = (row.maximum or 0.0) - (row.minimum or 0.0)
+        if not 0 < length < math.inf:
             bins[row.variable] = 1
             continue
         sturges = length / (math.log2(row.n_known) + 1)
@@ -142,13 +149,17 @@ def histogram(
 
     Two column-pruned passes and no shuffle of values: extremes first, then counts
     per bin. The last bin is closed; bins without rows are listed with 0.
-    ``bins`` is a number, a number per column, or ``"auto"``.
+    ``bins`` is a number, a number per column, or ``"auto"``. NULL, NaN and infinite
+    values are left out; a column without any other has one row with NULL for its bin.
     """
     if bins == "auto":
         bins = automatic_bins(df, names)
-    frames = []
+    frames, empty = [], []
     for name, span in _ranges(df, names).items():
         number = bins if isinstance(bins, int) else bins[name]
+        if not span["n"]:
+            empty.append(name)
+            continue
         low, high = span["lo"], span["hi"]
         if low == high:
             low, high = low - 0.5, high + 0.5
@@ -156,31 +167,38 @@ def histogram(
             {"variable": name, "low": low, "width": (high - low) / number, "bins": number,
              "rows": span["n"]}
         )
+    schema = "variable string, low double, width double, bins int, rows bigint"
+    settings = df.sparkSession.createDataFrame(
+        [(f["variable"], f["low"], f["width"], f["bins"], f["rows"]) for f in frames]
+        + [(name, None, None, 0, 0) for name in empty],
+        schema,
+    )
     places = []
     for f in frames:
-        value = F.col(f["variable"]).cast("double")
+        value = _finite(f["variable"])
         place = F.least(F.floor((value - f["low"]) / f["width"]), F.lit(f["bins"] - 1))
         # The smaller of NULL and a number is the number, so unknown values go first.
-        known = value.isNotNull() & ~F.isnan(value)
-        places.append(F.when(known, place).cast("int").alias(f["variable"]))
+        place = F.when(value.isNotNull(), place).cast("int")
+        places.append({"variable": F.lit(f["variable"]), "bin": place})
     counted = (
-        df.select(*places)
-        .unpivot([], [f["variable"] for f in frames], "variable", "bin")
-        .where(F.col("bin").isNotNull())
+        df.select(F.inline(struct_rows(places))) if places
+        else df.sparkSession.createDataFrame([], "variable string, bin int")
+    )
+    counted = (
+        counted.where(F.col("bin").isNotNull())
         .groupBy("variable", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = df.sparkSession.createDataFrame(
-        [(f["variable"], f["low"], f["width"], f["bins"], f["rows"]) for f in frames],
-        "variable string, low double, width double, bins int, rows bigint",
-    ).select("*", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
+    numbers = F.when(F.col("bins") > 0, F.sequence(F.lit(0), F.col("bins") - 1))
+    grid = settings.select("*", F.explode_outer(numbers).alias("bin"))
+    n = F.when(F.col("bin").isNotNull(), F.coalesce("n", F.lit(0)))
     return grid.join(counted, ["variable", "bin"], "left").select(
         "variable",
         "bin",
         (F.col("low") + F.col("bin") * F.col("width")).alias("lower"),
         (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("upper"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-        (F.coalesce("n", F.lit(0)) * 100.0 / F.col("rows")).alias("percent"),
+        F.coalesce(n, F.lit(0)).alias("n"),
+        (n * 100.0 / F.when(F.col("rows") > 0, F.col("rows"))).alias("percent"),
     )
 
 
@@ -192,45 +210,64 @@ def density(
 ) -> DataFrame:
     """Gaussian density per column on an even grid between its extremes.
 
-    Without a bandwidth, Scott's rule is used. Equal values are merged first. Grid
-    points further than 38.7 bandwidths from a value get exactly zero from it in
-    double precision, so they are not generated.
+    Without a bandwidth, Scott's rule is used. Each task adds its values up on the grid, and
+    only the ``points`` sums per column are shuffled. NULL, NaN and infinite values are left
+    out. A column whose values are all equal has its grid at that value, without a bandwidth
+    with a NULL density; one without values has one row of NULLs.
     """
     curves = []
     for name, span in _ranges(df, names).items():
+        if not span["n"]:
+            curves.append((name, None, None, None, 0))
+            continue
         width = bandwidth or (span["sd"] or 0.0) * span["n"] ** (-1 / 5)
-        step = (span["hi"] - span["lo"]) / (points - 1)
-        if width and step:
-            curves.append((name, span["lo"], step, width, span["n"]))
-    reach = 38.7
-    counts = value_counts(df, [c[0] for c in curves])
+        step = (span["hi"] - span["lo"]) / (points - 1) if points > 1 else 0.0
+        curves.append((name, span["lo"], step, width or None, span["n"]))
     settings = df.sparkSession.createDataFrame(
         curves, "variable string, low double, step double, width double, rows bigint"
     )
-    offset = F.col("value") - F.col("low")
-    span = F.col("width") * reach
-    nearby = F.sequence(
-        F.greatest(F.ceil((offset - span) / F.col("step")), F.lit(0)).cast("int"),
-        F.least(F.floor((offset + span) / F.col("step")), F.lit(points - 1)).cast("int"),
-    )
-    z = (F.col("low") + F.col("point") * F.col("step") - F.col("value")) / F.col("width")
-    # One settings row per column.
-    mass = (
-        counts.join(F.broadcast(settings), "variable")
-        .select("*", F.explode(nearby).alias("point"))
-        .groupBy("variable", "point")
-        .agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("_mass"))
-    )
-    grid = settings.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    drawn = [c for c in curves if c[3]]
+    sums = _grid_sums(df, drawn, points).groupBy("variable", "point").agg(F.sum("mass").alias("_mass"))
+    numbers = F.when(F.col("rows") > 0, F.sequence(F.lit(0), F.lit(points - 1)))
+    grid = settings.select("*", F.explode_outer(numbers).alias("point"))
     area = F.col("rows") * F.col("width") * math.sqrt(2 * math.pi)
-    return grid.join(mass, ["variable", "point"], "left").select(
+    mass = F.when(F.col("width").isNotNull(), F.coalesce("_mass", F.lit(0.0)))
+    return grid.join(sums, ["variable", "point"], "left").select(
         "variable",
         "point",
         (F.col("low") + F.col("point") * F.col("step")).alias("x"),
-        (F.coalesce("_mass", F.lit(0.0)) / area).alias("density"),
+        (mass / area).alias("density"),
     )
 
 
+def _grid_sums(df: DataFrame, curves: Sequence[tuple], points: int) -> DataFrame:
+    """Per task, column and grid point the sum of the Gaussian weights of the task's values."""
+    schema = "variable string, point int, mass double"
+    if not curves:
+        return df.sparkSession.createDataFrame([], schema)
+    values = df.select(*[_finite(name).alias(f"c{i}") for i, (name, *_) in enumerate(curves)])
+    grids = [low + step * np.arange(points) for _, low, step, _, _ in curves]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((len(curves), points))
+        for batch in batches:
+            for i, (_, _, _, width, _) in enumerate(curves):
+                column = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                known, counts = np.unique(column, return_counts=True)
+                for start in range(0, len(known), 1024):
+                    part = slice(start, start + 1024)
+                    z = (grids[i][None, :] - known[part, None]) / width
+                    totals[i] += counts[part] @ np.exp(-0.5 * z * z)
+        names = np.repeat([name for name, *_ in curves], points).tolist()
+        numbers = np.tile(np.arange(points, dtype=np.int32), len(curves))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names), pa.array(numbers), pa.array(totals.ravel())],
+            names=["variable", "point", "mass"],
+        )
+
+    return values.mapInArrow(add_up, schema)
+
+
 def box_stats(
     df: DataFrame,
     names: Sequence[str],
@@ -240,7 +277,8 @@ def box_stats(
 ) -> DataFrame:
     """Quartiles, whisker ends and number of outliers per column (and group).
 
-    ``df`` is read three times: write a costly view to a table first.
+    Columns and groups without known values have NULLs and no outliers. ``df`` is read three
+    times: write a costly view to a table first.
     """
     keys = [*group, "variable"]
     extra = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
@@ -251,17 +289,24 @@ def box_stats(
     inside = (F.col("value") >= F.col("q25") - reach * spread) & (
         F.col("value") <= F.col("q75") + reach * spread
     )
-    return (
+    counted = (
         long_values(df, names, group)
         .alias("v")
         .join(side.alias("q"), same_keys(keys, "v", "q"))
         .select(*[F.col(f"v.{k}") for k in keys], "v.value", *QUARTILES)
-        .groupBy(*keys, *QUARTILES)
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("n_known"),
             F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
             F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
             F.count_if(~inside).alias("outliers"),
         )
-        .select(*keys, "n_known", *QUARTILES, "low_whisker", "high_whisker", "outliers")
+    )
+    # Columns and groups without known values keep their row.
+    return side.alias("q").join(counted.alias("c"), same_keys(keys, "q", "c"), "left").select(
+        *[F.col(f"q.{k}") for k in keys],
+        "q.n_known",
+        *[f"q.{q}" for q in QUARTILES],
+        "c.low_whisker",
+        "c.high_whisker",
+        F.coalesce("c.outliers", F.lit(0)).alias("outliers"),
     )

@@ -140,11 +140,23 @@ def append(df: DataFrame, other: DataFrame) -> DataFrame:
 def keep_lowest_key(df: DataFrame, names: Sequence[str], key: str) -> DataFrame:
     """One row per combination of ``names``: the one with the lowest key.
 
-    The condition on the row number lets Spark drop all but the first row of a
-    group before the shuffle, so many copies of one value stay cheap.
+    Groups are told apart by a digest of the columns, so long values are neither sorted nor
+    shuffled by value; the lowest key and its row are combined before the shuffle, which
+    keeps many copies of one value cheap. A NULL differs from any text; NULL keys come first.
     """
-    order = Window.partitionBy(*names).orderBy(key)
-    return df.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    parts = [
+        F.when(F.col(f"`{n}`").isNull(), "-").otherwise(
+            F.concat(F.lit("="), F.sha2(F.col(f"`{n}`").cast("string"), 256))
+        )
+        for n in names
+    ]
+    rest = F.struct(*[F.col(f"`{n}`") for n in df.columns])
+    first = F.min_by(rest, F.struct(F.col(key).isNotNull(), F.col(key)))
+    return (
+        df.groupBy(F.sha2(F.concat(*parts), 256).alias("_digest"))
+        .agg(first.alias("_row"))
+        .select("_row.*")
+    )
 
 
 def distinct_values(df: DataFrame, *names: str) -> DataFrame:

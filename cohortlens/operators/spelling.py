@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +11,6 @@ from pyspark.sql.window import Window
 from cohortlens.functions.columns import only_known
 from cohortlens.operators.text import top_words
 
-PIECES = 5
 REACH = 2
 
 
@@ -55,66 +56,42 @@ def edits(a: Column, b: Column) -> Column:
     )
 
 
-def _piece_start(length: Column, piece: Column) -> Column:
-    """First position of a piece when a word is cut into ``PIECES`` even pieces."""
-    return F.floor(length * piece / PIECES).cast("int")
+def shortened_forms(word: Column, deletions: int = REACH) -> Column:
+    """The word and every word left of it after up to ``deletions`` letters are taken out.
+
+    Two words within that many edits, exchanges included, have one of these in common: each
+    edit is undone by taking out at most one letter on either side.
+    """
+    forms = F.array(word)
+    last = forms
+    for _ in range(deletions):
+        last = F.array_distinct(F.flatten(F.transform(last, _one_letter_less)))
+        forms = F.concat(forms, last)
+    return F.array_distinct(forms)
 
 
-def vocabulary_pieces(vocabulary: DataFrame) -> DataFrame:
-    """Each vocabulary word under each of its pieces; very short words under one key."""
-    size = F.length("word")
-    piece = F.explode(
-        F.when(size < PIECES, F.array(F.lit(-1))).otherwise(
-            F.sequence(F.lit(0), F.lit(PIECES - 1))
+def _one_letter_less(word: Column) -> Column:
+    return F.when(F.length(word) == 0, F.array().cast("array<string>")).otherwise(
+        F.transform(
+            F.sequence(F.lit(1), F.length(word)),
+            lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substr(word, i + 1)),
         )
     )
-    start = _piece_start(F.col("_size"), F.col("_piece"))
-    end = _piece_start(F.col("_size"), F.col("_piece") + 1)
-    return vocabulary.select(
-        F.col("word").alias("suggestion"), F.col("n").alias("suggestion_n"),
-        size.alias("_size"), piece.alias("_piece"),
-    ).withColumn(
-        "_text",
-        F.when(F.col("_piece") < 0, "").otherwise(
-            F.substring(F.col("suggestion"), start + 1, end - start)
-        ),
-    )
 
 
-def word_probes(words: DataFrame) -> DataFrame:
-    """Every piece a vocabulary word within ``REACH`` edits could share with the word.
+def under_forms(words: DataFrame, word: str, columns: Sequence[Column | str]) -> DataFrame:
+    """Each word under the hashes of its shortened forms; equal hashes are verified later."""
+    forms = F.transform(shortened_forms(F.col(word)), lambda f: F.xxhash64(f))
+    return words.select(*columns, F.explode(forms).alias("_form"))
 
-    Two edits touch at most four of five pieces, an exchange of letters across a
-    border being the worst case, so one piece stays whole and moves by two places at
-    most.
-    """
-    length = F.length("word")
-    sizes = F.explode(F.sequence(F.greatest(length - REACH, F.lit(0)), length + REACH))
-    pieces = F.explode(
-        F.when(F.col("_size") < PIECES, F.array(F.lit(-1))).otherwise(
-            F.sequence(F.lit(0), F.lit(PIECES - 1))
-        )
-    )
-    moves = F.explode(
-        F.when(F.col("_piece") < 0, F.array(F.lit(0))).otherwise(
-            F.sequence(F.lit(-REACH), F.lit(REACH))
-        )
-    )
-    start = _piece_start(F.col("_size"), F.col("_piece")) + F.col("_move")
-    width = _piece_start(F.col("_size"), F.col("_piece") + 1) - _piece_start(
-        F.col("_size"), F.col("_piece")
-    )
-    short = F.col("_piece") < 0
+
+def candidate_pairs(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Pairs of words that share a shortened form: all within reach, and few others."""
+    known = [F.col("word").alias("suggestion"), F.col("n").alias("suggestion_n")]
     return (
-        words.select("word", "n", sizes.alias("_size"))
-        .select("*", pieces.alias("_piece"))
-        .select("*", moves.alias("_move"))
-        .where(short | ((start >= 0) & (start + width <= F.length("word"))))
-        .withColumn(
-            "_text",
-            F.when(short, "").otherwise(F.substring(F.col("word"), start + 1, width)),
-        )
-        .select("word", "n", "_size", "_piece", "_text")
+        under_forms(words, "word", ["word", "n"])
+        .join(under_forms(vocabulary, "word", known), "_form")
+        .select("word", "n", "suggestion", "suggestion_n")
         .distinct()
     )
 
@@ -123,14 +100,9 @@ def nearest_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """For each word its nearest vocabulary word within two edits, if there is one.
 
     Fewest edits first, then the more frequent word, then alphabetical order.
-    Candidates come from an equality join on shared pieces and are then verified.
+    Candidates come from an equality join on shortened forms and are then verified.
     """
-    candidates = (
-        word_probes(words)
-        .join(vocabulary_pieces(vocabulary), ["_size", "_piece", "_text"])
-        .select("word", "n", "suggestion", "suggestion_n")
-        .distinct()
-    )
+    candidates = candidate_pairs(words, vocabulary)
     measured = candidates.select(
         "*", only_known(edits(F.col("word"), F.col("suggestion"))).alias("distance")
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clusters as CL
@@ -11,11 +14,10 @@ from cohortlens.queries import registry
 from cohortlens.queries import sql as S
 from cohortlens.queries.features import filled, measured
 from cohortlens.queries.repairs import sample_sql
-from cohortlens.sources.encounters import CATEGORICAL, NUMERIC
+from cohortlens.sources.encounters import CATEGORICAL, DIAGNOSES, NUMERIC
 from cohortlens.sources.tables import read_table, to_driver
 
 add = registry.add
-PARTITIONS = 4
 
 
 def vectors(spark, folder):
@@ -26,16 +28,24 @@ def vectors(spark, folder):
 
 
 def laid_vectors(spark, folder):
-    return CL.stable_layout(vectors(spark, folder), "vec_id", ["pca"], PARTITIONS)
+    return CL.stable_layout(vectors(spark, folder), "vec_id", ["pca"])
+
+
+CODES = ["medical_specialty", *DIAGNOSES]
+
 
+def prepared(spark, folder):
+    """The repaired columns all feature sets are made of, written once."""
+    return filled(spark, folder, [*CATEGORICAL, *CODES, *NUMERIC])
 
-def mixed_features(spark, folder, scaler: str):
-    _, ready = FE.fit_features(filled(spark, folder), CATEGORICAL, (), NUMERIC, scaler)
+
+def mixed_features(rows, scaler: str):
+    _, ready = FE.fit_features(rows, CATEGORICAL, CODES, NUMERIC, scaler)
     return ready.select("encounter_id", "scaled")
 
 
-def numeric_features(spark, folder):
-    _, ready = FE.fit_features(measured(spark, folder), numeric=NUMERIC)
+def numeric_features(rows):
+    _, ready = FE.fit_features(rows, numeric=NUMERIC)
     return ready.select("encounter_id", "scaled")
 
 
@@ -146,9 +156,9 @@ def sweep_bisecting(spark, folder):
 
 @add("cl8_fixed_k")
 def fixed_k(spark, folder):
-    ready = mixed_features(spark, folder, "standard")
+    ready = mixed_features(prepared(spark, folder), "standard")
     reduced = FE.fit_pca(ready, 10).transform(ready)
-    laid = CL.stable_layout(reduced, "encounter_id", ["pca"], PARTITIONS)
+    laid = CL.stable_layout(reduced, "encounter_id", ["pca"])
     parts = [CL.fit_and_score(laid, a, 3) for a in ("kmeans", "bisecting")]
     return CL.comparison(parts).select(
         "algorithm", "k", F.round("silhouette", 6).alias("silhouette"),
@@ -157,10 +167,11 @@ def fixed_k(spark, folder):
 
 
 def _feature_sets(spark, folder, *names: str) -> dict:
+    rows = prepared(spark, folder)
     every = {
-        "minmax": lambda: mixed_features(spark, folder, "minmax"),
-        "standard": lambda: mixed_features(spark, folder, "standard"),
-        "numeric": lambda: numeric_features(spark, folder),
+        "minmax": lambda: mixed_features(rows, "minmax"),
+        "standard": lambda: mixed_features(rows, "standard"),
+        "numeric": lambda: numeric_features(rows),
     }
     return {name: every[name] for name in names}
 
@@ -168,14 +179,12 @@ def _feature_sets(spark, folder, *names: str) -> dict:
 @add("cl9_scaler_comparison")
 def scaler_comparison(spark, folder):
     sets = _feature_sets(spark, folder, "minmax", "standard")
-    return scored(CL.scaler_comparison(sets, "encounter_id", 10, range(2, 6), PARTITIONS))
+    return scored(CL.scaler_comparison(sets, "encounter_id", 10, range(2, 6)))
 
 
 @add("cl10_numeric_baseline")
 def numeric_baseline(spark, folder):
-    laid = CL.stable_layout(
-        numeric_features(spark, folder), "encounter_id", ["scaled"], PARTITIONS
-    )
+    laid = CL.stable_layout(numeric_features(measured(spark, folder)), "encounter_id", ["scaled"])
     return scored(CL.sweep(laid, ["kmeans"], range(2, 6), "scaled", "numeric"))
 
 
@@ -183,21 +192,21 @@ def numeric_baseline(spark, folder):
 def scaler_grid(spark, folder):
     sets = _feature_sets(spark, folder, "minmax", "standard")
     return scored(
-        CL.grid(sets, "encounter_id", [5, 10, 15, 20], range(2, 7), ["kmeans"], PARTITIONS)
+        CL.grid(sets, "encounter_id", [5, 10, 15, 20], range(2, 7), ["kmeans"])
     )
 
 
 @add("cl12_feature_set_grid")
 def feature_set_grid(spark, folder):
     sets = _feature_sets(spark, folder, "minmax", "standard", "numeric")
-    found = CL.grid(sets, "encounter_id", [5, 10], [2, 4], partitions=PARTITIONS)
+    found = CL.grid(sets, "encounter_id", [5, 10, 15, 20], range(2, 8))
     return scored(found)
 
 
 @add("cl13_fallback")
 def fallback(spark, folder):
-    ready = mixed_features(spark, folder, "minmax")
-    chosen, tried = CL.choose(ready, "encounter_id", ks=(2, 3, 4), partitions=PARTITIONS)
+    ready = mixed_features(prepared(spark, folder), "minmax")
+    chosen, tried = CL.choose(ready, "encounter_id")
     return scored(tried).withColumn(
         "chosen",
         (F.col("algorithm") == chosen.algorithm)
@@ -225,14 +234,18 @@ def labeled_sweep(spark, folder):
     labeled = vectors(spark, folder).withColumns(
         {f"k{k}": (F.col("prediction") % k).cast("int") for k in KS}
     )
-    rows = []
+    parts = []
     for length in LENGTHS:
         short = FE.leading(labeled, "pca", "short", length)
         scores = CL.silhouettes(short, "short", [f"k{k}" for k in KS])
-        rows += [(length, int(r.labeling[1:]), r.silhouette) for r in to_driver(scores)]
-    return spark.createDataFrame(rows, "k_pca int, k int, silhouette double").withColumn(
-        "silhouette", F.round("silhouette", 9)
-    )
+        parts.append(
+            scores.select(
+                F.lit(length).alias("k_pca"),
+                F.substring("labeling", 2, 3).cast("int").alias("k"),
+                F.round("silhouette", 9).alias("silhouette"),
+            )
+        )
+    return reduce(DataFrame.union, parts)
 
 
 SWEEP_SQL = (
@@ -322,3 +335,139 @@ def model_comparison(spark, folder):
         F.round("cost", 4).alias("cost"), "meets_target",
     )
 
+
+
+# ---------------------------------------------------------------- facts about fits
+# What a fit finds has no SQL, but what must hold for any fit has: which settings are
+# listed, how many rows are assigned, that scores and costs lie where they must.
+def scores_in_bounds(found, rows, features: str):
+    """Each listed setting with whether its score and cost can be right."""
+    point = vector_to_array(F.col(features))
+    moments = rows.select(F.posexplode(point).alias("axis", "v")).groupBy("axis").agg(
+        (F.var_pop("v") * F.count("v")).alias("ss")
+    )
+    total = moments.agg(F.sum("ss").alias("ss")).scalar()
+    score = F.col("silhouette")
+    return found.select(
+        *[c for c in ("features", "k_pca", "algorithm", "k") if c in found.columns],
+        F.col("error").isNull().alias("fitted"),
+        (score.isNull() | score.between(-1, 1)).alias("score_in_range"),
+        (F.col("cost").isNull() | (F.col("cost") <= total * (1 + 1e-9))).alias("cost_within_total"),
+    )
+
+
+def _settings_sql(algorithm: str, ks: range) -> str:
+    return (
+        f"SELECT '' AS features, CAST(NULL AS INTEGER) AS k_pca, '{algorithm}' AS algorithm, "
+        f"CAST(unnest(range({ks.start}, {ks.stop})) AS INTEGER) AS k, true AS fitted, "
+        "true AS score_in_range, true AS cost_within_total"
+    )
+
+
+def _sweep_facts(spark, folder, algorithm: str, ks: range):
+    laid = laid_vectors(spark, folder)
+    return scores_in_bounds(CL.sweep(laid, [algorithm], ks), laid, "pca")
+
+
+@add("cl6_sweep_kmeans_facts", _settings_sql("kmeans", range(2, 9)))
+def sweep_kmeans_facts(spark, folder):
+    return _sweep_facts(spark, folder, "kmeans", range(2, 9))
+
+
+@add("cl7_sweep_bisecting_facts", _settings_sql("bisecting", range(2, 9)))
+def sweep_bisecting_facts(spark, folder):
+    return _sweep_facts(spark, folder, "bisecting", range(2, 9))
+
+
+def _fit_facts(spark, folder, algorithm: str):
+    """Rows, clusters, rows away from their nearest centre, and whether the cost adds up."""
+    laid = laid_vectors(spark, folder).drop("prediction")
+    model = CL.fit(laid, algorithm, 4)
+    own = model.transform(laid).select("vec_id", F.col("prediction").alias("own"))
+    centres = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    both = CL.assign(laid, centres, "pca").join(own, "vec_id")
+    cost = float(model.summary.trainingCost)
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("own").alias("clusters"),
+        F.count_if(F.col("own") != F.col("prediction")).alias("misplaced"),
+        (F.abs(F.sum("distance") - cost) <= 1e-6 * cost).alias("cost_adds_up"),
+    )
+
+
+@add(
+    "cl1_kmeans_facts",
+    "SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, "
+    "true AS cost_adds_up FROM embeddings",
+)
+def kmeans_facts(spark, folder):
+    return _fit_facts(spark, folder, "kmeans")
+
+
+@add(
+    "cl2_bisecting_facts",
+    "SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS clusters FROM embeddings",
+)
+def bisecting_facts(spark, folder):
+    return _fit_facts(spark, folder, "bisecting").select("n_rows", "clusters")
+
+
+COMPLETE = " AND ".join(f"{n} IS NOT NULL" for n in NUMERIC)
+
+
+@add(
+    "cl8_fixed_k_facts",
+    S.on_encounters(
+        "SELECT algorithm, 3 AS k, (SELECT count(*) FROM encounters WHERE " + COMPLETE + ") AS n_rows "
+        "FROM (SELECT unnest(['kmeans', 'bisecting']) AS algorithm)"
+    ),
+)
+def fixed_k_facts(spark, folder):
+    """The cluster sizes add up to the rows without missing numbers."""
+    sizes = F.aggregate(F.split("sizes", " ").cast("array<bigint>"), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return fixed_k(spark, folder).select("algorithm", "k", sizes.alias("n_rows"))
+
+
+def _grid_sql(sets: list[str], k_pcas: list[int], ks: range, algorithms: list[str]) -> str:
+    return (
+        f"SELECT features, CAST(k_pca AS INTEGER) AS k_pca, algorithm, CAST(k AS INTEGER) AS k, "
+        f"features <> 'numeric' OR k_pca <= {len(NUMERIC)} AS fitted, true AS score_in_range "
+        f"FROM (SELECT unnest({sets}) AS features), (SELECT unnest({k_pcas}) AS k_pca), "
+        f"(SELECT unnest({algorithms}) AS algorithm), (SELECT unnest(range({ks.start}, {ks.stop})) AS k)"
+    )
+
+
+def _grid_facts(found):
+    score = F.col("silhouette")
+    return found.select(
+        "features", "k_pca", "algorithm", "k", F.col("error").isNull().alias("fitted"),
+        (score.isNull() | score.between(-1, 1)).alias("score_in_range"),
+    )
+
+
+@add("cl9_scaler_comparison_facts", _grid_sql(["minmax", "standard"], [10], range(2, 6), ["kmeans"]))
+def scaler_comparison_facts(spark, folder):
+    return _grid_facts(scaler_comparison(spark, folder))
+
+
+@add("cl10_numeric_baseline_facts", _settings_sql("kmeans", range(2, 6)).replace("'' AS f", "'numeric' AS f"))
+def numeric_baseline_facts(spark, folder):
+    laid = CL.stable_layout(numeric_features(measured(spark, folder)), "encounter_id", ["scaled"])
+    return scores_in_bounds(CL.sweep(laid, ["kmeans"], range(2, 6), "scaled", "numeric"), laid, "scaled")
+
+
+@add("cl12_grid_facts", _grid_sql(["numeric"], [5, 10], range(2, 5), ["kmeans", "bisecting"]))
+def grid_facts(spark, folder):
+    """A grid with sizes beyond the number of features, which are listed as not fitted."""
+    sets = _feature_sets(spark, folder, "numeric")
+    return _grid_facts(CL.grid(sets, "encounter_id", [5, 10], range(2, 5)))
+
+
+@add(
+    "cl13_fallback_facts",
+    "SELECT CAST(3 AS INTEGER) AS k_pca, algorithm, CAST(k AS INTEGER) AS k, true AS score_in_range "
+    "FROM (SELECT unnest(['kmeans', 'bisecting']) AS algorithm), (SELECT unnest(range(2, 9)) AS k)",
+)
+def fallback_facts(spark, folder):
+    """The first round always lists both algorithms with every k."""
+    return _grid_facts(fallback(spark, folder).where("k_pca = 3")).drop("features", "fitted")

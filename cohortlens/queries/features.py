@@ -21,9 +21,11 @@ CODED = [*CATEGORICAL, "medical_specialty", *DIAGNOSES]
 PRICES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def filled(spark, folder):
-    """Repaired encounters as a table: the estimators read them several times."""
-    return written(R.fill_unknown(encounters(spark, folder), CODED), "filled")
+def filled(spark, folder, names):
+    """The named columns of the repaired encounters as a table: the estimators read them
+    several times. Columns nobody asked for, and the joins behind them, are left out first."""
+    rows = encounters(spark, folder).select("encounter_id", *names)
+    return written(R.fill_unknown(rows, [n for n in CODED if n in names]), "filled")
 
 
 def measured(spark, folder):
@@ -70,20 +72,22 @@ def norm(vector: str) -> Column:
     ),
 )
 def label_index(spark, folder):
-    return FE.label_index(filled(spark, folder), CODED)
+    return FE.label_index(filled(spark, folder, CODED), CODED)
 
 
 @add("fe1_string_indexer", _index_sql(["race", "gender", "age"], "_idx", "DOUBLE"))
 def string_indexer(spark, folder):
     _, ready = FE.fit_features(
-        filled(spark, folder), index_only=["race", "gender", "age"], scaler=None
+        filled(spark, folder, ["race", "gender", "age"]), index_only=["race", "gender", "age"],
+        scaler=None,
     )
     return ready.select("encounter_id", "race_idx", "gender_idx", "age_idx")
 
 
 @add("fe2_one_hot", _index_sql(["race", "gender", "age"], "_slot", "BIGINT"))
 def one_hot(spark, folder):
-    _, ready = FE.fit_features(filled(spark, folder), ["race", "gender", "age"], scaler=None)
+    names = ["race", "gender", "age"]
+    _, ready = FE.fit_features(filled(spark, folder, names), names, scaler=None)
     slots = {
         f"{n}_slot": F.array_position(vector_to_array(F.col(f"{n}_ohe")), F.lit(1.0)) - 1
         for n in ("race", "gender", "age")
@@ -93,13 +97,13 @@ def one_hot(spark, folder):
 
 @add("fe3_index_only", _index_sql(DIAGNOSES, "_idx", "DOUBLE"))
 def index_only(spark, folder):
-    _, ready = FE.fit_features(filled(spark, folder), index_only=DIAGNOSES, scaler=None)
+    _, ready = FE.fit_features(filled(spark, folder, DIAGNOSES), index_only=DIAGNOSES, scaler=None)
     return ready.select("encounter_id", *[f"{n}_idx" for n in DIAGNOSES])
 
 
 @add("fe3_index_by_join", _index_sql(DIAGNOSES, "_idx", "DOUBLE"))
 def index_by_join(spark, folder):
-    return FE.index_by_join(filled(spark, folder), DIAGNOSES).select(
+    return FE.index_by_join(filled(spark, folder, DIAGNOSES), DIAGNOSES).select(
         "encounter_id", *[f"{n}_idx" for n in DIAGNOSES]
     )
 
@@ -214,7 +218,8 @@ def pca_keeps_length(spark, folder):
 
 @add("fe10_explained_variance")
 def explained_variance(spark, folder):
-    _, ready = FE.fit_features(filled(spark, folder), CATEGORICAL, DIAGNOSES, NUMERIC)
+    rows = filled(spark, folder, [*CATEGORICAL, *DIAGNOSES, *NUMERIC])
+    _, ready = FE.fit_features(rows, CATEGORICAL, DIAGNOSES, NUMERIC)
     return FE.explained_variance(spark, FE.fit_pca(ready, 30))
 
 
@@ -250,13 +255,14 @@ CHAIN_SQL = S.on_encounters(
 
 @add("fe11_fit_transform_chain", CHAIN_SQL)
 def fit_transform_chain(spark, folder):
-    _, ready = FE.fit_features(filled(spark, folder), CATEGORICAL, (), NUMERIC)
+    rows = filled(spark, folder, [*CATEGORICAL, *NUMERIC])
+    _, ready = FE.fit_features(rows, CATEGORICAL, (), NUMERIC)
     return ready.select("encounter_id", norm("scaled").alias("squared_length"))
 
 
 @add("fe12_extend_fitted_chain", CHAIN_SQL)
 def extend_fitted_chain(spark, folder):
-    rows = filled(spark, folder)
+    rows = filled(spark, folder, [*CATEGORICAL, *NUMERIC])
     model, ready = FE.fit_features(rows, CATEGORICAL, (), NUMERIC)
     size = FE.vector_size(ready, "scaled")
     longer = FE.with_stage(model, PCA(k=size, inputCol="scaled", outputCol="pca"), rows)

@@ -343,7 +343,7 @@ def names_open_ended(spark, folder):
 @add("in4_named_report_fitted")
 def named_report_fitted(spark, folder):
     found = segment(
-        encounters(spark, folder), "encounter_id", CATEGORICAL, DIAGNOSES, NUMERIC, MEASURES,
-        ks=(2, 3, 4), partitions=4,
+        encounters(spark, folder), "encounter_id", CATEGORICAL,
+        ["medical_specialty", *DIAGNOSES], NUMERIC, MEASURES,
     )
     return rounded(found.report, OUT, 4).select("prediction", "name", *OUT)

@@ -97,7 +97,7 @@ def correct_anywhere(spark, folder):
     f"SELECT page_id, {gone('html', PATTERNS['html_tags'])} AS text FROM pages",
 )
 def strip_tags(spark, folder):
-    return read_table(spark, folder, "pages", ["page_id"]).select(
+    return read_table(spark, folder, "pages").select(
         "page_id", X.strip_tags(F.col("html")).alias("text")
     )
 
@@ -108,7 +108,7 @@ def strip_tags(spark, folder):
     f"{gone('html', PATTERNS['urls'])} AS text FROM pages",
 )
 def strip_urls(spark, folder):
-    return read_table(spark, folder, "pages", ["page_id"]).select(
+    return read_table(spark, folder, "pages").select(
         "page_id",
         X.strip_urls(F.concat(F.lit("see "), "url")).alias("link"),
         X.strip_urls(F.col("html")).alias("text"),
@@ -141,7 +141,7 @@ def custom_rule(spark, folder):
     "unnest(string_split_regex(lower(text), '\\s+')) AS word FROM documents) GROUP BY ALL",
 )
 def words_to_rows(spark, folder):
-    documents = read_table(spark, folder, "documents", ["doc_id"])
+    documents = read_table(spark, folder, "documents")
     return (
         documents.select("doc_id", F.explode(X.words(F.col("text"))).alias("word"))
         .groupBy("doc_id", "word")
@@ -156,7 +156,7 @@ def words_to_rows(spark, folder):
 )
 def token_array(spark, folder):
     split = X.tokens(F.col("text"))
-    return read_table(spark, folder, "documents", ["doc_id"]).select(
+    return read_table(spark, folder, "documents").select(
         "doc_id", F.array_join(split, "|").alias("tokens"), F.size(split).alias("n")
     )
 
@@ -173,7 +173,7 @@ KEPT_SQL = (
     "CAST(len(" + KEPT_SQL.format("text") + ") AS INTEGER) AS n FROM documents",
 )
 def remove_stop_words(spark, folder):
-    split = read_table(spark, folder, "documents", ["doc_id"]).select(
+    split = read_table(spark, folder, "documents").select(
         "doc_id", X.tokens(F.col("text")).alias("words")
     )
     return TX.without_stop_words(split, "words").select(
@@ -205,7 +205,7 @@ COUNTS_SQL = (
 @add("ag11_word_frequency", "SELECT word, count(*) AS n FROM ("
      + WORDS_SQL.format("documents") + ") WHERE word <> '' GROUP BY word")
 def word_frequency(spark, folder):
-    return TX.word_counts(read_table(spark, folder, "documents", ["doc_id"]), "text")
+    return TX.word_counts(read_table(spark, folder, "documents"), "text")
 
 
 @add(
@@ -219,7 +219,7 @@ def word_frequency(spark, folder):
     "FROM before b FULL JOIN after a ON a.word = b.word",
 )
 def stop_word_effect(spark, folder):
-    return TX.stop_word_effect(read_table(spark, folder, "documents", ["doc_id"]), "text")
+    return TX.stop_word_effect(read_table(spark, folder, "documents"), "text")
 
 
 # ---------------------------------------------------------------- patterns
@@ -335,7 +335,7 @@ def vocabulary(spark, folder):
 
 
 def document_words(spark, folder):
-    return TX.word_counts(read_table(spark, folder, "documents", ["doc_id"]), "text", min_length=3)
+    return TX.word_counts(read_table(spark, folder, "documents"), "text", min_length=3)
 
 
 @add(
@@ -357,3 +357,10 @@ def nearest_words(spark, folder):
 @add("tx14_spelling_suggestions", NEAREST_SQL + " ORDER BY n DESC, word LIMIT 20")
 def spelling_suggestions(spark, folder):
     return SP.suggestions(document_words(spark, folder), vocabulary(spark, folder))
+
+
+@add("j3_nearest_of_all_words")
+def nearest_of_all_words(spark, folder):
+    """Every unknown word of the documents; the SQL form would compare all pairs of words."""
+    known = vocabulary(spark, folder)
+    return SP.nearest_words(SP.unknown_words(document_words(spark, folder), known), known)

@@ -11,20 +11,9 @@ from pyspark.sql import types as T
 from cohortlens.sources.scratch import written
 
 
-def read_table(
-    spark: SparkSession, folder: str, name: str, spread_by: Sequence[str] = ()
-) -> DataFrame:
-    """One parquet table of a data folder.
-
-    A table stored in fewer row groups than there are cores is dealt out to all of them
-    by the key ``spread_by``, for work that costs more than moving the rows. Tables of
-    many files are read as they lie.
-    """
-    table = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores, *spread_by)
-    return table
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One parquet table of a data folder, read as it lies."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def read_csv(
@@ -60,16 +49,28 @@ def to_driver(df: DataFrame, max_rows: int = 10_000) -> list[Row]:
     return rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A join side that is broadcast only after its rows were counted to be few.
+def written_bytes(df: DataFrame) -> int:
+    """Bytes of the files a written table consists of."""
+    hadoop = df.sparkSession._jsc.hadoopConfiguration()
+    jvm = df.sparkSession._jvm
+    size = 0
+    for name in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        size += path.getFileSystem(hadoop).getFileStatus(path).getLen()
+    return size
+
 
-    It is computed and written once; a larger one is left to Spark's own choice of join.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = 10_000, max_bytes: int = 8 << 20
+) -> DataFrame:
+    """A join side that is broadcast only after its rows and bytes were found to be few.
+
+    It is computed and written once; what is broadcast is the written table. A larger one is
+    left to Spark's own choice of join.
     """
     side = written(df, "side")
-    rows = side.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return side
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    few = len(side.limit(max_rows + 1).select(F.lit(1)).collect()) <= max_rows
+    return F.broadcast(side) if few and written_bytes(side) <= max_bytes else side
 
 
 def head(df: DataFrame, order: str | Sequence[str], rows: int = 5) -> DataFrame:

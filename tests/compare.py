@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -19,7 +20,7 @@ TABLES = (
 ).split()
 
 
-def spark_session(cpus: str = "8") -> SparkSession:
+def spark_session(cpus: str = os.environ.get("TEST_CPUS", "8")) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("cohortlens")

@@ -1,6 +1,7 @@
 """Features and clusterings: goldens, properties, failure cases."""
 
 import pytest
+from pyspark.ml.feature import PCA, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -32,15 +33,26 @@ def test_index_ties_and_null(spark):
     assert joined == {"c": 0.0, "a": 1.0, "b": 2.0, None: 3.0}
 
 
-def test_wide_columns_are_indexed_by_join(filled):
-    _, narrow = FE.fit_features(filled, (), DIAGNOSES, NUMERIC)
-    _, wide = FE.fit_features(filled, (), DIAGNOSES, NUMERIC, max_labels=1)
-    key = ["encounter_id", "raw_features"]
-    a = {r.encounter_id: r.raw_features for r in narrow.select(*key).collect()}
-    b = {r.encounter_id: r.raw_features for r in wide.select(*key).collect()}
-    assert a == b
-    with pytest.raises(ValueError, match="one-hot"):
-        FE.fit_features(filled, ["race"], (), NUMERIC, max_labels=1)
+def test_fitted_features_transform_new_rows(filled):
+    """Index-only columns go through a join, on new rows and with one more stage, too."""
+    fitted, first = FE.fit_features(filled, (), DIAGNOSES, NUMERIC)
+    indexer = StringIndexer(
+        inputCols=DIAGNOSES, outputCols=[f"{n}_own" for n in DIAGNOSES], handleInvalid="keep"
+    )
+    own = indexer.fit(filled).transform(first)
+    for name in DIAGNOSES:
+        assert own.where(F.col(f"{name}_own") != F.col(f"{name}_idx")).count() == 0
+    again = fitted.transform(filled.limit(50).withColumn("diag_1", F.lit("never seen")))
+    last = first.agg(F.max("diag_1_idx")).first()[0]
+    assert {r.diag_1_idx for r in again.select("diag_1_idx").collect()} == {last + 1}
+    longer = FE.with_stage(fitted, PCA(k=2, inputCol="scaled", outputCol="pca"), filled)
+    assert FE.vector_size(longer.transform(filled), "pca") == 2
+
+
+def test_too_wide_vectors_are_refused(ready, monkeypatch):
+    monkeypatch.setattr(FE, "MAX_WIDTH", 3)
+    with pytest.raises(ValueError, match="too many"):
+        FE.fit_pca(ready, 2)
 
 
 def test_scalers_on_constant_columns(spark):

@@ -159,3 +159,30 @@ def test_shares_sum_to_hundred_with_null_group(skewed):
     shares = P.category_shares(df, ["g"])
     assert shares.where("value is null").count() == 1
     assert shares.agg(F.sum("percent")).first()[0] == pytest.approx(100)
+
+
+ODD = "x double, y double, `a.b` double"
+
+
+def test_profiles_of_odd_columns(spark):
+    """No value, one value, infinite values, and a name with a dot."""
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0, None, 2.0), (2.0, None, 2.0), (inf, None, 2.0)], ODD)
+    for bins in (3, "auto"):
+        rows = P.histogram(df, ["x", "y", "a.b"], bins).collect()
+        assert sum(r.n for r in rows if r.variable == "x") == 2
+        assert [(r.bin, r.n, r.percent) for r in rows if r.variable == "y"] == [(None, 0, None)]
+        assert sum(r.n for r in rows if r.variable == "a.b") == 3
+    assert P.histogram(df, ["y"], 4).count() == 1
+    curves = P.density(df, ["x", "y", "a.b"], points=5).collect()
+    assert [(r.point, r.density) for r in curves if r.variable == "y"] == [(None, None)]
+    assert {(r.x, r.density) for r in curves if r.variable == "a.b"} == {(2.0, None)}
+    assert all(r.density > 0 for r in curves if r.variable == "x")
+    assert P.density(df, ["x"], points=1).count() == 1
+
+
+def test_box_keeps_groups_without_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "g string, x double")
+    rows = {r.g: r for r in P.box_stats(df, ["x"], ["g"]).collect()}
+    assert rows["a"].q50 == 1.5 and rows["a"].outliers == 0
+    assert rows["b"].n_known == 0 and rows["b"].q50 is None and rows["b"].low_whisker is None

@@ -166,3 +166,19 @@ def test_prepare_text_uses_found_corrections(spark):
     vocabulary = spark.createDataFrame([("hospital", 5), ("patient", 3)], "word string, n bigint")
     done = prepare_text(df, ["a", "b"], vocabulary)
     assert sorted(r.final for r in done.collect()) == ["hospital"] + ["patient patient hospital"] * 3
+
+
+def test_candidates_are_complete_and_few(spark):
+    """All pairs within two edits share a shortened form, and few others do."""
+    chance = random.Random(8)
+    make = lambda: "".join(chance.choice("abcdefghij") for _ in range(chance.randint(1, 9)))
+    words = sorted({make() for _ in range(150)})
+    edited = sorted({w[:i] + chance.choice("abcxyz") + w[i + chance.randint(0, 1):] for w in words for i in [chance.randint(0, len(w))]})
+    left = spark.createDataFrame([(w, 1) for w in words], "word string, n int")
+    right = spark.createDataFrame([(w, 1) for w in edited], "word string, n int")
+    pairs = SP.candidate_pairs(left, right)
+    found = {(r.word, r.suggestion) for r in pairs.select("word", "suggestion").collect()}
+    every = left.select("word").crossJoin(right.select(F.col("word").alias("suggestion")))
+    near = every.where(SP.edits(F.col("word"), F.col("suggestion")).isNotNull())
+    assert {(r.word, r.suggestion) for r in near.collect()} <= found
+    assert len(found) < 0.1 * len(words) * len(edited)
