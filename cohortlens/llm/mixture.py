@@ -56,8 +56,8 @@ def targets(
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come closest to
-    ``budget`` from below. Lengths are distinct; ``counts`` says how many there are."""
+    """How many documents of each length to take so that their words come close to
+    ``budget``. Lengths are distinct; ``counts`` says how many there are."""
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
@@ -76,27 +76,34 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded subset sum by dynamic programming on a bit set of reachable sums."""
+    """Bounded subset sum by dynamic programming on a bit set of reachable sums.
+
+    Finds the sum nearest to ``budget``, the lower one of two as near; sums beyond twice the
+    budget are never nearer than taking nothing.
+    """
     out = np.zeros(len(lengths), np.int64)
     if budget <= 0:
         return out
-    mask = (1 << (budget + 1)) - 1
+    mask = (1 << (2 * budget + 1)) - 1
     reach = 1
     steps: list[tuple[int, int, int]] = []  # the sums reachable before, the length's place, how many
     for i in np.argsort(-lengths):
         length = int(lengths[i])
-        if not 0 < length <= budget:
+        if not 0 < length <= 2 * budget:
             continue
-        have, part = min(int(counts[i]), budget // length), 1
+        have, part = min(int(counts[i]), 2 * budget // length), 1
         while have:  # 1, 2, 4, ... and the rest make every number up to all
             part = min(part, have)
             steps.append((reach, int(i), part))
             reach |= (reach << (length * part)) & mask
             have -= part
             part *= 2
-        if reach >> budget:
+        if reach >> budget & 1:
             break
-    best = reach.bit_length() - 1
+    below = (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reach >> (budget + 1)
+    first_above = budget + (above & -above).bit_length() if above else 3 * budget
+    best = below if budget - below <= first_above - budget else first_above
     for before, i, part in reversed(steps):
         if not before >> best & 1:
             out[i] += part

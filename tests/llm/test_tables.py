@@ -250,18 +250,20 @@ def test_knapsack_is_the_best(items, budget):
     assert (chosen >= 0).all() and (chosen <= counts).all()
     reach = {0}
     for n, c in items:
-        reach = {r + n * k for r in reach for k in range(c + 1) if r + n * k <= budget}
-    assert int((chosen * lengths).sum()) == max(reach)
+        reach = {r + n * k for r in reach for k in range(c + 1)}
+    assert int((chosen * lengths).sum()) == min(reach, key=lambda r: (abs(r - budget), r))
 
 
 @given(st.lists(st.tuples(st.integers(0, 3000), st.integers(1, 50)), min_size=1, max_size=30, unique_by=lambda x: x[0]), st.floats(0, 1.2))
 @settings(max_examples=60, deadline=None)
-def test_fit_never_exceeds(items, part):
+def test_fit_is_near(items, part):
     lengths, counts = (np.array(x, np.int64) for x in zip(*items, strict=True))
     total = int((lengths * counts).sum())
     budget = int(part * total)
     chosen = mixture.fit(lengths, counts, budget)
-    assert (chosen >= 0).all() and (chosen <= counts).all() and int((chosen * lengths).sum()) <= max(budget, 0)
+    assert (chosen >= 0).all() and (chosen <= counts).all()
+    wanted = min(budget, total)
+    assert abs(int((chosen * lengths).sum()) - wanted) <= max(lengths)
 
 
 def check_mixture(rows, docs):
@@ -286,7 +288,7 @@ def test_mixture_of_whole_table(spark, small):
     found = mixture.mixture(docs)
     rows = found.collect()
     for goal, taken, _ in check_mixture(rows, [(r["doc_id"], r["source"], r["text"]) for r in docs.collect()]):
-        assert abs(goal - taken) <= 0.01 * goal + 5
+        assert abs(goal - taken) <= 0.01 * goal + 20
     assert sorted(map(tuple, rows)) == sorted(map(tuple, mixture.mixture(docs.repartition(5)).collect()))
 
 
@@ -296,7 +298,7 @@ def test_mixture_with_a_hot_source_and_length(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = mixture.mixture(docs).collect()
     for goal, taken, least in check_mixture(found, [(k, s, t) for k, t, s in rows]):
-        assert goal - taken < least + 1 and taken <= goal + 1
+        assert abs(goal - taken) < least + 1
     copies = Counter({r["doc_id"]: r["copies"] for r in found})
     mixed = mixture.mixed(docs)
     assert mixed.columns == docs.columns
