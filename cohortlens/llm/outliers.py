@@ -1,7 +1,7 @@
 """Quality rules: base limits, and robust multivariate outliers per language and source.
 
 Each text gives a vector of transformed statistics. For every cell of language and source the
-centre and the scatter are those of the half to three quarters of its rows that lie closest
+centre and the scatter are those of the half of its rows that lie closest
 together (minimum covariance determinant): starting from medians and quartiles, concentration
 steps measure all rows by the last estimate and estimate anew from the closest ones. Rows far
 from their cell's centre by Mahalanobis distance are rejected. Small cells use the estimate of
@@ -25,8 +25,8 @@ from cohortlens.sources.scratch import written
 MIN_WORDS = 50
 MOST_REPEATED = 0.5
 SYMBOLS = "#*$%&|<>"
-#: Share of a cell's rows the estimate rests on.
-SHARE = 0.75
+#: Share of a cell's rows the estimate rests on; fewer outliers than the rest do not move it.
+SHARE = 0.5
 STEPS = 6
 #: Rows a cell needs for an estimate of its own.
 CELL_ROWS = 200
@@ -145,7 +145,7 @@ def squared_distance() -> Column:
             term = (F.col(X[i]) - F.col(f"m{i}")) * (F.col(X[j]) - F.col(f"m{j}")) * F.col(f"p{i}_{j}")
             term = term if i == j else 2.0 * term
             total = term if total is None else total + term
-    return F.greatest(total, F.lit(0.0))
+    return F.when(total.isNotNull(), F.greatest(total, F.lit(0.0)))
 
 
 def start(cells: DataFrame) -> DataFrame:

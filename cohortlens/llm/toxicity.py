@@ -15,6 +15,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -29,7 +30,14 @@ FIT_ROWS = 20_000
 #: Mined stems, at most; the strongest stay.
 MINED = 400
 STEM_SIZES = (4, 5, 6)
+#: Log-likelihood ratio from which a stem is mined: chance gives one in a billion stems as much.
+LEAST_RATIO = 38.0
 THRESHOLD = 0.3
+#: How often a given label says toxic in either class, as believed at first, and rows that counts for at least.
+GIVEN_RATES = (0.01, 0.95)
+GIVEN_ROWS = 100
+#: Correlation, given the class, from which voters share their weight.
+CORRELATED = 0.5
 HELD_OUT = 2
 
 # Words that insult or demean, each a voter of its own.
@@ -93,7 +101,11 @@ def held_out(id_col: str) -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """``(text, toxic)`` of at most ``rows`` labelled documents that are not held out."""
+    """``(text, toxic)`` of at most ``rows`` labelled documents that are not held out.
+
+    Of copies and most near copies among them one stays, or the words of a text that is
+    repeated a thousand times would pass for toxic ones.
+    """
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
         .groupBy(F.col(id_col).cast("long").alias("labelled"))
@@ -102,13 +114,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         .limit(rows)
     )
     texts = docs.select(F.col(id_col).cast("long").alias("labelled"), F.col(text_col).alias("text"))
-    return written(texts.join(F.broadcast(known), "labelled").select("text", "toxic"), "training")
+
+    def make(batch: Iterable[tuple]) -> Iterator[tuple]:
+        for text, toxic in batch:
+            yield least_shingle(text), text, toxic
+
+    schema = T.StructType(
+        [T.StructField("shingle", T.LongType()), T.StructField("text", T.StringType()), T.StructField("toxic", T.IntegerType())]
+    )
+    labelled = map_rows(texts.join(F.broadcast(known), "labelled").select("text", "toxic"), make, schema)
+    first = F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text"), "toxic"))
+    return written(labelled.groupBy("shingle").agg(first.alias("row")).select("row.*"), "training")
+
+
+def least_shingle(text: str | None) -> int:
+    """The smallest hash of a text's three-word sequences; copies and most near copies share it."""
+    words = (text or "").encode("utf-8", "surrogatepass").split()
+    sequences = zip(words, words[1:], words[2:]) if len(words) > 2 else [tuple(words)]
+    return min(map(xxhash.xxh64_intdigest, map(b" ".join, sequences))) >> 1
+
+
+def _stems(words: F.Column, size: int) -> F.Column:
+    long = F.filter(words, lambda w: F.length(w) >= size)
+    return F.transform(long, lambda w: F.substring(w, 1, size))
 
 
 def mine_stems(training: DataFrame, limit: int = MINED) -> list[str]:
     """Word stems that stand in toxic rows far more often than in the others."""
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{4,}"), F.lit(0))
-    stems = F.array_distinct(F.flatten(F.array(*(F.transform(words, lambda w, n=n: F.substring(w, 1, n)) for n in STEM_SIZES))))
+    stems = F.array_distinct(F.flatten(F.array(*(_stems(words, size) for size in STEM_SIZES))))
     counted = (
         training.select("toxic", F.explode(stems).alias("stem"))
         .groupBy("stem")
@@ -118,13 +152,19 @@ def mine_stems(training: DataFrame, limit: int = MINED) -> list[str]:
     toxic = toxic or 0
     clean = many - toxic
     a, c = F.col("a"), F.col("c")
-    odds = F.log((a + 0.5) / (toxic - a + 0.5)) - F.log((c + 0.5) / (clean - c + 0.5))
-    error = F.sqrt(1 / (a + 0.5) + 1 / (toxic - a + 0.5) + 1 / (c + 0.5) + 1 / (clean - c + 0.5))
+    share = toxic / max(many, 1)
+    term = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    ratio = 2 * (
+        term(a, (a + c) * share)
+        + term(c, (a + c) * (1 - share))
+        + term(toxic - a, (many - a - c) * share)
+        + term(clean - c, (many - a - c) * (1 - share))
+    )
     chosen = (
-        counted.filter((a >= max(4, toxic // 250)) & (a * max(clean, 1) > 10 * c * max(toxic, 1)))
-        .withColumn("z", odds / error)
-        .filter("z > 3.5")
-        .orderBy(F.desc("z"), "stem")
+        counted.filter((a >= 4) & (a * max(clean, 1) > 10 * c * max(toxic, 1)))
+        .withColumn("ratio", ratio)
+        .filter(F.col("ratio") > LEAST_RATIO)
+        .orderBy(F.desc("ratio"), "stem")
         .limit(limit)
     )
     return sorted(r["stem"] for r in chosen.collect())
@@ -135,7 +175,7 @@ def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple
 
     ``fires`` is 0 or 1 by row and voter; ``given`` is the label, the last voter. Expectation
     maximisation from the given labels. Given the class, voters that still agree are
-    correlated; a voter's evidence is divided by one plus its correlations with the others.
+    correlated; a voter's evidence is divided by one plus its strong correlations with others.
     """
     votes = np.column_stack([fires, given]).astype(np.float64)
     posterior = np.where(given > 0, 0.9, 0.1)
@@ -145,12 +185,17 @@ def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple
         ones, zeros = posterior.sum() + 1.0, (1 - posterior).sum() + 1.0
         rate1 = (posterior @ votes + 0.05) / (ones + 0.1)
         rate0 = ((1 - posterior) @ votes + 0.05) / (zeros + 0.1)
+        # The hidden class is what the labels mean: what is believed of their errors at first
+        # counts as much as the rows, so voters that share a topic cannot become the class.
+        rate1[-1] = (posterior @ votes[:, -1] + (ones + GIVEN_ROWS) * GIVEN_RATES[1]) / (2 * ones - 1 + GIVEN_ROWS)
+        rate0[-1] = ((1 - posterior) @ votes[:, -1] + (zeros + GIVEN_ROWS) * GIVEN_RATES[0]) / (2 * zeros - 1 + GIVEN_ROWS)
         if step % 5 == 0:
             centred = votes - (posterior[:, None] * rate1 + (1 - posterior)[:, None] * rate0)
             spread = np.sqrt((centred**2).mean(axis=0)) + 1e-9
             agree = (centred / spread).T @ (centred / spread) / len(votes)
             np.fill_diagonal(agree, 0)
-            weight = 1 / (1 + np.where(agree > 0.1, agree, 0).sum(axis=1))
+            agree[-1] = agree[:, -1] = 0  # the label is no copy of another voter
+            weight = 1 / (1 + np.where(agree > CORRELATED, agree, 0).sum(axis=1))
         yes, no = weight * np.log(rate1 / rate0), weight * np.log((1 - rate1) / (1 - rate0))
         logit = math.log(ones / zeros) + votes @ yes + (1 - votes) @ no
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -197,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         examples += [(vector, label, weight) for label, weight in ((1.0, p), (0.0, 1 - p)) if weight > 1e-6]
     session = docs.sparkSession
     frame = session.createDataFrame(examples, ["features", "label", "weight"]).repartition(4).cache()
-    fitted = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=60, standardization=False).fit(frame)
+    fitted = LogisticRegression(weightCol="weight", regParam=1e-5, maxIter=100, standardization=False).fit(frame)
     frame.unpersist()
     return Model(voters, [float(w) for w in fitted.coefficients], float(fitted.intercept))
 

@@ -81,7 +81,7 @@ def test_label_model_finds_accuracies_and_correlations():
     votes = np.column_stack([good, good, weak, noise])  # the first two are one voter, given twice
     given = np.where(chance.random(4000) < 0.05, ~truth, truth).astype(float)
     posterior, yes, _ = toxicity.label_model(votes, given)
-    assert ((posterior > 0.5) == truth).mean() > 0.985
+    assert ((posterior > 0.5) == truth).mean() > 0.97
     assert yes[0] == pytest.approx(yes[1]) and yes[0] > 2 * yes[2] > 0
     assert abs(yes[3]) < 0.2
     alone = toxicity.label_model(votes[:, 1:], given)[1]
