@@ -59,9 +59,11 @@ def frequency(df: DataFrame, name: str) -> DataFrame:
 
 def category_counts(df: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Counts of every value of several columns, in one pass over the rows."""
-    wide = df.select(*group, *[F.col(n).cast("string").alias(n) for n in names])
+    cells = struct_rows(
+        [{"variable": F.lit(n), "value": F.col(f"`{n}`").cast("string")} for n in names]
+    )
     return (
-        wide.unpivot(list(group), list(names), "variable", "value")
+        df.select(*[F.col(f"`{g}`") for g in group], F.inline(cells))
         .groupBy(*group, "variable", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

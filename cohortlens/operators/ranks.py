@@ -72,8 +72,10 @@ def _so_far(window):
 
 def long_values(df: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Known values of numeric columns, one row per cell."""
-    wide = df.select(*group, *[F.col(n).cast("double").alias(n) for n in names])
-    return wide.unpivot(list(group), list(names), "variable", "value").where(
+    cells = struct_rows(
+        [{"variable": F.lit(n), "value": F.col(f"`{n}`").cast("double")} for n in names]
+    )
+    return df.select(*[F.col(f"`{g}`") for g in group], F.inline(cells)).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
 
@@ -111,7 +113,7 @@ def brackets(
     points = [min(max(p + side, 0.0), 1.0) for p in shares for side in (-MARGIN, MARGIN)]
     parts = []
     for i, name in enumerate(names):
-        value = F.col(name).cast("double")
+        value = F.col(f"`{name}`").cast("double")
         value = F.when(~F.isnan(value), value)
         parts += [
             F.count(value).alias(f"n{i}"),
