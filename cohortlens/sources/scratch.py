@@ -36,6 +36,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_written(spark: SparkSession) -> bool:
+    """Delete all intermediates of this application; False if there were none.
+
+    Results built from them cannot be read afterwards, so this comes last.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once as a shared parquet table and return a scan of it.
 

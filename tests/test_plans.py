@@ -113,3 +113,12 @@ def test_replace_and_attach_keep_all_rows(spark):
     done = R.replace_from(left, right, "k", "v")
     assert sorted(r.v for r in done.collect()) == ["b", "c", "z"]
     assert done.where(F.col("k").isNull()).count() == 1
+
+
+def test_intermediates_can_be_removed(spark, monkeypatch, tmp_path):
+    from cohortlens.sources import scratch
+
+    monkeypatch.setitem(scratch._local_roots, spark.sparkContext.applicationId, str(tmp_path / "own"))
+    assert scratch.written(spark.range(3)).count() == 3
+    assert scratch.remove_written(spark) and not (tmp_path / "own").exists()
+    assert not scratch.remove_written(spark)
