@@ -90,7 +90,7 @@ def dominant_values(
     return (
         shares.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= rows)
-        .withColumn("percent", F.round("percent", 2))
+        .withColumn("percent", F.bround("percent", 2))
     )
 
 

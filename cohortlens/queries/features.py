@@ -226,7 +226,7 @@ def explained_variance(spark, folder):
 @add(
     "fe10_variance_concentration",
     S.on_encounters(
-        "SELECT CAST(6 AS BIGINT) AS components, round((SELECT sum(c * c) FROM ("
+        f"SELECT CAST({len(NUMERIC)} AS BIGINT) AS components, round((SELECT sum(c * c) FROM ("
         + " UNION ALL ".join(
             f"SELECT covar_samp({a}, {b}) AS c FROM scaled" for a in NUMERIC for b in NUMERIC
         )

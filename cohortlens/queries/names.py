@@ -96,25 +96,26 @@ def averages_by_dict(spark, folder):
     return rounded(found, ["mean_time_in_hospital", "mean_num_medications"])
 
 
+RATE_MEASURES = MEASURES | {"num_procedures": "procedures"}
 EVENTS = "count(CASE WHEN readmitted = '<30' THEN 1 END)"
 
 
 def _rate_profile(spark, folder):
     early = F.col("readmitted") == "<30"
-    return IN.profile_with_rate(by_patient(spark, folder), MEASURES, early)
+    return IN.profile_with_rate(by_patient(spark, folder), RATE_MEASURES, early)
 
 
 @add(
     "ag16_profile_with_events",
     S.on_encounters(
         "SELECT prediction, count(*) AS n, "
-        + ", ".join(f"round(avg({c}), 8) AS {out}" for c, out in MEASURES.items())
+        + ", ".join(f"round(avg({c}), 8) AS {out}" for c, out in RATE_MEASURES.items())
         + f", {EVENTS} AS events FROM nine GROUP BY prediction",
         NINE,
     ),
 )
 def profile_with_events(spark, folder):
-    return rounded(_rate_profile(spark, folder), OUT)
+    return rounded(_rate_profile(spark, folder), list(RATE_MEASURES.values()))
 
 
 @add(
@@ -169,7 +170,7 @@ def share_in_cluster(spark, folder):
 @add(
     "w1_dominant_values",
     S.on_groups(
-        "SELECT prediction, variable, value, n, round(percent, 2) AS percent, place FROM ("
+        "SELECT prediction, variable, value, n, round_even(percent, 2) AS percent, place FROM ("
         "SELECT *, CAST(row_number() OVER (PARTITION BY prediction, variable ORDER BY n DESC, value) "
         "AS INTEGER) AS place FROM shared) WHERE place <= 3",
         LONG_GROUPS,

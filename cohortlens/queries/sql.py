@@ -14,7 +14,8 @@ SELECT o.o_orderkey AS encounter_id,
        CASE WHEN o.o_totalprice < 100000 THEN 'No'
             WHEN o.o_totalprice < 250000 THEN 'Steady' ELSE 'Up' END AS insulin,
        i.time_in_hospital, i.num_medications, i.num_lab_procedures,
-       i.number_diagnoses, i.number_inpatient, i.number_emergency
+       i.num_procedures, i.number_diagnoses, i.number_inpatient, i.number_outpatient,
+       i.number_emergency
 FROM orders o
 JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN (
@@ -25,7 +26,9 @@ LEFT JOIN (
          CAST(count(*) AS BIGINT) AS time_in_hospital,
          CAST(sum(l.l_quantity) AS BIGINT) AS num_medications,
          CAST(max(p.p_size) AS BIGINT) AS num_lab_procedures,
+         CAST(sum(CASE WHEN l.l_tax > 0.04 THEN 1 ELSE 0 END) AS BIGINT) AS num_procedures,
          CAST(count(DISTINCT p.p_brand) AS BIGINT) AS number_diagnoses,
+         CAST(sum(CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS number_outpatient,
          CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS number_inpatient,
          CAST(sum(CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS number_emergency
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey

@@ -18,8 +18,10 @@ NUMERIC = [
     "time_in_hospital",
     "num_medications",
     "num_lab_procedures",
+    "num_procedures",
     "number_diagnoses",
     "number_inpatient",
+    "number_outpatient",
     "number_emergency",
 ]
 
@@ -42,8 +44,10 @@ def item_facts(spark: SparkSession, folder: str) -> DataFrame:
             F.count(F.lit(1)).alias("time_in_hospital"),
             F.sum("l_quantity").cast("bigint").alias("num_medications"),
             F.max("p_size").cast("bigint").alias("num_lab_procedures"),
+            F.count_if(F.col("l_tax") > 0.04).alias("num_procedures"),
             F.countDistinct("p_brand").alias("number_diagnoses"),
             F.sum(flag.cast("bigint")).alias("number_inpatient"),
+            F.count_if(F.col("l_returnflag") == "A").alias("number_outpatient"),
             F.sum(shipped.cast("bigint")).alias("number_emergency"),
         )
     )
