@@ -30,6 +30,8 @@ SHARE = 0.5
 STEPS = 6
 #: Rows a cell needs for an estimate of its own.
 CELL_ROWS = 200
+#: Estimates that are broadcast, at most.
+MOST_BROADCAST = 10_000
 #: Rows are rejected beyond this quantile of the squared distance of normal vectors, in
 #: standard deviations of its cube-root approximation.
 CUT = 5.0
@@ -171,6 +173,12 @@ def _estimate_type() -> T.StructType:
     )
 
 
+def _side(estimate: DataFrame) -> DataFrame:
+    """Estimates are broadcast while they are counted to be few, some 300 bytes each; beyond
+    that Spark chooses, and splits what it shuffles."""
+    return F.broadcast(estimate) if estimate.count() <= MOST_BROADCAST else estimate
+
+
 def concentrate(cells: DataFrame, estimate: DataFrame) -> DataFrame:
     """One concentration step: sums by cell and step of distance, then per cell the closest
     steps that hold SHARE of its rows. Sums are combined before they are shuffled; a cell then
@@ -180,7 +188,7 @@ def concentrate(cells: DataFrame, estimate: DataFrame) -> DataFrame:
     sums = [F.sum(x).alias(f"s_{x}") for x in X]
     squares = [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"q{i}_{j}") for i in range(SIZE) for j in range(i, SIZE)]
     by_step = (
-        cells.join(estimate, "cell")
+        cells.join(_side(estimate), "cell")
         .withColumn("step", step)
         .groupBy("cell", "step")
         .agg(F.count(F.lit(1)).alias("n"), *sums, *squares)
@@ -255,7 +263,7 @@ def quality(
     distance = squared_distance()
     cut = normal_quantile(CUT)
     return (
-        rows.join(levels, "cell0")
+        rows.join(_side(levels), "cell0")
         .select("*", F.round(F.sqrt(distance), 9).alias("distance"))
         .select(
             "doc_id",

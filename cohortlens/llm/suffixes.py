@@ -267,14 +267,15 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = keyed(docs, id_col, text_col)
     every = written(suffixes(texts), "suffixes")
     common = every.groupBy("core").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    every = written(every.join(common.select("core"), "core", "left_semi"), "common")
+    # Written first: then both sides of the join are plain exchanges, and a hot core is split.
+    every = written(every.join(written(common.select("core"), "cores"), "core", "left_semi"), "common")
     contexts = written(
         every.groupBy("core", "context").agg(
             F.min(F.struct("id", "body", "place")).alias("at"), F.min("id").alias("first"), F.max("id").alias("last")
         ),
         "contexts",
     )
-    several = contexts.groupBy("core").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1")
+    several = written(contexts.groupBy("core").agg(F.count(F.lit(1)).alias("ways")).filter("ways > 1"), "several")
     part = F.struct("core", "context", "at.place", "first", "last", (F.col("ways") > GROUP).alias("many"))
     wanted = (
         contexts.join(several, "core")
