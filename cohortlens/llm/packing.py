@@ -26,7 +26,7 @@ from cohortlens.sources.scratch import written
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 #: Stretches between spaces whose ids a Python worker keeps at hand.
-KNOWN_FORMS = 1_000_000
+KNOWN_FORMS = 400_000
 
 # The published split pattern of this byte-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
