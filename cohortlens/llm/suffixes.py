@@ -239,7 +239,8 @@ def _compare_wide(wide: DataFrame) -> DataFrame:
             yield *same, key.view(np.int64), before.astype(np.int32)
 
     every = map_arrays(wide, make, schema)
-    found = every.groupBy("key").agg(F.min("first").alias("low"), F.max("last").alias("high")).filter("low < high")
+    found = every.groupBy("key").agg(F.min("first").alias("low"), F.max("last").alias("high"))
+    found = written(found.filter("low < high"), "windows")
     extent = lambda when, value, pick, name: F.coalesce(pick(F.when(when, value)), F.lit(0)).cast("int").alias(name)
     known = F.col("low") < F.col("first")
     end = F.lit(MIN_WORDS) - F.col("left")
