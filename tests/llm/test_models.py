@@ -137,6 +137,43 @@ def test_estimates_resist_outliers(spark):
     assert wrong <= 3
 
 
+def test_verdict_follows_the_spread_of_the_cell(spark):
+    """Marks per word spread widely in one language and hardly in another: the same rows with
+    more marks are usual in the first and far off in the second."""
+    chance = random.Random(5)
+    word = lambda: "".join(chance.choice("abcdefghijklmnop") for _ in range(chance.randint(3, 7)))
+
+    def text(share):
+        return " ".join(w + "," * (i % 100 < 100 * share) for i, w in enumerate(word() for _ in range(200)))
+
+    rows = [(i, text(chance.uniform(0.1, 0.5)), "wide") for i in range(300)]
+    rows += [(300 + i, text(chance.uniform(0.19, 0.22)), "narrow") for i in range(300)]
+    rows += [(600 + i, text(0.4), lang) for i, lang in enumerate(["wide"] * 5 + ["narrow"] * 5)]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in outliers.quality(docs).collect()}
+    assert sum(kept[i] for i in range(600)) >= 594
+    assert [kept[600 + i] for i in range(10)] == [True] * 5 + [False] * 5
+
+
+def test_copies_leave_a_cell_its_scatter(spark):
+    """A text that fills over half of a cell does not turn the others into outliers."""
+    chance = random.Random(6)
+    word = lambda: "".join(chance.choice("abcdefghijklmnop") for _ in range(chance.randint(3, 7)))
+    texts = [" ".join(word() for _ in range(chance.randint(60, 200))) for _ in range(300)]
+    rows = outliers.quality(documents(spark, texts + texts[:1] * 500)).collect()
+    assert sum(r["kept"] for r in rows) >= 795
+
+
+def test_guards_only_stand_in_for_a_scatter_of_zero():
+    guard = np.full(outliers.SIZE, 0.1)
+    wide = np.diag(np.arange(1.0, outliers.SIZE + 1))
+    wide[0, 1] = wide[1, 0] = 0.5
+    assert np.allclose(outliers.guarded(wide, guard), wide, atol=1e-3)
+    wide[2] = wide[:, 2] = 0.0
+    assert outliers.guarded(wide, guard)[2, 2] == pytest.approx(0.01)
+    assert outliers.chi_square(0.99999) == pytest.approx(36.1, abs=0.3)
+
+
 def test_quality_of_odd_rows(spark):
     rows = outliers.quality(documents(spark, [None, "", "a " * 60, " ".join(f"w{i}" for i in range(70))], [None, 1, 2, 2])).collect()
     assert Counter((r["base_failed"], r["kept"], r["distance"] is None) for r in rows) == Counter([(True, False, True)] * 3 + [(False, True, True)])
