@@ -324,23 +324,49 @@ def build(long: list[str], short: list[str], chance: random.Random) -> str:
         title = f"<h3>{brief()}</h3>" if chance.random() < 0.5 else ""
         return f'<{tag} {pick(["class", "id"])}="{pick("comments comment-list discussion-comments respond user-comments reader-comments replies".split())}" data-part="0">{title}{"".join(each() for _ in few(1, 5))}</{tag}>'
 
+    def marked(text: str) -> str:
+        """Prose with links, emphasis, spans and code around runs of its words, one inside another at times."""
+        words, out = text.split(), []
+        rate = pick((0, 0.01, 0.03, 0.08, 0.2))
+        while words:
+            if chance.random() >= rate:
+                out.append(words.pop(0))
+                continue
+            run = chance.randint(1, pick((2, 5, 12)))
+            inner, words = " ".join(words[:run]), words[run:]
+            for tag in chance.sample(("a", "a", "a", "em", "strong", "b", "i", "span", "code"), 1 + (chance.random() < 0.15)):
+                inner = f"<{tag} href='/x'>{inner}</a>" if tag == "a" else f"<{tag}>{inner}</{tag}>"
+            out.append(inner)
+        return " ".join(out)
+
+    def listed() -> str:
+        """An item of a list in the body, at times only a link or led by one."""
+        kind = chance.random()
+        if kind < 0.3:
+            return f"<a href='/x'>{pick((brief, some))()}</a>"
+        return f"<a href='/x'>{brief()}</a> {some()}" if kind < 0.5 else marked(some())
+
     def body_block() -> str:
         roll = chance.random()
+        if roll < 0.66:
+            return f"<p>{marked(prose())}</p>"
+        if roll < 0.70:
+            return f"<pre>{some()}</pre>" if chance.random() < 0.5 else f"<pre><code>{some()}</code></pre>"
         if roll < 0.72:
-            return f"<p>{prose()}</p>"
+            return f"<p><a href='/x'>{some()}</a></p>"
         if roll < 0.78:
-            return f"<p><b>{some()}.<br><p>{prose()}</p>"
-        if roll < 0.84:
-            return f"<h2>{brief()}</h2><p>{prose()}"
+            return f"<p><b>{some()}.<br><p>{marked(prose())}</p>"
+        if roll < 0.82:
+            return f"<h2>{brief()}</h2><p>{marked(prose())}"
         if roll < 0.88:
-            return f"<{(t := pick(['ul', 'ol']))}>" + "".join(f"<li>{some()}</li>" for _ in few(2, 5)) + f"</{t}>"
+            return f"<{(t := pick(['ul', 'ol']))}>" + "".join(f"<li>{listed()}</li>" for _ in few(2, 5)) + f"</{t}>"
         if roll < 0.92:
-            return f"<blockquote>{some()}</blockquote>"
+            return f"<blockquote>{marked(some())}</blockquote>"
         if roll < 0.95:
             return f"<figure><img src='a.png'><figcaption>{brief()}</figcaption></figure>"
         if roll < 0.97:
             return f"<table><tr><td>{brief()}</td><td>{some()}</td></tr></table>"
-        return f"<div>{prose()}</div>"
+        return f"<div>{marked(prose())}</div>"
 
     title = f"<h1>{brief()}</h1>"
     inner = [body_block() for _ in few(1, 14)] if chance.random() < 0.9 else [f"<p>{some()}</p>"]

@@ -237,6 +237,18 @@ def test_markups_not_in_the_table(trees, body, expected):
     assert text_of(trees, whole(body)) == "\n\n".join(expected)
 
 
+def test_links_and_marks_inside_paragraphs_stay(trees):
+    first = LOREM.replace("dolor sit", "<a href=/d>dolor sit</a>").replace("magna aliqua", "<a href=/m><em>magna aliqua</em></a>")
+    second = LOREM.replace("elit", "<code>elit</code>").replace("Ut enim", "<span>Ut enim</span>").replace("veniam", "<a href=/v>veniam</a>")
+    items = "".join(f"<li><a href=/{i}>{LOREM[:50]}</a> {LOREM}</li>" for i in range(2))
+    page = (
+        f"<nav><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></nav><article><h1>Title</h1><p>{first}</p>"
+        f"<p>{second}</p><ul>{items}</ul><pre>{LOREM}</pre><p>{first}</p></article><footer><a href=/c>&copy; X</a></footer>"
+    )
+    item = f"{LOREM[:50]} {LOREM}"
+    assert text_of(trees, whole(page)).split("\n\n") == ["Title", LOREM, LOREM, item, item, LOREM, LOREM]
+
+
 def test_held_out_built_pages(spark, trees):
     chance = random.Random("other")
     right = found = wanted = 0
