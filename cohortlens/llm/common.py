@@ -27,7 +27,10 @@ def utf8(text: str | None) -> bytes:
 
 
 def map_rows(
-    df: DataFrame, make: Callable[[Iterable[tuple]], Iterable[tuple]], schema: T.StructType
+    df: DataFrame,
+    make: Callable[[Iterable[tuple]], Iterable[tuple]],
+    schema: T.StructType,
+    rows_per_batch: int = 4096,
 ) -> DataFrame:
     """Rows of ``df`` through a Python generator, moved in Arrow batches of bounded size.
 
@@ -35,7 +38,6 @@ def map_rows(
     one batch in and one batch out are held.
     """
     arrow = to_arrow_schema(schema)
-    rows_per_batch = 4096
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:

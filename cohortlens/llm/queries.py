@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import extraction, licenses, merkle, mixture, outliers, packing, shards, simhash, suffixes, toxicity
+from cohortlens.llm import (
+    extraction,
+    infill,
+    licenses,
+    merkle,
+    mixture,
+    outliers,
+    packing,
+    shards,
+    simhash,
+    suffixes,
+    toxicity,
+    whitening,
+)
 from cohortlens.llm.common import table
 from cohortlens.queries import Registry
 
@@ -59,3 +72,13 @@ def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op10_source_mixture")
 def source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mixture(table(spark, folder, "documents")).drop("source", "copies")
+
+
+@registry.add("op11_fill_in_middle", infill.SQL)
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(infill.fill_in_middle(table(spark, folder, "documents")))
+
+
+@registry.add("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
