@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlens.llm import (
     extraction,
     infill,
+    jaccard,
     licenses,
     merkle,
     mixture,
@@ -82,3 +83,8 @@ def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op12_embedding_whitening")
 def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@registry.add("op13_ngram_jaccard_join", jaccard.SQL)
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.classes(table(spark, folder, "documents"))
