@@ -34,9 +34,11 @@ from cohortlens.sources.tables import broadcast_if_small
 WIDTH = 5
 #: Linked if the intersection is at least so many percent of the union.
 PERCENT = 80
-#: Bits of the hash that name its group, and so dimensions of the points.
-GROUP_BITS = 7
+#: Bits of the hash that name its group, and so dimensions of the points. Counts are bytes: what
+#: a group has beyond 255 counts for the set as a whole.
+GROUP_BITS = 9
 GROUPS = 1 << GROUP_BITS
+MOST = 255
 #: Cells of the table of counts that orders shingles; its size does not depend on the input.
 CELL_BITS = 20
 #: Points in a leaf, and in a tile.
@@ -51,6 +53,7 @@ STEP = 1 << 13
 #: Width of the bands of set sizes that tiles are made of.
 BAND = 1.06
 
+_ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -62,13 +65,24 @@ def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64)
-    parts = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(words) - width + 1))
+    total = len(words) - width + 1
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    found = hashes[:total].copy()
+    # Each step is one to one in what is known so far and in the word that comes next.
+    for i in range(1, width):
+        found *= _ODD
+        found ^= found >> _SHIFT
+        found += hashes[i : i + total]
+    found *= _ODD
+    found ^= found >> _SHIFT
+    found *= _ODD
+    return np.unique(found)
 
 
 def point(found: np.ndarray) -> np.ndarray:
-    """Count of the hashes in each group."""
-    return np.bincount((found >> np.uint64(64 - GROUP_BITS)).astype(np.int64), minlength=GROUPS).astype("<u4")
+    """Count of the hashes in each group, at most ``MOST``."""
+    counts = np.bincount((found >> np.uint64(64 - GROUP_BITS)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(counts, MOST).astype(np.uint8)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -86,11 +100,12 @@ class Tree:
     last: np.ndarray
     child: np.ndarray  # number of the lower child; -1 for leaves
     upper: np.ndarray  # upper corners
+    excess: np.ndarray  # most that a set has beyond its point
     least: np.ndarray  # smallest set
     label: np.ndarray  # the one class of all points below, or -1
 
 
-def tree(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Tree:
+def tree(points: np.ndarray, excess: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Tree:
     """Packed top down: each box is cut in the middle of the side along which it is widest."""
     order = np.arange(len(points))
     first, last, child = [0], [len(points)], []
@@ -101,47 +116,51 @@ def tree(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> Tree:
             continue
         own = order[start:end]
         spread = np.ptp(points[own], axis=0)
-        side = points[own, int(spread.argmax())] if spread.max() * 8 > np.ptp(sizes[own]) else sizes[own]
+        side = points[own, int(spread.argmax())] if int(spread.max()) * 8 > np.ptp(sizes[own]) else sizes[own]
         middle = (end - start) // 2
         order[start:end] = own[np.argpartition(side, middle, kind="introselect")]
         child.append(len(first))
         first += [start, start + middle]
         last += [start + middle, end]
     upper = np.zeros((len(first), points.shape[1]), points.dtype)
-    least = np.zeros(len(first), np.int64)
+    least, beyond = np.zeros((2, len(first)), np.int64)
     label = np.full(len(first), -1, np.int64)
     for box in reversed(range(len(first))):
         low = child[box]
         if low < 0:
             own = order[first[box] : last[box]]
-            upper[box], least[box] = points[own].max(axis=0), sizes[own].min()
+            upper[box], beyond[box], least[box] = points[own].max(axis=0), excess[own].max(), sizes[own].min()
             names = labels[own]
             label[box] = names[0] if (names == names[0]).all() else -1
         else:
             upper[box] = np.maximum(upper[low], upper[low + 1])
+            beyond[box] = max(beyond[low], beyond[low + 1])
             least[box] = min(least[low], least[low + 1])
             label[box] = label[low] if label[low] == label[low + 1] else -1
-    return Tree(order, np.array(first), np.array(last), np.array(child), upper, least, label)
+    return Tree(order, np.array(first), np.array(last), np.array(child), upper, beyond, least, label)
 
 
-def _within(
-    a: np.ndarray, b: np.ndarray, upper_a: np.ndarray, upper_b: np.ndarray, least_a: np.ndarray, least_b: np.ndarray, percent: int
-) -> np.ndarray:
-    """Which of the pairs can hold a link: ``overlap >= percent / (100 + percent) * (|A| + |B|)``."""
-    found = np.zeros(len(a), bool)
+def overlap(one: Tree | Side, other: Tree | Side, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Most shingles that sets below the boxes (or of the points) ``a`` and ``b`` can share."""
+    most = np.minimum(one.excess[a], other.excess[b])
     for start in range(0, len(a), STEP):
         i, j = a[start : start + STEP], b[start : start + STEP]
-        most = np.minimum(upper_a[i], upper_b[j]).sum(axis=1, dtype=np.int64)
-        found[start : start + STEP] = (100 + percent) * most >= percent * (least_a[i] + least_b[j])
-    return found
+        most[start : start + STEP] += np.minimum(one.upper[i], other.upper[j]).sum(axis=1, dtype=np.int64)
+    return most
+
+
+def _within(one: Tree | Side, other: Tree | Side, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs can hold a link: ``overlap >= percent / (100 + percent) * (|A| + |B|)``."""
+    return (100 + percent) * overlap(one, other, a, b) >= percent * (one.least[a] + other.least[b])
 
 
 class Side:
     """The points of a tile with their tree."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> None:
-        self.points, self.sizes, self.labels = points, sizes, labels
-        self.tree = tree(points, sizes, labels)
+        self.upper, self.least, self.labels = points, sizes, labels
+        self.excess = sizes - points.sum(axis=1, dtype=np.int64)
+        self.tree = tree(points, self.excess, sizes, labels)
 
 
 def surviving(one: Side, other: Side, percent: int = PERCENT, visits: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +176,7 @@ def surviving(one: Side, other: Side, percent: int = PERCENT, visits: list[int]
     while len(a):
         if visits is not None:
             visits.append(len(a))
-        keep = _within(a, b, s.upper, t.upper, s.least, t.least, percent)
+        keep = _within(s, t, a, b, percent)
         keep &= (s.label[a] < 0) | (s.label[a] != t.label[b])
         a, b = a[keep], b[keep]
         ready = (s.child[a] < 0) & (t.child[b] < 0)
@@ -185,7 +204,7 @@ def surviving(one: Side, other: Side, percent: int = PERCENT, visits: list[int]
             p, q = s.order[left[once]], t.order[right[once]]
             keep = one.labels[p] != other.labels[q]
             p, q = p[keep], q[keep]
-            keep = _within(p, q, one.points, other.points, one.sizes, other.sizes, percent)
+            keep = _within(one, other, p, q, percent)
             out.append((p[keep], q[keep]))
     if not out:
         return a, b
@@ -330,7 +349,7 @@ def _units(dealt: DataFrame, columns: list[str], join: Callable[[dict[str, list]
 
 
 def _side(columns: dict[str, pa.ChunkedArray], chosen: np.ndarray) -> Side:
-    points = np.frombuffer(b"".join(columns["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
+    points = np.frombuffer(b"".join(columns["point"].to_pylist()), np.uint8).reshape(-1, GROUPS)
     return Side(points[chosen], columns["n"].to_numpy()[chosen], columns["label"].to_numpy()[chosen])
 
 
@@ -341,18 +360,10 @@ def _large_links(members: DataFrame, sets: DataFrame, width: int, percent: int)
     between tiles that are missed here are found with those of small groups.
     """
     own = members.filter(F.col("rows") >= LARGE).groupBy("row").agg(F.max_by("shingle", F.struct("rows", "shingle")).alias("shingle"))
-    own = broadcast_if_small(own, 500_000)
-    rows = written(sets.select("row", "text", "n", "point").join(own, "row"), "large")
-    tiles = rows.groupBy("shingle").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") * 8 / TILE_BYTES)).cast("long").alias("tiles")
-    )
-    deals = F.explode(F.when(F.col("tiles") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    dealt = (
-        rows.join(tiles, "shingle")
-        .select("*", deals.alias("deal"))
-        .withColumn("unit", 2 * F.pmod(F.xxhash64("row", "deal"), F.col("tiles")) + F.col("deal"))
-        .withColumns({"side": F.lit(0), "label": F.col("row")})
-    )
+    rows = sets.select("row", "n", "point").join(broadcast_if_small(own, 500_000), "row")
+    near = _units(_tiles(written(rows, "large"), TILE), UNIT, _with_partners(percent)).select(F.col("a").alias("row")).distinct()
+    near = broadcast_if_small(near.join(own, "row"), 500_000)
+    rows = written(sets.select("row", "text", "n", "point").join(near, "row"), "large-near")
 
     def join(columns: dict[str, pa.ChunkedArray]) -> tuple[np.ndarray, np.ndarray]:
         names = columns["row"].to_numpy()
@@ -360,12 +371,10 @@ def _large_links(members: DataFrame, sets: DataFrame, width: int, percent: int)
         found = [shingles(t, width) for t in columns["text"].to_pylist()]
         p, q = surviving(one, one, percent)
         # Likeliest pairs first; what they link need not be compared.
-        most = np.concatenate(
-            [np.zeros(0), *(np.minimum(one.points[p[i : i + STEP]], one.points[q[i : i + STEP]]).sum(axis=1) for i in range(0, len(p), STEP))]
-        )
+        likely = overlap(one, one, p, q) / (one.least[p] + one.least[q])
         group = np.arange(len(names))
         edges = []
-        for at in np.argsort(-most / (one.sizes[p] + one.sizes[q]), kind="stable").tolist():
+        for at in np.argsort(-likely, kind="stable").tolist():
             i, j = int(p[at]), int(q[at])
             if group[i] != group[j] and linked(found[i], found[j], percent):
                 group[group == group[j]] = group[i]
@@ -373,7 +382,33 @@ def _large_links(members: DataFrame, sets: DataFrame, width: int, percent: int)
         a, b = np.array(edges, np.int64).reshape(-1, 2).T
         return a, b
 
-    return _units(dealt, [*UNIT, "text"], join)
+    return _units(_tiles(rows, TILE), [*UNIT, "text"], join)
+
+
+def _with_partners(percent: int) -> Callable[[dict[str, pa.ChunkedArray]], tuple[np.ndarray, np.ndarray]]:
+    """The rows of a unit that any other may be linked with."""
+
+    def join(columns: dict[str, pa.ChunkedArray]) -> tuple[np.ndarray, np.ndarray]:
+        names = columns["row"].to_numpy()
+        one = _side(columns, np.arange(len(names)))
+        found = names[np.unique(np.concatenate(surviving(one, one, percent)))]
+        return found, found
+
+    return join
+
+
+def _tiles(rows: DataFrame, size: int) -> DataFrame:
+    """Rows dealt into tiles of their group, each twice where there are several."""
+    tiles = rows.groupBy("shingle").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum("n") * 8 / TILE_BYTES)).cast("long").alias("tiles")
+    )
+    deals = F.explode(F.when(F.col("tiles") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return (
+        rows.join(tiles, "shingle")
+        .select("*", deals.alias("deal"))
+        .withColumn("unit", 2 * F.pmod(F.xxhash64("row", "deal"), F.col("tiles")) + F.col("deal"))
+        .withColumns({"side": F.lit(0), "label": F.col("row")})
+    )
 
 
 def _candidates(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

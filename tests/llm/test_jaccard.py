@@ -52,7 +52,7 @@ def test_set_sizes(text):
 def test_tree_loses_no_pair(seed, count, two):
     draw = np.random.default_rng(seed)
     centres = draw.poisson(3, (4, jaccard.GROUPS))
-    points = (centres[draw.integers(0, 4, count)] + draw.integers(0, 2, (count, jaccard.GROUPS))).astype("<u4")
+    points = (centres[draw.integers(0, 4, count)] + draw.integers(0, 2, (count, jaccard.GROUPS))).astype(np.uint8)
     sizes, labels = points.sum(axis=1).astype(np.int64), draw.integers(0, 40, count)
     half = count // 2 if two and count > 1 else count
     one = jaccard.Side(points[:half], sizes[:half], labels[:half])
@@ -74,7 +74,7 @@ def test_tree_prunes():
     draw = np.random.default_rng(1)
     centres = draw.poisson(draw.uniform(0.5, 6, (64, 1)), (64, jaccard.GROUPS))
     points = np.repeat(centres, 32, axis=0) + (draw.random((64 * 32, jaccard.GROUPS)) < 0.01)
-    points = points.astype("<u4")
+    points = points.astype(np.uint8)
     side = jaccard.Side(points, points.sum(axis=1).astype(np.int64), np.arange(len(points)))
     visits = []
     p, _ = jaccard.surviving(side, side, visits=visits)
