@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +28,15 @@ def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def release_memory() -> None:
+    """Return what a reused Python worker has freed to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[Iterable[tuple]], Iterable[tuple]],
@@ -47,13 +58,17 @@ def map_rows(
                     yield from zip(*(column.to_pylist() for column in part.columns), strict=True)
 
         held: list[tuple] = []
-        for row in make(rows()):
-            held.append(row)
-            if len(held) >= rows_per_batch:
+        try:
+            for row in make(rows()):
+                held.append(row)
+                if len(held) >= rows_per_batch:
+                    yield _batch(held, arrow)
+                    held = []
+            if held:
                 yield _batch(held, arrow)
-                held = []
-        if held:
-            yield _batch(held, arrow)
+        finally:
+            held = []
+            release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -146,14 +161,18 @@ def map_arrays(
 
         held: list[tuple] = []
         size = 0
-        for columns in make(read()):
-            held.append(columns)
-            size += len(columns[0])
-            if size >= rows:
+        try:
+            for columns in make(read()):
+                held.append(columns)
+                size += len(columns[0])
+                if size >= rows:
+                    yield _joined(held, arrow)
+                    held, size = [], 0
+            if held:
                 yield _joined(held, arrow)
-                held, size = [], 0
-        if held:
-            yield _joined(held, arrow)
+        finally:
+            held = []
+            release_memory()
 
     return df.mapInArrow(run, schema)
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,8 +24,8 @@ from cohortlens.sources.scratch import written
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-#: Stretches between spaces whose ids a Python worker keeps at hand.
-KNOWN_FORMS = 400_000
+#: Stretches between spaces whose ids are kept at hand while a partition is encoded.
+KNOWN_FORMS = 200_000
 
 # The published split pattern of this byte-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -95,11 +94,6 @@ class Ids:
         return self.whole(first) + b"".join([found[s] if s in found else known[s] for s in rest])
 
 
-@cache
-def _ids(path: str | None) -> Ids:
-    return Ids(path or default_vocabulary())
-
-
 def cut(tokens: int, size: int = SEQUENCE_TOKENS) -> Iterator[tuple[int, int]]:
     """``(start, length)`` of a document's pieces: all full but the first, if one is short."""
     short = tokens % size
@@ -132,7 +126,8 @@ def pieces(
     """Tokenised pieces of all documents; each document ends with the end id."""
 
     def make(rows: Iterable[tuple]) -> Iterator[tuple]:
-        ids = _ids(vocabulary)
+        # Made for this partition and let go with it: later stages reuse the worker.
+        ids = Ids(vocabulary or default_vocabulary())
         end = np.array([END_ID], IDS).tobytes()
         for key, text in rows:
             data = ids(text or "") + end

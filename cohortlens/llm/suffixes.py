@@ -41,20 +41,27 @@ _SIDE = np.array([_BASE, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 class _Powers:
-    """Powers of the rolling hash's base and of its inverse, as far as texts have needed."""
+    """Powers of the rolling hash's base and of its inverse. Those for long texts are made when
+    they are needed and not kept."""
 
+    KEPT = 1 << 14
     base = inverse = np.ones(1, np.uint64)
 
     @classmethod
     def upto(cls, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if count > cls.KEPT:
+            return cls._made(count)
         if len(cls.base) < count:
-            size = 2 * count
-            for name, factor in (("base", _BASE), ("inverse", _INVERSE)):
-                steps = np.full(size, factor, np.uint64)
-                steps[0] = 1
-                setattr(cls, name, np.cumprod(steps, dtype=np.uint64))
+            cls.base, cls.inverse = cls._made(cls.KEPT)
         return cls.base[:count], cls.inverse[:count]
 
+    @staticmethod
+    def _made(count: int) -> tuple[np.ndarray, np.ndarray]:
+        steps = np.full((2, count), [[_BASE], [_INVERSE]], np.uint64)
+        steps[:, 0] = 1
+        base, inverse = np.cumprod(steps, axis=1, dtype=np.uint64)
+        return base, inverse
+
 
 def mix(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that order and equality of sums say nothing about the words."""
@@ -108,7 +115,7 @@ def retained(text: str | None) -> tuple[np.ndarray, ...]:
 
 _LONG, _INT = T.LongType(), T.IntegerType()
 SUFFIXES = T.StructType(
-    [T.StructField(n, t) for n, t in (("id", _LONG), ("body", _INT), ("place", _INT), ("end", _INT), ("core", _LONG), ("context", _LONG))]
+    [T.StructField(n, t) for n, t in (("id", _LONG), ("body", _LONG), ("place", _INT), ("end", _INT), ("core", _LONG), ("context", _LONG))]
 )
 
 
@@ -116,7 +123,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, body, text)``: a document's id, null as the smallest number, and its text's hash."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("body"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"),
         F.col(text_col).alias("text"),
     )
 
@@ -126,7 +133,7 @@ def suffixes(texts: DataFrame) -> DataFrame:
         for key, body, text in rows:
             at, end, core, context = retained(text)
             if len(at):
-                yield np.full(len(at), key), np.full(len(at), body, np.int32), at.astype(np.int32), end.astype(np.int32), core, context
+                yield np.full(len(at), key), np.full(len(at), body), at.astype(np.int32), end.astype(np.int32), core, context
 
     return map_arrays(texts, make, SUFFIXES)
 
@@ -368,7 +375,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.select(
         "row",
         F.coalesce(F.col("row")[id_col].cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.hash(F.coalesce(text, F.lit(""))).alias("body"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("body"),
     )
     joined = rows.join(spans, ["id", "body"], "left")
     hit = F.col("spans").isNotNull()

@@ -275,3 +275,17 @@ def test_passages_of_odd_rows(spark):
     assert rows == {(None, None, 0, 60, 0), (4, None, 0, 60, 60)}
     assert suffixes.repeats(documents(spark, [])).count() == 0
     assert suffixes.without_repeats(documents(spark, [])).columns == docs.columns
+
+
+def test_texts_without_id_are_told_apart(spark):
+    """Two texts without an id whose 32-bit hashes agree, and a document that holds one of them."""
+    from pyspark.sql import functions as F
+
+    body = " ".join(f"word{i}" for i in range(119))
+    texts = spark.range(400_000).select(F.concat_ws(" ", F.lit(body), F.col("id").cast("string")).alias("text"))
+    same = texts.groupBy(F.hash("text")).agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b").first()
+    pair = documents(spark, [same["a"], same["b"], "start " + same["a"].split(" ", 1)[1]], [None, None, 5])
+    found = {(r["doc_id"], r["start_word"], r["n_words"]) for r in suffixes.repeats(pair).collect()}
+    assert (5, 1, 119) in found
+    kept = [r["text"] for r in suffixes.without_repeats(pair).orderBy("doc_id", "text").collect()]
+    assert kept == [*sorted([same["a"], same["b"]]), "start "]
