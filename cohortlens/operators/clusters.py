@@ -21,8 +21,9 @@ from cohortlens.functions.columns import struct_rows
 from cohortlens.functions.fixed import SILHOUETTE_TARGET
 from cohortlens.operators import features as FE
 from cohortlens.operators.rows import hash_sample
+from cohortlens.operators.scores import Scores, model_scores
 from cohortlens.sources.scratch import cached, checkpointed
-from cohortlens.sources.tables import broadcast_if_small, to_driver
+from cohortlens.sources.tables import broadcast_if_small
 
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 SEED = 42
@@ -32,6 +33,7 @@ SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
     "seconds double, error string"
 )
+SWEEP_COLUMNS = [part.split()[0] for part in SWEEP_SCHEMA.split(", ")]
 
 
 @dataclass
@@ -42,9 +44,13 @@ class Clustering:
     k: int
     model: object
     rows: DataFrame
-    silhouette: float | None
+    scores: Scores
     features: str
 
+    @property
+    def silhouette(self) -> float | None:
+        return self.scores.silhouette
+
 
 # ---------------------------------------------------------------- layout and fits
 def stable_layout(
@@ -84,8 +90,8 @@ def silhouette(df: DataFrame, features: str = "pca", prediction: str = "predicti
 
 def fit_and_score(df: DataFrame, algorithm: str, k: int, features: str = "pca") -> Clustering:
     model = fit(df, algorithm, k, features)
-    rows = model.transform(df)
-    return Clustering(algorithm, k, model, rows, silhouette(rows, features), features)
+    scores = model_scores(df, {"own": model}, features)["own"]
+    return Clustering(algorithm, k, model, model.transform(df), scores, features)
 
 
 # ---------------------------------------------------------------- deterministic parts
@@ -196,27 +202,51 @@ def sweep(
 
     A few fits run side by side: each is a long series of short jobs, and one alone
     leaves executors idle between them. A fit that fails is listed with its error and
-    does not end the sweep.
+    does not end the sweep. Scores belong to the final centres, see ``model_scores``.
+    """
+    found = [line for line, _ in fitted_settings(df, algorithms, ks, features, label, k_pca, parallelism)]
+    return df.sparkSession.createDataFrame(found, SWEEP_SCHEMA)
+
+
+def fitted_settings(
+    df: DataFrame,
+    algorithms: Sequence[str],
+    ks: Iterable[int],
+    features: str = "pca",
+    label: str = "",
+    k_pca: int | None = None,
+    parallelism: int = PARALLEL_FITS,
+) -> list[tuple[Row, Clustering | None]]:
+    """The lines of a sweep, each with its clustering; None where the fit failed.
+
+    All fits are scored together, in two passes over the held rows.
     """
     settings = [(algorithm, k) for algorithm in algorithms for k in ks]
     with cached(df) as held, ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
         held.count()
 
         def attempt(setting: tuple[str, int]) -> tuple:
-            algorithm, k = setting
             started = time.perf_counter()
-            score = total = error = None
+            model = error = None
             try:
-                result = fit_and_score(held, algorithm, k, features)
-                score, total = result.silhouette, float(result.model.summary.trainingCost)
+                model = fit(held, *setting, features)
             except Exception as problem:
                 error = str(problem)
-            seconds = time.perf_counter() - started
-            return (label, k_pca, algorithm, k, score, total, seconds, error)
+            return model, error, time.perf_counter() - started
 
         run = inheritable_thread_target(df.sparkSession)(attempt)
-        found = pool.map(run, settings, chunksize=1)
-    return df.sparkSession.createDataFrame(found, SWEEP_SCHEMA)
+        fits = pool.map(run, settings, chunksize=1)
+        names = [f"_{algorithm}_{k}" for algorithm, k in settings]
+        models = {n: model for n, (model, _, _) in zip(names, fits, strict=True) if model is not None}
+        scores = model_scores(held, models, features)
+    line = Row(*SWEEP_COLUMNS)
+    out = []
+    for (algorithm, k), name, (model, error, seconds) in zip(settings, names, fits, strict=True):
+        own = scores.get(name)
+        clustering = own and Clustering(algorithm, k, model, model.transform(df), own, features)
+        score, cost = (own.silhouette, own.cost) if own else (None, None)
+        out.append((line(label, k_pca, algorithm, k, score, cost, seconds, error), clustering))
+    return out
 
 
 def best_setting(
@@ -254,13 +284,9 @@ def verdict(
 
 def comparison(parts: Sequence[Clustering]) -> DataFrame:
     """One line per fitted model: k, silhouette, cost, and the size of each cluster."""
-    records = []
-    for part in parts:
-        summary = part.model.summary
-        sizes = [int(n) for n in summary.clusterSizes]
-        records.append(
-            (part.algorithm, part.k, part.silhouette, float(summary.trainingCost), sizes)
-        )
+    records = [
+        (p.algorithm, p.k, p.silhouette, p.scores.cost, p.scores.sizes) for p in parts
+    ]
     return parts[0].rows.sparkSession.createDataFrame(
         records,
         "algorithm string, k int, silhouette double, cost double, sizes array<bigint>",
@@ -312,18 +338,18 @@ def choose(
     laid = stable_layout(widest.transform(df), key, ["_components"], partitions)
     available = len(widest.explainedVariance)
 
-    def round_of(components: int) -> list[Row]:
+    def round_of(components: int) -> list[tuple[Row, Clustering | None]]:
         reduced = FE.leading(laid, "_components", "pca", components).select(key, "pca")
-        return to_driver(sweep(reduced, ks=ks, label="reduced", k_pca=components))
+        return fitted_settings(reduced, tuple(ALGORITHMS), ks, "pca", "reduced", components)
 
-    def best(rows: list[Row]) -> Row | None:
-        scored = [r for r in rows if r.silhouette is not None]
-        rank = lambda r: (-r.silhouette, r.algorithm != preferred, r.k)
+    def best(parts: list[tuple[Row, Clustering | None]]) -> Clustering | None:
+        scored = [part for _, part in parts if part and part.silhouette is not None]
+        rank = lambda p: (-p.silhouette, p.algorithm != preferred, p.k)
         return min(scored, key=rank, default=None)
 
     tried = round_of(min(k_pca, available))
     highest = best(tried)
-    winner = best([r for r in tried if r.algorithm == preferred]) or highest
+    winner = best([part for part in tried if part[0].algorithm == preferred]) or highest
     wider = min(fallback_k_pca, available)
     if (highest is None or highest.silhouette < target) and wider > k_pca:
         again = round_of(wider)
@@ -333,9 +359,7 @@ def choose(
             winner = retry
     if winner is None:
         raise ValueError("no clustering could be fitted")
-    reduced = FE.leading(laid, "_components", "pca", winner.k_pca).select(key, "pca")
-    chosen = fit_and_score(reduced, winner.algorithm, winner.k)
-    return chosen, spark.createDataFrame(tried, SWEEP_SCHEMA)
+    return winner, spark.createDataFrame([line for line, _ in tried], SWEEP_SCHEMA)
 
 
 # ---------------------------------------------------------------- grids
@@ -380,7 +404,7 @@ def grid(
         laid = stable_layout(model.transform(df), key, ["_components"], partitions)
         for k_pca in possible:
             reduced = FE.leading(laid, "_components", "pca", k_pca).select(key, "pca")
-            results += to_driver(sweep(reduced, algorithms, ks, "pca", label, k_pca))
+            results += [line for line, _ in fitted_settings(reduced, algorithms, ks, "pca", label, k_pca)]
     return spark.createDataFrame(results, SWEEP_SCHEMA)
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clusters as CL
 from cohortlens.operators import features as FE
+from cohortlens.operators.scores import model_scores
 from cohortlens.queries import registry
 from cohortlens.queries import sql as S
 from cohortlens.queries.features import filled, measured
@@ -342,11 +344,9 @@ def model_comparison(spark, folder):
 # listed, how many rows are assigned, that scores and costs lie where they must.
 def scores_in_bounds(found, rows, features: str):
     """Each listed setting with whether its score and cost can be right."""
-    point = vector_to_array(F.col(features))
-    moments = rows.select(F.posexplode(point).alias("axis", "v")).groupBy("axis").agg(
-        (F.var_pop("v") * F.count("v")).alias("ss")
-    )
-    total = moments.agg(F.sum("ss").alias("ss")).scalar()
+    spread = vector_to_array(Summarizer.variance(F.col(features)))
+    summed = F.aggregate(spread, F.lit(0.0), lambda a, v: a + v) * (F.count(F.lit(1)) - 1)
+    total = rows.agg(summed.alias("ss")).scalar()
     score = F.col("silhouette")
     return found.select(
         *[c for c in ("features", "k_pca", "algorithm", "k") if c in found.columns],
@@ -386,7 +386,7 @@ def _fit_facts(spark, folder, algorithm: str):
     own = model.transform(laid).select("vec_id", F.col("prediction").alias("own"))
     centres = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
     both = CL.assign(laid, centres, "pca").join(own, "vec_id")
-    cost = float(model.summary.trainingCost)
+    cost = model_scores(laid, {"own": model}, "pca")["own"].cost
     return both.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("own").alias("clusters"),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.feature import PCA, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clusters as CL
@@ -171,13 +172,16 @@ def test_choice_and_retry(ready, monkeypatch):
     assert kept.rows.count() == ready.count()
 
     def scores(first: float, retry: float):
-        def fake(df, ks, label, k_pca):
+        def fake(df, algorithms, ks, features, label, k_pca):
             score = {3: first, 15: retry}[k_pca]
-            lines = [
-                (label, k_pca, a, k, score + 0.01 * (a == "bisecting"), 1.0, 0.0, None)
-                for a in ("kmeans", "bisecting") for k in ks
-            ]
-            return df.sparkSession.createDataFrame(lines, CL.SWEEP_SCHEMA)
+            found = []
+            for a in algorithms:
+                for k in ks:
+                    own = score + 0.01 * (a == "bisecting")
+                    line = (label, k_pca, a, k, own, 1.0, 0.0, None)
+                    part = CL.Clustering(a, k, None, df, CL.Scores(own, 1.0, [], None), features)
+                    found.append((Row(*CL.SWEEP_COLUMNS)(*line), part))
+            return found
         return fake
 
     for first, retry, expected in [
@@ -185,7 +189,7 @@ def test_choice_and_retry(ready, monkeypatch):
         (0.3, 0.5, ("bisecting", 15)),  # second round better
         (0.5, 0.3, ("kmeans", 3)),      # second round worse
     ]:
-        monkeypatch.setattr(CL, "sweep", scores(first, retry))
+        monkeypatch.setattr(CL, "fitted_settings", scores(first, retry))
         chosen, tried = CL.choose(ready, "encounter_id", ks=(2,), partitions=4)
         assert (chosen.algorithm, FE.vector_size(chosen.rows, "pca")) == expected
         assert {r.k_pca for r in tried.collect()} == ({3} if first >= 0.6 else {3, 15})
