@@ -23,11 +23,12 @@ from cohortlens.operators import features as FE
 from cohortlens.operators.rows import hash_sample
 from cohortlens.operators.scores import Scores, model_scores
 from cohortlens.sources.scratch import cached, checkpointed
-from cohortlens.sources.tables import broadcast_if_small
+from cohortlens.sources.tables import broadcast_if_small, to_driver
 
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 SEED = 42
 MAX_BROADCAST_CLUSTERS = 1_000
+MAX_SETTINGS = 100_000
 PARALLEL_FITS = 4
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
@@ -370,6 +371,14 @@ def scaler_comparison(
     return grid(sets, key, [k_pca], ks, ["kmeans"], partitions)
 
 
+def listed_settings(spark: SparkSession, path: str) -> list[Row]:
+    """The lines an earlier grid left at ``path``; none where there is no table yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return []
+    return to_driver(spark.read.schema(SWEEP_SCHEMA).parquet(path), MAX_SETTINGS)
+
+
 def grid(
     sets: dict[str, Callable[[], DataFrame]],
     key: str,
@@ -378,34 +387,55 @@ def grid(
     algorithms: Sequence[str] = ("kmeans", "bisecting"),
     partitions: int | None = None,
     scaled: str = "scaled",
+    results: str | None = None,
 ) -> DataFrame:
     """Every feature set with every number of components, k and algorithm.
 
     Components are fitted once per set, at the largest size; smaller sizes are its
     leading elements. Sizes beyond the number of features are listed as skipped.
+
+    With ``results``, the lines of each set and number of components are appended to a table
+    there as soon as they are known, and settings that the table lists already are not fitted
+    again: a grid that was interrupted goes on where it stopped. Lines with an error are tried
+    again. The result is what was asked for, also if the table holds more.
     """
-    ks = list(ks)
-    results, spark = [], None
+    ks, spark = list(ks), SparkSession.active()
+    known: dict[tuple, Row] = {}
+    if results:
+        known = {tuple(r[:4]): r for r in listed_settings(spark, results) if r.error is None}
+    found: list[Row] = []
+
+    def add(lines: list[Row]) -> None:
+        found.extend(lines)
+        if results and lines:
+            spark.createDataFrame(lines, SWEEP_SCHEMA).coalesce(1).write.mode("append").parquet(results)
+
     for label, build in sets.items():
+        open_ = {k_pca: [(a, k) for a in algorithms for k in ks if (label, k_pca, a, k) not in known] for k_pca in k_pcas}
+        found += [known[line] for k_pca in k_pcas for a in algorithms for k in ks if (line := (label, k_pca, a, k)) in known]
+        if not any(open_.values()):
+            continue
         df = build()
-        spark = df.sparkSession
         width = FE.vector_size(df, scaled)
-        possible = [k for k in k_pcas if k <= width]
+        possible = [k for k in k_pcas if k <= width and open_[k]]
         for k_pca in k_pcas:
             if k_pca > width:
                 reason = f"{k_pca} components asked of {width} features"
-                results += [
-                    Row(label, k_pca, a, k, None, None, 0.0, reason)
-                    for a in algorithms for k in ks
-                ]
+                found += [Row(label, k_pca, a, k, None, None, 0.0, reason) for a, k in open_[k_pca]]
         if not possible:
             continue
         model = FE.fit_pca(df, max(possible), scaled, "_components")
         laid = stable_layout(model.transform(df), key, ["_components"], partitions)
         for k_pca in possible:
             reduced = FE.leading(laid, "_components", "pca", k_pca).select(key, "pca")
-            results += [line for line, _ in fitted_settings(reduced, algorithms, ks, "pca", label, k_pca)]
-    return spark.createDataFrame(results, SWEEP_SCHEMA)
+            wanted = [k for k in ks if any(own == k for _, own in open_[k_pca])]
+            if len(open_[k_pca]) == len(algorithms) * len(wanted):
+                add([line for line, _ in fitted_settings(reduced, algorithms, wanted, "pca", label, k_pca)])
+                continue
+            for algorithm in algorithms:
+                left = [k for a, k in open_[k_pca] if a == algorithm]
+                add([line for line, _ in fitted_settings(reduced, [algorithm], left, "pca", label, k_pca)] if left else [])
+    return spark.createDataFrame(found, SWEEP_SCHEMA)
 
 
 # ---------------------------------------------------------------- projections

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     PCA,
@@ -16,6 +18,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,10 +190,74 @@ def leading(df: DataFrame, source: str, out: str, k: int) -> DataFrame:
     return VectorSlicer(inputCol=source, outputCol=out, indices=list(range(k))).transform(df)
 
 
-def explained_variance(spark: SparkSession, model: PCAModel) -> DataFrame:
-    """Share of variance per component with its running total."""
+def explained_variance(spark: SparkSession, model: PCAModel, asked: int | None = None) -> DataFrame:
+    """Share of variance per component with its running total.
+
+    Components up to ``asked`` that the features do not have are listed with NULL.
+    """
     shares = [(i, float(v)) for i, v in enumerate(model.explainedVariance.toArray(), start=1)]
-    return cumulative(spark.createDataFrame(shares, "component int, share double"))
+    found = cumulative(spark.createDataFrame(shares, "component int, share double"))
+    lacking = range(len(shares) + 1, (asked or 0) + 1)
+    if not lacking:
+        return found
+    empty = spark.createDataFrame([(i, None, None) for i in lacking], found.schema)
+    return found.union(empty)
+
+
+def covariance(df: DataFrame, column: str) -> DataFrame:
+    """Covariances (divisor n - 1) of a vector column: one row per pair of places, from 1.
+
+    Centred by the means first. Products are added up inside each task, so a task shuffles one
+    row per pair, whatever the number of rows. Rows without a vector do not count.
+    """
+    known = df.where(F.col(column).isNotNull()).select(vector_to_array(F.col(column)).alias("point"))
+    first = df.where(F.col(column).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.mean(F.col(column))).alias("means")
+    ).first()
+    means = np.array(first["means"] or [], float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(means), len(means)))
+        for batch in batches:
+            if batch.num_rows:
+                apart = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1) - means
+                total += apart.T @ apart
+        places = np.arange(1, len(means) + 1, dtype=np.int32)
+        columns = [np.repeat(places, len(means)), np.tile(places, len(means)), total.ravel()]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "value"])
+
+    summed = known.mapInArrow(run, "a int, b int, value double").groupBy("a", "b").agg(F.sum("value").alias("value"))
+    divisor = F.lit(first["n"] - 1)
+    return summed.select("a", "b", F.when(divisor > 0, F.col("value") / divisor).alias("covariance"))
+
+
+def component_facts(df: DataFrame, model: PCAModel, tolerance: float = 1e-8) -> DataFrame:
+    """One row: whether the components are what they are called.
+
+    They must be orthonormal and diagonalise the covariances of the source column, their
+    variances must fall, and the shares must be those variances over the whole variance.
+    """
+    cells = covariance(df, model.getInputCol()).collect()  # as many as pairs of features
+    axes = model.pc.toArray()
+    matrix = np.zeros((len(axes), len(axes)))
+    for cell in cells:
+        matrix[cell["a"] - 1, cell["b"] - 1] = cell["covariance"]
+    whole = float(np.trace(matrix))
+    turned = axes.T @ matrix @ axes
+    variances = np.diag(turned)
+    shares = model.explainedVariance.toArray()
+    near = lambda found, wanted: bool(np.abs(found - wanted).max() <= tolerance)
+    facts = (
+        len(shares),
+        near(axes.T @ axes, np.eye(axes.shape[1])),
+        near((turned - np.diag(variances)) / whole, 0.0),
+        bool((np.diff(variances) <= tolerance * whole).all()),
+        near(shares, variances / whole),
+    )
+    return df.sparkSession.createDataFrame(
+        [facts],
+        "components int, orthonormal boolean, diagonal boolean, falling boolean, shares_are_variances boolean",
+    )
 
 
 def cumulative(shares: DataFrame, order: str = "component", value: str = "share") -> DataFrame:

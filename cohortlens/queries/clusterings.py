@@ -17,7 +17,9 @@ from cohortlens.queries import sql as S
 from cohortlens.queries.features import filled, measured
 from cohortlens.queries.repairs import sample_sql
 from cohortlens.sources.encounters import CATEGORICAL, DIAGNOSES, NUMERIC
-from cohortlens.sources.tables import read_table, to_driver
+from cohortlens.functions.fixed import SILHOUETTE_TARGET
+from cohortlens.sources.scratch import fresh_path
+from cohortlens.sources.tables import read_csv, read_table, to_driver, write_csv, write_json
 
 add = registry.add
 
@@ -471,3 +473,73 @@ def grid_facts(spark, folder):
 def fallback_facts(spark, folder):
     """The first round always lists both algorithms with every k."""
     return _grid_facts(fallback(spark, folder).where("k_pca = 3")).drop("features", "fitted")
+
+
+# ---------------------------------------------------------------- the results of a real grid
+def _small_grid(spark, folder):
+    """Twelve fits on the numeric columns, as a table that each line was appended to."""
+    sets = _feature_sets(spark, folder, "numeric")
+    path = fresh_path(spark, "grid-results")
+    CL.grid(sets, "encounter_id", [2, 3], range(2, 5), results=path)
+    return spark.read.schema(CL.SWEEP_SCHEMA).parquet(path)
+
+
+@add("ag22_grid_matrix")
+def grid_matrix(spark, folder):
+    """The scores of a grid, one line per algorithm and number of components."""
+    lines = _small_grid(spark, folder)
+    named = lines.withColumn("run", F.concat_ws(" ", "algorithm", "k_pca"))
+    matrix = CL.score_matrix(named, range(2, 5), "run")
+    return matrix.withColumns({c: F.round(c, 6) for c in matrix.columns if c != "run"})
+
+
+def _chain_sql() -> str:
+    return (
+        "SELECT features, CAST(k_pca AS INTEGER) AS k_pca, algorithm, CAST(3 AS BIGINT) AS settings, "
+        "true AS best_is_highest, true AS same_in_matrix, true AS same_in_csv, true AS verdict_fits, "
+        "true AS top_falls, true AS json_is_best FROM (SELECT 'numeric' AS features), "
+        "(SELECT unnest([2, 3]) AS k_pca), (SELECT unnest(['kmeans', 'bisecting']) AS algorithm)"
+    )
+
+
+@add("ag21_grid_chain_facts", _chain_sql())
+def grid_chain_facts(spark, folder):
+    """A grid's table through best settings, matrix, verdict, top list, CSV and JSON.
+
+    Each step's result is compared with the lines it came from.
+    """
+    lines = _small_grid(spark, folder)
+    by = ["features", "k_pca", "algorithm"]
+    best = CL.best_setting(lines, by).withColumnsRenamed({"best_k": "own_k", "best_silhouette": "own_score"})
+    # Sorted lines as CSV, and read again.
+    csv, json = fresh_path(spark, "grid-csv"), fresh_path(spark, "grid-best")
+    ranked = CL.top_settings(CL.verdict(lines), CL.MAX_SETTINGS)
+    write_csv(ranked.coalesce(1), csv)
+    again = read_csv(spark, csv, ranked.schema).select(*by, "k", F.col("silhouette").alias("csv_score"), "meets_target")
+    # The best line as JSON, and read again.
+    write_json(CL.top_settings(lines, 1), json)
+    first = spark.read.schema(CL.SWEEP_SCHEMA).json(json).select(*by, "k").withColumn("from_json", F.lit(True))
+    matrix = CL.score_matrix(lines.withColumn("run", F.concat_ws(" ", *by)), range(2, 5), "run")
+    cells = matrix.unpivot("run", [f"k_{k}" for k in range(2, 5)], "column", "cell").select(
+        "run", F.substring_index("column", "_", -1).cast("int").alias("k"), "cell"
+    )
+    highest = lines.agg(F.max("silhouette")).scalar()
+    top = to_driver(CL.top_settings(lines, 10).select("silhouette"))
+    falls = all(a.silhouette >= b.silhouette for a, b in zip(top, top[1:], strict=False))
+    joined = (
+        lines.join(best, by)
+        .join(again, [*by, "k"])
+        .join(first, [*by, "k"], "left")
+        .withColumn("run", F.concat_ws(" ", *by))
+        .join(cells, ["run", "k"])
+    )
+    score = F.col("silhouette")
+    return joined.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("settings"),
+        (F.bool_and(score <= F.col("own_score")) & F.bool_or((F.col("k") == F.col("own_k")) & (score == F.col("own_score")))).alias("best_is_highest"),
+        F.bool_and(score == F.col("cell")).alias("same_in_matrix"),
+        F.bool_and(score == F.col("csv_score")).alias("same_in_csv"),
+        F.bool_and(F.col("meets_target") == (score >= SILHOUETTE_TARGET)).alias("verdict_fits"),
+        F.lit(falls).alias("top_falls"),
+        F.bool_and(F.col("from_json").isNull() | (score == highest)).alias("json_is_best"),
+    )

@@ -220,7 +220,74 @@ def pca_keeps_length(spark, folder):
 def explained_variance(spark, folder):
     rows = filled(spark, folder, [*CATEGORICAL, *DIAGNOSES, *NUMERIC])
     _, ready = FE.fit_features(rows, CATEGORICAL, DIAGNOSES, NUMERIC)
-    return FE.explained_variance(spark, FE.fit_pca(ready, 30))
+    return FE.explained_variance(spark, FE.fit_pca(ready, 30), 30)
+
+
+@add("fe10_explained_variance_standard")
+def explained_variance_standard(spark, folder):
+    """The same shares after scaling by deviations instead of extremes."""
+    rows = filled(spark, folder, [*CATEGORICAL, *DIAGNOSES, *NUMERIC])
+    _, ready = FE.fit_features(rows, CATEGORICAL, DIAGNOSES, NUMERIC, "standard")
+    return FE.explained_variance(spark, FE.fit_pca(ready, 30), 30)
+
+
+STANDARD_SQL = (
+    f", standard AS (SELECT encounter_id, {', '.join(f'{n} / stddev_samp({n}) OVER () AS {n}' for n in NUMERIC)} "
+    f"FROM encounters WHERE {KNOWN})"
+)
+
+
+def _covariance_sql(table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS scaler, CAST({i} AS INTEGER) AS a, CAST({j} AS INTEGER) AS b, "
+        f"round(covar_samp({x}, {y}), 8) AS covariance FROM {table}"
+        for i, x in enumerate(NUMERIC, start=1)
+        for j, y in enumerate(NUMERIC, start=1)
+    )
+
+
+@add(
+    "fe9_covariances",
+    S.on_encounters(f"{_covariance_sql('scaled')} UNION ALL {_covariance_sql('standard')}", SCALED_SQL + STANDARD_SQL),
+)
+def covariances(spark, folder):
+    """The matrices whose components are taken, for both scalers."""
+    rows = measured(spark, folder)
+    found = []
+    for scaler, kind in (("scaled", "minmax"), ("standard", "standard")):
+        _, ready = FE.fit_features(rows, numeric=NUMERIC, scaler=kind)
+        cells = FE.covariance(ready, "scaled")
+        found.append(cells.select(F.lit(scaler).alias("scaler"), "a", "b", F.round("covariance", 8).alias("covariance")))
+    return found[0].union(found[1])
+
+
+def _component_facts(rows, scaler: str, categorical: list[str], k: int):
+    _, ready = FE.fit_features(rows, categorical, numeric=NUMERIC, scaler=scaler)
+    facts = FE.component_facts(ready, FE.fit_pca(ready, k))
+    return facts.select(F.lit(scaler).alias("scaler"), "*")
+
+
+def _component_facts_sql(components: str) -> str:
+    return (
+        f"SELECT unnest(['minmax', 'standard']) AS scaler, CAST({components} AS INTEGER) AS components, "
+        "true AS orthonormal, true AS diagonal, true AS falling, true AS shares_are_variances"
+    )
+
+
+@add("fe9_pca_projection_facts", _component_facts_sql("3"))
+def pca_projection_facts(spark, folder):
+    """The leading three components of the numeric columns, for both scalers."""
+    rows = measured(spark, folder)
+    found = [_component_facts(rows, scaler, [], 3) for scaler in ("minmax", "standard")]
+    return found[0].union(found[1])
+
+
+@add("fe10_explained_variance_facts", _component_facts_sql("8"))
+def explained_variance_facts(spark, folder):
+    """Eight components of one-hot slots and numeric columns together, for both scalers."""
+    rows = filled(spark, folder, [*CATEGORICAL, *NUMERIC])
+    found = [_component_facts(rows, scaler, CATEGORICAL, 8) for scaler in ("minmax", "standard")]
+    return found[0].union(found[1])
 
 
 @add(
