@@ -14,6 +14,9 @@ from cohortlens.functions.fixed import CONTRACTIONS, PATTERNS, TYPOS
 
 Step = Callable[[Column], Column]
 
+#: Characters of a word, for whole-word corrections.
+WORD = r"[\p{L}\p{N}_]"
+
 
 def without(pattern: str) -> Step:
     return lambda c: F.regexp_replace(c, pattern, "")
@@ -53,6 +56,19 @@ def correct_words(
     return text
 
 
+def correct_by_map(text: Column, corrections: dict[str, str]) -> Column:
+    """Replace whole words that ``corrections`` lists, each looked up once in one pass.
+
+    A word is a run of letters, digits and underscores. What a correction brings in is not
+    corrected again, so the order of the corrections plays no part and there may be any number.
+    """
+    if not corrections:
+        return text
+    known = F.create_map(*[F.lit(part) for pair in corrections.items() for part in pair])
+    runs = F.split(text, rf"(?<={WORD})(?=[^{WORD[1:]})|(?<=[^{WORD[1:]})(?={WORD})", -1)
+    return F.array_join(F.transform(runs, lambda run: F.coalesce(F.try_element_at(known, run), run)), "")
+
+
 def blank_non_letters(text: Column) -> Column:
     return F.regexp_replace(text, PATTERNS["non_letters"], " ")
 

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.fixed import TYPOS
 from cohortlens.functions import text as X
 from cohortlens.operators import clusters as CL
 from cohortlens.operators import features as FE
@@ -74,10 +73,12 @@ def prepare_text(
     """Compose, clean, split and filter a text; adds ``text``, ``clean``, ``words``,
     ``kept`` and ``final``."""
     composed = R.compose_text(df, parts)
-    corrections = dict(TYPOS)
+    read = composed
     if vocabulary is not None:
-        corrections |= found_corrections(composed, "text", vocabulary)
-    cleaned = TX.clean_text(composed, "text", "clean", corrections, drop_blank=True)
+        found = found_corrections(composed, "text", vocabulary)
+        read = composed.withColumn("_read", X.correct_by_map(F.col("text"), found))
+    source = "text" if vocabulary is None else "_read"
+    cleaned = TX.clean_text(read, source, "clean", drop_blank=True).drop("_read")
     split = cleaned.withColumn("words", X.tokens(F.col("clean")))
     return TX.without_stop_words(split, "words", "kept").withColumn(
         "final", F.array_join("kept", " ")

@@ -8,6 +8,7 @@ from cohortlens.functions import text as X
 from cohortlens.functions.fixed import CONTRACTIONS, CONTRACTIONS_SHORT, EXTRA_STOP_WORDS, PATTERNS, TYPOS
 from cohortlens.operators import spelling as SP
 from cohortlens.operators import text as TX
+from cohortlens.plans.analysis import found_corrections
 from cohortlens.queries import registry
 from cohortlens.queries import sql as S
 from cohortlens.queries.repairs import noisy_documents
@@ -359,8 +360,58 @@ def spelling_suggestions(spark, folder):
     return SP.suggestions(document_words(spark, folder), vocabulary(spark, folder))
 
 
-@add("j3_nearest_of_all_words")
+def _one_less(word: str) -> str:
+    return f"list_transform(range(1, length({word}) + 1), lambda i: {word}[1:i - 1] || {word}[i + 1:])"
+
+
+FORMS_SQL = (
+    f"SELECT word, n, unnest(list_distinct([word] || one || flatten(list_transform(one, lambda x: {_one_less('x')})))) "
+    f"AS form FROM (SELECT word, n, {_one_less('word')} AS one FROM {{}})"
+)
+ALL_NEAREST_SQL = (
+    f"WITH {VOCABULARY_SQL}, counts AS ({COUNTS_SQL.format('documents')}), "
+    "unknown AS (SELECT * FROM counts WHERE word NOT IN (SELECT word FROM vocabulary)), "
+    f"mine AS ({FORMS_SQL.format('unknown')}), theirs AS ({FORMS_SQL.format('vocabulary')}), "
+    "alike AS (SELECT DISTINCT m.word, m.n, t.word AS suggestion, t.n AS suggestion_n FROM mine m JOIN theirs t USING (form)), "
+    f"pairs AS (SELECT *, damerau_levenshtein({plain('word')}, {plain('suggestion')}) AS distance FROM alike), "
+    "nearest AS (SELECT *, row_number() OVER (PARTITION BY word "
+    "ORDER BY distance, suggestion_n DESC, suggestion) AS place FROM pairs WHERE distance <= 2) "
+    "SELECT word, n, suggestion, CAST(distance AS INTEGER) AS distance FROM nearest WHERE place = 1"
+)
+
+
+@add("j3_nearest_of_all_words", ALL_NEAREST_SQL)
 def nearest_of_all_words(spark, folder):
-    """Every unknown word of the documents; the SQL form would compare all pairs of words."""
+    """Every unknown word of the documents; candidates share what is left after deletions."""
     known = vocabulary(spark, folder)
     return SP.nearest_words(SP.unknown_words(document_words(spark, folder), known), known)
+
+
+CORRECTED_SQL = (
+    f"WITH found AS ({NEAREST_SQL} ORDER BY n DESC, word LIMIT 20), "
+    "fixed AS (SELECT * FROM (VALUES "
+    + ", ".join(f"({S.quoted(a)}, {S.quoted(b)})" for a, b in TYPOS.items())
+    + ") AS t(word, suggestion)), "
+    "known AS (SELECT * FROM fixed UNION ALL SELECT word, suggestion FROM found "
+    "WHERE word NOT IN (SELECT word FROM fixed)), "
+    "runs AS (SELECT doc_id, unnest(runs) AS run, unnest(range(len(runs))) AS place FROM (SELECT doc_id, "
+    r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS runs FROM documents)), "
+    "fixes AS (SELECT r.doc_id, count(k.word) AS corrected, "
+    "string_agg(coalesce(k.suggestion, r.run), '' ORDER BY r.place) AS text "
+    "FROM runs r LEFT JOIN known k ON k.word = r.run GROUP BY r.doc_id) "
+    "SELECT doc_id, corrected > 0 AS corrected, length(text) AS n_chars, md5(text) AS digest FROM fixes"
+)
+
+
+@add("tx14_corrected_text", CORRECTED_SQL)
+def corrected_text(spark, folder):
+    """Whole texts with the corrections found in them and the fixed ones, one lookup per word."""
+    documents = read_table(spark, folder, "documents")
+    corrections = found_corrections(documents, "text", vocabulary(spark, folder)) | dict(TYPOS)
+    text = X.correct_by_map(F.col("text"), corrections)
+    return documents.where("text <> ''").select(
+        "doc_id",
+        (text != F.col("text")).alias("corrected"),
+        F.length(text).cast("bigint").alias("n_chars"),
+        F.md5(text.cast("binary")).alias("digest"),
+    )
