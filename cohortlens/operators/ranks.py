@@ -13,7 +13,7 @@ from cohortlens.functions.columns import same_keys, struct_rows
 from cohortlens.sources.scratch import written
 from cohortlens.sources.tables import broadcast_if_small, to_driver
 
-# Up to this many rows a group is summed by one ordinary window task.
+# Up to this many counts a group's slivers are ranked by one ordinary window task.
 SINGLE_TASK_ROWS = 1_000_000
 
 
@@ -22,23 +22,25 @@ def running_totals(
     order: Sequence[str | Column],
     weight: str | None = None,
     group: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Add ``running``: the sum of ``weight`` (or the row count) up to each row.
 
     Rows are ordered by ``order`` inside each ``group``; the order should be
-    total. Small groups use a window. When any group is larger, rows are range
-    partitioned on (group, order), each range is summed on its own and the totals
-    of the ranges before it are added, so the work of a hot group is shared.
+    total. Rows are range partitioned on (group, order), each range is summed on its
+    own and the totals of the ranges before it are added, so the work of a hot group is
+    shared, whatever its size. Only a caller that gives ``single_task_rows`` has groups
+    counted first and, if none is larger, summed by an ordinary window.
     ``df`` is read several times: pass a table that is cheap to read.
     """
     group = list(group)
     amount = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    sizes = df.groupBy(*group).count() if group else df.groupBy().count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= single_task_rows:
-        upto = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn("running", F.sum(amount).over(_so_far(upto)))
+    if single_task_rows is not None:
+        sizes = df.groupBy(*group).count() if group else df.groupBy().count()
+        largest = sizes.agg(F.max("count")).first()[0] or 0
+        if largest <= single_task_rows:
+            upto = Window.partitionBy(*group).orderBy(*order)
+            return df.withColumn("running", F.sum(amount).over(_so_far(upto)))
 
     ranges = written(
         df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()),
