@@ -1,6 +1,6 @@
 """Toxicity by weak supervision: many voters, a label model over them, and a linear classifier.
 
-Voters are words of a lexicon, patterns, and word stems mined from labelled training rows.
+Voters are words of a lexicon, patterns, and words and word stems mined from labelled training rows.
 A generative model with a hidden class gives each voter its rate of firing in either class,
 the given label being one more noisy voter; voters that fire together beyond what the class
 explains share their weight. The posterior classes train a logistic regression, which scores
@@ -27,11 +27,15 @@ from cohortlens.sources.scratch import written
 
 #: Labelled rows the voters and the classifier are fitted on, at most; chosen by hash.
 FIT_ROWS = 20_000
-#: Mined stems, at most; the strongest stay.
-MINED = 400
-STEM_SIZES = (4, 5, 6)
-#: Log-likelihood ratio from which a stem is mined: chance gives one in a billion stems as much.
-LEAST_RATIO = 38.0
+#: Mined words and stems, at most; the strongest stay.
+MINED = 1000
+#: Lengths of stems; words are also mined whole, at any length from two letters.
+STEM_SIZES = range(4, 13)
+#: Toxic rows a mined form stands in, at least, and how much likelier it is there than in others.
+LEAST_ROWS = 4
+LEAST_TIMES = 10
+#: Numbers of different mined words in a text that are voters of their own.
+COUNTS = (1, 2, 3, 4)
 THRESHOLD = 0.3
 #: How often a given label says toxic in either class, as believed at first, and rows that counts for at least.
 GIVEN_RATES = (0.01, 0.95)
@@ -64,35 +68,47 @@ _WORDS = re.compile(r"[^\W\d_]+")
 class Voters:
     """Voter numbers by what makes them fire."""
 
-    words: dict[str, int] = field(default_factory=dict)
+    words: dict[str, list[int]] = field(default_factory=dict)
     stems: dict[str, int] = field(default_factory=dict)
     gates: frozenset[str] = frozenset()
+    mined: frozenset[str] = frozenset()
     names: list[str] = field(default_factory=list)
 
     @classmethod
-    def of(cls, stems: Sequence[str]) -> Voters:
-        names = [*PATTERNS, *LEXICON, *(f"{s}-" for s in stems)]
-        at = len(PATTERNS)
-        words = {w: at + i for i, w in enumerate(LEXICON)}
-        mined = {s: at + len(LEXICON) + i for i, s in enumerate(stems)}
-        return cls(words, mined, frozenset(s[: STEM_SIZES[0]] for s in stems), names)
+    def of(cls, forms: Sequence[str]) -> Voters:
+        """Voters for the patterns, the lexicon, numbers of different mined words, and mined
+        ``forms`` one by one; stems end in ``-``."""
+        names = [*PATTERNS, *(f"{n} mined words" for n in COUNTS), *LEXICON, *forms]
+        single = len(PATTERNS) + len(COUNTS)
+        words: dict[str, list[int]] = {}
+        stems: dict[str, int] = {}
+        for number, name in enumerate(names[single:], single):
+            if name.endswith("-"):
+                stems[name[:-1]] = number
+            else:
+                words.setdefault(name, []).append(number)
+        mined = frozenset(f for f in forms if not f.endswith("-"))
+        return cls(words, stems, frozenset(s[: STEM_SIZES[0]] for s in stems), mined, names)
 
     def fire(self, text: str | None) -> list[int]:
         """Numbers of the voters that fire on the whole text, ascending."""
         if not text:
             return []
-        forms = set(_WORDS.findall(text.lower()))
-        fired = {self.words[w] for w in forms & self.words.keys()}
+        found = _WORDS.findall(text.lower())
+        letters = sum(map(len, found))
+        forms = set(found)
+        fired = {number for word in forms & self.words.keys() for number in self.words[word]}
         if self.gates:
             shortest = STEM_SIZES[0]
             for word in forms:
                 if word[:shortest] in self.gates:
-                    for size in STEM_SIZES:
-                        number = self.stems.get(word[:size]) if len(word) >= size else None
+                    for size in STEM_SIZES[: max(0, len(word) - shortest + 1)]:
+                        number = self.stems.get(word[:size])
                         if number is not None:
                             fired.add(number)
-        letters = sum(map(len, _WORDS.findall(text))) if fired or "!" in text or "*" in text else 0
         fired.update(i for i, test in enumerate(PATTERNS.values()) if test(text, letters))
+        seen = len(forms & self.mined)
+        fired.update(i for i, least in enumerate(COUNTS, len(PATTERNS)) if seen >= least)
         return sorted(fired)
 
 
@@ -136,16 +152,19 @@ def least_shingle(text: str | None) -> int:
 
 def _stems(words: F.Column, size: int) -> F.Column:
     long = F.filter(words, lambda w: F.length(w) >= size)
-    return F.transform(long, lambda w: F.substring(w, 1, size))
+    return F.transform(long, lambda w: F.concat(F.substring(w, 1, size), F.lit("-")))
 
 
-def mine_stems(training: DataFrame, limit: int = MINED) -> list[str]:
-    """Word stems that stand in toxic rows far more often than in the others."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{4,}"), F.lit(0))
-    stems = F.array_distinct(F.flatten(F.array(*(_stems(words, size) for size in STEM_SIZES))))
+def mine_forms(training: DataFrame, limit: int = MINED) -> list[str]:
+    """Words, and stems of words (ending in ``-``), that stand in toxic rows far more often.
+
+    Of stems that stand in the same rows because one begins with the other, the shortest stays.
+    """
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{2,}"), F.lit(0))
+    forms = F.array_distinct(F.flatten(F.array(words, *(_stems(words, size) for size in STEM_SIZES))))
     counted = (
-        training.select("toxic", F.explode(stems).alias("stem"))
-        .groupBy("stem")
+        training.select("toxic", F.explode(forms).alias("form"))
+        .groupBy("form")
         .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("c"))
     )
     many, toxic = training.agg(F.count(F.lit(1)), F.sum("toxic")).first()
@@ -161,13 +180,17 @@ def mine_stems(training: DataFrame, limit: int = MINED) -> list[str]:
         + term(clean - c, (many - a - c) * (1 - share))
     )
     chosen = (
-        counted.filter((a >= 4) & (a * max(clean, 1) > 10 * c * max(toxic, 1)))
-        .withColumn("ratio", ratio)
-        .filter(F.col("ratio") > LEAST_RATIO)
-        .orderBy(F.desc("ratio"), "stem")
-        .limit(limit)
+        counted.filter((a >= LEAST_ROWS) & (a * max(clean, 1) > LEAST_TIMES * c * max(toxic, 1)))
+        .orderBy(F.desc(ratio), "form")
+        .limit(4 * limit)
+        .collect()
+    )
+    seen = {r["form"]: (r["a"], r["c"]) for r in chosen}
+    repeated = lambda form: any(
+        seen.get(form[:size] + "-") == seen[form] for size in STEM_SIZES if size < len(form) - 1
     )
-    return sorted(r["stem"] for r in chosen.collect())
+    kept = [form for form in seen if not form.endswith("-") or not repeated(form)]
+    return sorted(kept[:limit])
 
 
 def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,9 +243,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     classes = {r["toxic"] for r in training.select("toxic").distinct().collect()}
     if classes != {0, 1}:
         voters = Voters.of([])
-        weights = [0.0] * len(PATTERNS) + [2.5] * len(LEXICON)
+        weights = [0.0] * (len(PATTERNS) + len(COUNTS)) + [2.5] * len(LEXICON)
         return Model(voters, weights, -3.0)
-    voters = Voters.of(mine_stems(training))
+    voters = Voters.of(mine_forms(training))
 
     def make(batch: Iterable[tuple]) -> Iterator[tuple]:
         for text, toxic in batch:
@@ -242,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         examples += [(vector, label, weight) for label, weight in ((1.0, p), (0.0, 1 - p)) if weight > 1e-6]
     session = docs.sparkSession
     frame = session.createDataFrame(examples, ["features", "label", "weight"]).repartition(4).cache()
-    fitted = LogisticRegression(weightCol="weight", regParam=1e-5, maxIter=100, standardization=False).fit(frame)
+    fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=100, standardization=False).fit(frame)
     frame.unpersist()
     return Model(voters, [float(w) for w in fitted.coefficients], float(fitted.intercept))
 

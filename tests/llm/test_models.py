@@ -73,6 +73,50 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.scores(documents(spark, []), label_table(spark, [])).count() == 0
 
 
+def test_mined_forms_are_brute_force(spark):
+    chance = random.Random(5)
+    words = ["".join(chance.choices("abcé", k=chance.randint(1, 14))) for _ in range(60)]
+    bad = ["vexorant", "vexorants", "vexo", "zu"]
+    rows = []
+    for i in range(400):
+        toxic = i % 5 == 0
+        rows.append((" ".join(chance.choices(words, k=20) + (chance.choices(bad, k=2) if toxic else [])), int(toxic)))
+    rows += [(None, 0), ("", 1), ("x" * 5000, 0)]
+    seen = {}
+    for text, toxic in rows:
+        found = set(re.findall(r"[^\W\d_]{2,}", (text or "").lower()))
+        for form in found | {w[:n] + "-" for w in found for n in range(4, 13) if len(w) >= n}:
+            seen.setdefault(form, [0, 0])[1 - toxic] += 1
+    toxic = sum(t for _, t in rows)
+    strong = {f: n for f, n in seen.items() if n[0] >= 4 and n[0] * (len(rows) - toxic) > 10 * n[1] * toxic}
+    expected = {
+        f
+        for f, n in strong.items()
+        if not f.endswith("-") or not any(strong.get(f[:k] + "-") == n for k in range(4, len(f) - 1))
+    }
+    mined = toxicity.mine_forms(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(mined) == expected and {"vexorant", "vexorants", "vexo", "zu", "vexo-"} <= expected
+    voters = toxicity.Voters.of(mined)
+    fired = lambda text: {voters.names[i] for i in voters.fire(text)}
+    assert {"1 mined words", "2 mined words", "zu", "vexo", "vexo-"} <= fired("Zu zu VEXO 1")
+    assert "3 mined words" not in fired("Zu zu VEXO 1") and "vexo-" in fired("vexoring")
+    assert fired(None) == fired("") == set()
+
+
+def test_shouting_is_seen_without_marks():
+    voters = toxicity.Voters.of([])
+    assert [voters.names[i] for i in voters.fire("ALL OF THIS IS LOUD AND NOTHING ELSE")] == ["shouting"]
+
+
+def test_most_toxic_rows_of_a_whole_table_are_found(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows = [r for r in toxicity.scores(docs, labels).collect() if r["held_out"] and truth.get(r["doc_id"]) is not None]
+    right = sum(truth[r["doc_id"]] for r in rows if r["predicted"])
+    assert right >= 0.9 * sum(truth[r["doc_id"]] for r in rows)
+    assert right >= 0.9 * sum(r["predicted"] for r in rows)
+
+
 def test_label_model_finds_accuracies_and_correlations():
     chance = np.random.default_rng(0)
     truth = chance.random(4000) < 0.2
