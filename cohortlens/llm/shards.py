@@ -3,8 +3,8 @@
 Law: ``bytes``. Records are ordered by the hash of their text, so equal texts stand side by
 side and mostly share a shard. A size-weighted sample of the hashes gives the splitters of
 many ranges; each range is measured in full, ranges that are overfull are subdivided, and
-neighbouring units are dealt to the shards by running bytes. A text that alone is too large
-for a unit is spread by document. DataFrame functions only.
+neighbouring units are dealt to the shards by running bytes. The rows of a text that alone is
+too large for a unit are spread over several, whatever their ids. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -51,10 +51,12 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", numb
     """One row per row of ``docs`` with its shard and its slot there.
 
     ``size`` is the text's UTF-8 bytes plus one; a null text is empty. Shards differ from an
-    equal share by about one unit's bytes, or by the longest text if that is more. Slots are
-    0, 1, ... in each shard, ordered by text hash and id; equal rows are told apart in no
-    defined way. A null id is ordinary. Other columns are not read; an empty table gives an
-    empty table. The driver gets the sample and one row per unit, whose numbers are set by the
+    equal share by about one unit's bytes, or by the longest text if that is more, also where
+    many rows share a text and an id or have neither. Slots are 0, 1, ... in each shard, ordered
+    by text hash and id; equal rows are told apart in no defined way. Rows of a text that is
+    too large for a unit are spread by their place in the table, so their shards may change if
+    the table is stored in another way. A null id is ordinary.
+    Other columns are not read; an empty table gives an empty table. The driver gets the sample and one row per unit, whose numbers are set by the
     parameters and by rows over ``UNIT_ROWS``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -64,6 +66,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", numb
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
             F.xxhash64(text).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "rows",
     )
@@ -89,7 +92,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", numb
     divided = [(r["range"], _units(r["b"], r["n"], total)) for r in ranges.collect()]
     division = session.createDataFrame(divided, "range int, division long")
     unit = F.when(
-        F.col("own").isNotNull(), F.pmod(F.xxhash64("doc_id", F.lit("spread")), F.col("spread"))
+        F.col("own").isNotNull(), F.pmod(F.xxhash64("row", F.lit("spread")), F.col("spread"))
     ).otherwise(F.pmod(F.xxhash64("key", F.lit("unit")), F.col("division")))
     placed = placed.join(F.broadcast(division), "range", "left").select(
         "doc_id", "size", "text_crc32", "key", "range", F.coalesce("own", F.lit(0)).alias("own"), unit.alias("unit")

@@ -168,6 +168,16 @@ def test_shards_with_a_hot_text(spark):
     assert len(sizes) == 16 and max(sizes.values()) < 1.05 * share and min(sizes.values()) > 0.95 * share
 
 
+@pytest.mark.parametrize("key", [None, 7])
+@pytest.mark.parametrize("text", [None, "the same text again and again"])
+def test_shards_with_a_hot_id_and_text(spark, key, text):
+    chance = random.Random(3)
+    texts = [(i, "".join(chance.choices("abcdef ", k=chance.randint(0, 20)))) for i in range(10_000)] + [(key, text)] * 10_000
+    sizes = check_shards(shards.shards(documents(spark, [t for _, t in texts], [k for k, _ in texts])).collect(), texts)
+    share = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and max(sizes.values()) < 1.02 * share and min(sizes.values()) > 0.98 * share
+
+
 def test_shards_of_odd_rows(spark):
     texts = [(None, None), (None, ""), (3, "a"), (3, "a"), (4, "é" * 50_000)]
     check_shards(shards.shards(documents(spark, [t for _, t in texts], [k for k, _ in texts])).collect(), texts)
