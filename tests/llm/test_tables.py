@@ -10,8 +10,10 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cohortlens.llm import merkle, mixture, packing, shards
 from cohortlens.llm.common import numbered, table
@@ -193,46 +195,76 @@ def test_range_of_is_a_bisection(spark):
 # --- op8 -------------------------------------------------------------------------------
 
 
+def digest(text):
+    return int.from_bytes(xxhash.xxh64(text.encode(), seed=42).digest(), "big", signed=False) ^ (1 << 63)
+
+
 def edits(pairs):
-    pairs = sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, p[1] or ""))
+    pairs = sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, digest(p[1] or "")))
     for i, (key, text) in enumerate(pairs):
         text, following = text or "", pairs[(i + 1) % len(pairs)][1] or ""
         tail = len(text) // 4
         yield key, text, text[: len(text) - tail] + following[:tail], following
 
 
-def leaf_set(text):
+def tree(text):
     sections = re.findall(r"(?s)[^\n]*\n|[^\n]+", text)
-    return {p for s in sections for p in re.findall(r"(?s)[^.,;:!?\n]{0,96}[.,;:!?\n]+ ?|[^.,;:!?\n]{1,96}", s)}
+    return [tuple(re.findall(r"(?s)[^.,;:!?\n]{0,24}[.,;:!?\n]+ ?|[^.,;:!?\n]{1,24}", s)) for s in sections]
 
 
 def alike(a, b):
-    a, b = leaf_set(a), leaf_set(b)
-    return 1.0 if not a and not b else 2 * len(a & b) / (len(a) + len(b))
+    if a == b:
+        return 1.0
+    a, b = tree(a), tree(b)
+    shared = every = 0
+    for one, other in ((a, b), (sum(a, ()), sum(b, ()))):
+        shared += sum((Counter(one) & Counter(other)).values())
+        every += len(one) + len(other)
+    return 2 * shared / (every + 2)
+
+
+def changed(a, b):
+    if a == b:
+        return None, None
+    a, b = sum(tree(a), ()), sum(tree(b), ())
+    same = lambda x, y: next((i for i, v in enumerate(x) if i >= len(y) or v != y[i]), len(x))
+    start = same(a, b)
+    return start, max(start, len(a) - same(a[::-1], b[::-1]))
 
 
 def check_fingerprints(rows, pairs):
     expected = Counter(
-        (k, len(t), hashlib.sha256(e.encode()).hexdigest(), round(alike(t, e), 9), round(alike(t, n), 9)) for k, t, e, n in edits(pairs)
+        (k, len(t), hashlib.sha256(e.encode()).hexdigest(), round(alike(t, e), 9), round(alike(t, n), 9), *changed(t, e))
+        for k, t, e, n in edits(pairs)
+    )
+    found = Counter(
+        (r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9), r["changed_from"], r["changed_to"])
+        for r in rows
     )
-    found = Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in rows)
     assert found == expected
     for r in rows:
-        assert (r["fingerprint"] == r["edited_fingerprint"]) == (r["first_changed"] is None)
+        assert (r["fingerprint"] == r["edited_fingerprint"]) == (r["first_changed"] is None) == (r["near_edited"] == 1)
 
 
-@pytest.mark.parametrize("size", [7, 2000])
+@pytest.mark.parametrize("size", [20_000, 16 << 20])
 def test_fingerprints_of_whole_table(spark, small, monkeypatch, size):
-    monkeypatch.setattr(merkle, "RANGE_ROWS", size)
+    monkeypatch.setattr(merkle, "RANGE_BYTES", size)
     docs = table(spark, small, "documents")
     pairs = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    rows = merkle.fingerprints(docs).collect()
+    made = merkle.fingerprints(docs).cache()
+    rows = made.collect()
     check_fingerprints(rows, pairs)
     roots = {}
     texts = dict(pairs)
     for r in rows:
         assert roots.setdefault(texts[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
     assert len(set(roots.values())) == len(roots)
+    # What two stored fingerprints say is what the texts' trees say.
+    one, other = F.col("fingerprint"), F.col("edited_fingerprint")
+    same = merkle.root_of(one) == merkle.root_of(other)
+    stored = made.select("near_edited", merkle.likeness(merkle.tree_of(one), merkle.tree_of(other), same).alias("again"))
+    assert stored.filter("near_edited <> again").count() == 0
+    made.unpersist()
 
 
 def test_fingerprints_of_odd_rows(spark):
@@ -243,6 +275,23 @@ def test_fingerprints_of_odd_rows(spark):
     assert merkle.fingerprints(documents(spark, [])).count() == 0
 
 
+def test_fingerprints_of_repeats_and_order(spark):
+    pairs = [(1, "aa, bb.\naa, bb.\n"), (2, "aa, bb.\n"), (3, "bb.aa, \n"), (4, "one two three four five six seven"), (5, "b\na\n"), (6, "a\nb\n")]
+    rows = merkle.fingerprints(documents(spark, [t for _, t in pairs], [k for k, _ in pairs])).collect()
+    check_fingerprints(rows, pairs)
+    near = {r["doc_id"]: r["near_next"] for r in rows}
+    assert 0 < near[1] < 1 and near[2] < 1 and 0.5 < near[5] < 1
+    assert {r["doc_id"]: r["near_edited"] for r in rows}[4] > 0
+
+
+def test_fingerprints_with_hot_ids(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "RANGE_BYTES", 2_000)
+    chance = random.Random(4)
+    pairs = [(None if i % 3 == 0 else 40 if i % 3 == 1 else chance.randint(0, 80), chance.choice(["", None, "same, text.", f"text {i}, {i % 7}.\nend"])) for i in range(900)]
+    docs = documents(spark, [t for _, t in pairs], [k for k, _ in pairs])
+    check_fingerprints(merkle.fingerprints(docs).collect(), pairs)
+
+
 # --- op10 ------------------------------------------------------------------------------
 
 
