@@ -13,7 +13,6 @@ distinct fingerprints is bounded by their number, whatever the data.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -36,8 +35,6 @@ MAX_DISTANCE = 2
 LEVELS = 4
 #: A group of more fingerprints is divided again.
 GROUP = 2048
-#: A pair of trie nodes with at most so many pairs below it is compared at once.
-LEAF = 1024
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -81,52 +78,71 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col)), make, schema)
 
 
-def trie_edges(values: np.ndarray, budget: int) -> Iterator[tuple[int, int]]:
-    """Spanning edges of the graph of fingerprints at most ``budget`` bits apart.
+def trie_links(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions ``(i, j)`` of all values at most ``budget`` bits apart, in each group for itself.
 
-    ``values`` are distinct and sorted, so a trie node is a range of them. Node pairs are
-    walked down together from (root, root): taking different branches costs one bit of the
-    budget, and a pair is pruned when the budget is overdrawn. Pairs with few values below
-    are compared directly. Values already connected are not linked again.
+    A group is ``values[start:end]``, distinct and ascending, so a node of its binary trie is a
+    range of them. The walk starts with each root paired with itself and goes down one bit at a
+    time, for all groups at once, until only pairs of single values are left.
     """
-    count = len(values)
-    group = np.arange(count)
-    numbers = values.tolist()
-    stack = [(0, count, 0, count, BITS - 1, budget)]
-    while stack:
-        a0, a1, b0, b1, bit, left = stack.pop()
-        if a0 == a1 or b0 == b1 or left < 0:
-            continue
-        if (a1 - a0) * (b1 - b0) <= LEAF or bit < 0:
-            near = np.bitwise_count(values[a0:a1, None] ^ values[None, b0:b1]) <= budget
-            while True:
-                new = near & (group[a0:a1, None] != group[None, b0:b1])
-                if not new.any():
-                    break
-                i, j = divmod(int(new.argmax()), b1 - b0)
-                one, other = sorted((group[a0 + i], group[b0 + j]))
-                group[group == other] = one
-            continue
-        step = 1 << bit
-        am = _split(numbers, a0, a1, step)
-        if (a0, a1) == (b0, b1):
-            stack += [(a0, am, a0, am, bit - 1, left), (am, a1, am, a1, bit - 1, left), (a0, am, am, a1, bit - 1, left - 1)]
-            continue
-        bm = _split(numbers, b0, b1, step)
-        stack += [
-            (a0, am, b0, bm, bit - 1, left),
-            (am, a1, bm, b1, bit - 1, left),
-            (a0, am, bm, b1, bit - 1, left - 1),
-            (am, a1, b0, bm, bit - 1, left - 1),
-        ]
-    for i in np.flatnonzero(group != np.arange(count)).tolist():
-        yield numbers[group[i]], numbers[i]
-
-
-def _split(numbers: list[int], low: int, high: int, step: int) -> int:
-    """First index of the node's upper branch."""
-    upper = (numbers[low] & ~(2 * step - 1)) | step
-    return bisect_left(numbers, upper, low, high)
+    pairs = starts, ends, starts, ends, np.full(len(starts), budget, np.int8)
+    for bit in range(BITS - 1, -1, -1):
+        if not len(pairs[0]):
+            break
+        pairs = _descend(values, *pairs, bit)
+    return pairs[0], pairs[2]
+
+
+def _descend(
+    values: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, left: np.ndarray, bit: int
+) -> tuple[np.ndarray, ...]:
+    """Node pairs one bit further down, with what is left of their budgets.
+
+    Different branches cost one bit; a pair that overdraws its budget is pruned, and so is a
+    single value beside itself.
+    """
+    ones = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values >> np.uint64(bit) & np.uint64(1), out=ones[1:], dtype=np.int64)
+    am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
+    own = a0 == b0  # a node beside itself: its two crossings are one pair
+    parts = []
+    for one0, one1, other0, other1, cost, keep in (
+        (a0, am, b0, bm, 0, ~own | (am - a0 > 1)),
+        (am, a1, bm, b1, 0, ~own | (a1 - am > 1)),
+        (a0, am, bm, b1, 1, left > 0),
+        (am, a1, b0, bm, 1, ~own & (left > 0)),
+    ):
+        at = np.flatnonzero(keep & (one0 < one1) & (other0 < other1))
+        parts.append((one0[at], one1[at], other0[at], other1[at], left[at] - np.int8(cost)))
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+
+
+def _first_connected(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of ``count`` positions the smallest one connected with it by the pairs."""
+    first = np.arange(count)
+    while True:
+        low, new = np.minimum(first[i], first[j]), first.copy()
+        np.minimum.at(new, first[i], low)
+        np.minimum.at(new, first[j], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == first).all():
+            return first
+        first = new
+
+
+def trie_edges(
+    values: np.ndarray, budget: int, starts: np.ndarray | None = None, ends: np.ndarray | None = None
+) -> np.ndarray:
+    """Edges ``(a, b)`` from the first value of each connected set to its others, a row each.
+
+    Without bounds all values are one group.
+    """
+    if starts is None or ends is None:
+        starts, ends = np.array([0]), np.array([len(values)])
+    first = _first_connected(len(values), *trie_links(values, starts, ends, budget))
+    other = np.flatnonzero(first != np.arange(len(values)))
+    return np.stack([values[first[other]], values[other]], axis=1)
 
 
 def _divisions(distance: int) -> list[tuple[int, int, int, int]]:
@@ -205,18 +221,17 @@ def _joined(keyed: DataFrame, distance: int) -> DataFrame:
 def _edges(rows: np.ndarray, distance: int) -> pa.RecordBatch:
     """Edges of whole groups, given as node, block and fingerprint in order."""
     new = np.r_[True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)]
-    starts = np.flatnonzero(new)
-    ends = np.r_[starts[1:], rows.shape[1]]
     values = rows[2].view(np.uint64)
-    two = starts[ends - starts == 2]
-    near = two[np.bitwise_count(values[two] ^ values[two + 1]) <= distance]
-    found = [rows[2][[near, near + 1]].T]
-    for low, high in zip(starts.tolist(), ends.tolist(), strict=True):
-        if high - low > 2:
-            edges = list(trie_edges(np.sort(values[low:high]), distance))
-            if edges:
-                found.append(np.array(edges, np.uint64).view(np.int64))
-    a, b = np.concatenate(found).T
+    values = values[np.lexsort((values, np.cumsum(new)))]  # tries are in unsigned order
+    bounds = np.r_[np.flatnonzero(new), len(values)]
+    found, at = [np.zeros((0, 2), np.uint64)], 0
+    while at < len(bounds) - 1:
+        # Whole groups of about GROUP values in all are walked together.
+        to = max(int(np.searchsorted(bounds, bounds[at] + GROUP, "right")) - 1, at + 1)
+        inside = bounds[at : to + 1] - bounds[at]
+        found.append(trie_edges(values[bounds[at] : bounds[to]], distance, inside[:-1], inside[1:]))
+        at = to
+    a, b = np.concatenate(found).view(np.int64).T
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 

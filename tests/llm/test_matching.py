@@ -148,6 +148,42 @@ def test_trie_walks_large_groups():
     assert all(groups[place[a]] == groups[place[b]] for a, b in found)
 
 
+def test_trie_prunes_real_fingerprints(spark, small, monkeypatch):
+    rows = table(spark, small, "documents").select("text").collect()
+    real = {simhash.fingerprint(r["text"]) for r in rows}
+    values = np.array(sorted(real | {v ^ (1 << v % 64) ^ (1 << v % 61) for v in real if v % 8 == 0}), np.uint64)
+    walked, down = [], simhash._descend
+
+    def counted(*given):
+        walked.append(len(given[1]))
+        return down(*given)
+
+    monkeypatch.setattr(simhash, "_descend", counted)
+    i, j = simhash.trie_links(values, np.array([0]), np.array([len(values)]), 2)
+    near = {
+        (a, b) for a in range(len(values)) for b in range(a) if (int(values[a]) ^ int(values[b])).bit_count() <= 2
+    }
+    assert near and {(max(p), min(p)) for p in zip(i.tolist(), j.tolist(), strict=True)} == near and len(i) == len(near)
+    # One root; under a quarter of all pairs of values live to any one depth; few reach the last.
+    assert walked[0] == 1 and max(walked) < len(values) * (len(values) - 1) / 8 and walked[-1] < 2 * len(near) + 2
+
+
+def test_groups_walked_together_stay_apart():
+    chance = random.Random(7)
+    groups = [sorted({sum(1 << b for b in chance.sample(range(64), 2)) for _ in range(n)}) for n in (1, 2, 40, 3, 1, 25)]
+    rows = [(0, k, simhash.signed(v)) for k, group in enumerate(groups) for v in sorted(group, key=simhash.signed)]
+    edges = simhash._edges(np.array(rows, np.int64).T, 2).to_pydict()
+    expected = set()
+    for group in groups:
+        firsts = slow_components(group)
+        lowest = {}
+        for v, first in zip(group, firsts, strict=True):
+            lowest.setdefault(first, v)
+            if lowest[first] != v:
+                expected.add((simhash.signed(lowest[first]), simhash.signed(v)))
+    assert set(zip(edges["a"], edges["b"], strict=True)) == expected
+
+
 def test_groups_of_whole_table(spark, small):
     docs = table(spark, small, "documents")
     rows = sorted(docs.select("doc_id", "text").collect())
