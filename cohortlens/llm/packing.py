@@ -1,9 +1,9 @@
 """Packing documents into sequences of fixed length by exact-complement hashing.
 
 Only the number of pieces of each length matters for the plan, and there are at most as many
-lengths as a sequence has tokens. The plan is made on those counts: combinations of one, two
-or three lengths that fill a gap exactly are looked up in hash indexes and used as often as
-all their lengths are available; what is left is packed best-fit. Each step uses up a length
+lengths as a sequence has tokens. The plan is made on those counts: single lengths and pairs are
+indexed by their sum, triples as a length and an indexed pair; what fills a gap exactly is used
+as often as all its lengths are available, and what is left is packed best-fit. Each step uses up a length
 or is the last of its kind, so the plan stays short whatever the number of pieces. Pieces are
 then numbered within their length on the cluster and find their place in the plan.
 """
@@ -140,52 +140,83 @@ def pieces(
 Plan = list[tuple[tuple[int, ...], int]]
 
 
+class Sums:
+    """Lengths that are left, and their pairs by sum; a triple is a length and a pair of the rest."""
+
+    def __init__(self, counts: dict[int, int], size: int) -> None:
+        self.size = size
+        self.left = np.zeros(size + 1, np.int64)
+        for n, count in counts.items():
+            self.left[n] = max(count, 0)
+        #: For each sum the longer members of its pairs, longest first.
+        self.pairs = [self._there(s, np.arange(s - 1, (s - 1) // 2, -1)) for s in range(size + 1)]
+        #: How many of them are still there.
+        self.live = np.array([len(longer) for longer in self.pairs])
+
+    def _there(self, total: int, longer: np.ndarray) -> np.ndarray:
+        other = self.left[total - longer]
+        return longer[(self.left[longer] > 0) & (other > 0) & ((2 * longer != total) | (other > 1))]
+
+    def enough(self, *combination: int) -> bool:
+        return all(self.left[n] >= combination.count(n) for n in combination)
+
+    def take(self, n: int, times: int) -> None:
+        """Take pieces of length ``n`` away, and the pairs that end with them."""
+        before = self.left[n]
+        self.left[n] -= times
+        if self.left[n] < 2 <= before and 2 * n <= self.size:
+            self.live[2 * n] -= 1
+        if not self.left[n]:
+            self.live[n + np.flatnonzero(self.left[: self.size - n + 1])] -= 1
+
+    def pair(self, total: int, longest: int, *held: int) -> tuple[int, int] | None:
+        """A pair of this sum that is there beside the pieces held, none of it over ``longest``."""
+        if not self.live[total]:
+            return None
+        if 2 * self.live[total] < len(self.pairs[total]):
+            self.pairs[total] = self._there(total, self.pairs[total])
+        for a in self._there(total, self.pairs[total]).tolist():
+            if a <= longest and self.enough(*held, a, total - a):
+                return a, total - a
+        return None
+
+    def filling(self, first: int) -> tuple[int, ...] | None:
+        """``first`` with one, two or three others that fill a sequence exactly."""
+        gap = self.size - first
+        if not gap:
+            return (first,)
+        if self.enough(first, gap):
+            return first, gap
+        # Pairs and triples with their longest member first keep short pieces for later gaps.
+        if pair := self.pair(gap, gap, first):
+            return first, *pair
+        longest = np.arange(gap - 2, (gap + 2) // 3 - 1, -1)
+        for a in longest[(self.left[longest] > 0) & (self.live[gap - longest] > 0)].tolist():
+            if pair := self.pair(gap - a, a, first, a):
+                return first, a, *pair
+        return None
+
+
 def plan(counts: dict[int, int], size: int = SEQUENCE_TOKENS) -> Plan:
     """Combinations of lengths and how many sequences each fills, for the given piece counts."""
-    left = {n: c for n, c in counts.items() if c > 0}
+    sums = Sums(counts, size)
+    left = sums.left
     out: Plan = []
 
     def use(combination: tuple[int, ...]) -> None:
-        times = min(left[n] // combination.count(n) for n in set(combination))
+        times = min(int(left[n]) // combination.count(n) for n in set(combination))
         out.append((combination, times))
-        for n in combination:
-            left[n] -= times
         for n in set(combination):
-            if not left[n]:
-                del left[n]
-
-    def enough(*combination: int) -> bool:
-        return all(left.get(n, 0) >= combination.count(n) for n in combination)
-
-    def exact(first: int) -> tuple[int, ...] | None:
-        gap = size - first
-        if not gap:
-            return (first,)
-        if enough(first, gap):
-            return first, gap
-        # Pairs and triples with their longest member first keep short pieces for later gaps.
-        for a in sorted((n for n in left if n <= gap), reverse=True):
-            if 2 * a < gap:
-                break
-            if enough(first, a, gap - a):
-                return first, a, gap - a
-        for a in sorted((n for n in left if n <= gap), reverse=True):
-            if 3 * a < gap:
-                break
-            rest = gap - a
-            for b in range(min(a, rest - 1), (rest + 1) // 2 - 1, -1):
-                if enough(first, a, b, rest - b):
-                    return first, a, b, rest - b
-        return None
+            sums.take(n, times * combination.count(n))
 
-    for first in sorted(left, reverse=True):
-        while left.get(first) and (combination := exact(first)):
+    for first in np.flatnonzero(left)[::-1].tolist():
+        while left[first] and (combination := sums.filling(first)):
             use(combination)
-    while left:
+    while left.any():
         # Best-fit decreasing on the counts: the longest piece, then whatever fits best.
         chosen: list[int] = []
         gap = size
-        ascending = sorted(left)
+        ascending = np.flatnonzero(left).tolist()
         while True:
             at = bisect_right(ascending, gap) - 1
             while at >= 0 and left[ascending[at]] <= chosen.count(ascending[at]):

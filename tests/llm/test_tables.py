@@ -68,6 +68,44 @@ def test_plan_uses_each_piece_once_and_fits(counts):
     assert used == Counter(counts)
 
 
+def slow_filling(left, first, size):
+    """All combinations tried: fewest pieces first, then the longest ones."""
+    others = sorted((n for n in left if left[n] > 0), reverse=True)
+    if first == size:
+        return (first,)
+    for many in (1, 2, 3):
+        for more in combinations_with_replacement(others, many):
+            used = Counter((first, *more))
+            if sum(more) == size - first and all(left[n] >= c for n, c in used.items()):
+                return first, *more
+    return None
+
+
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), min_size=1, max_size=12), st.randoms())
+@settings(max_examples=200, deadline=None)
+def test_sums_find_what_fills_exactly(counts, chance):
+    sums, left = packing.Sums(counts, 30), dict(counts)
+    while any(left.values()):
+        for first in [n for n in left if left[n]]:
+            assert sums.filling(first) == slow_filling(left, first, 30)
+        gone = chance.choice([n for n in left if left[n]])
+        times = chance.randint(1, left[gone])
+        sums.take(gone, times)
+        left[gone] -= times
+        for total in range(31):
+            there = [a for a in left if left[a] and left.get(total - a, 0) > (2 * a == total) and 2 * a >= total]
+            assert sums.live[total] == len(there)
+
+
+def test_lengths_that_never_fill_cost_one_look_each(monkeypatch):
+    looks, pair = [], packing.Sums.pair
+    monkeypatch.setattr(packing.Sums, "pair", lambda self, *given: looks.append(given) or pair(self, *given))
+    counts = {n: 3 for n in range(5, 2048, 5)}
+    found = packing.plan(counts)
+    assert sum(times * len(combination) for combination, times in found) == 3 * len(counts)
+    assert len(looks) == len(counts)
+
+
 @given(st.dictionaries(st.integers(3, 12), st.integers(1, 2), min_size=1, max_size=4))
 @settings(max_examples=60, deadline=None)
 def test_plan_is_near_the_fewest(counts):
