@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -20,8 +21,9 @@ from cohortlens.functions import columns as C
 from cohortlens.functions.columns import struct_rows
 from cohortlens.functions.fixed import SILHOUETTE_TARGET
 from cohortlens.operators import features as FE
+from cohortlens.operators.fits import Model, block_scores, blocks_of, fit_together
 from cohortlens.operators.rows import hash_sample
-from cohortlens.operators.scores import Scores, model_scores
+from cohortlens.operators.scores import Scores
 from cohortlens.sources.scratch import cached, checkpointed
 from cohortlens.sources.tables import broadcast_if_small, to_driver
 
@@ -29,6 +31,8 @@ ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 SEED = 42
 MAX_BROADCAST_CLUSTERS = 1_000
 MAX_SETTINGS = 100_000
+LAYOUT_PARTITIONS = 16
+LAYOUT_ROWS = 20_000
 PARALLEL_FITS = 4
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
@@ -61,10 +65,19 @@ def stable_layout(
 
     The starting centres depend on where rows lie. Hashing and sorting by the key
     gives the same layout whatever came before, as long as ``partitions`` is the same.
+    Without it there are as many as the session's shuffles have, but few rows are dealt to
+    fewer partitions (``LAYOUT_ROWS``): a fit's jobs are many, and each starts a task for every one.
     """
     number = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.select(key, *columns).repartition(number, key).sortWithinPartitions(key)
-    return checkpointed(laid)
+
+    def lay(rows: DataFrame, parts: int) -> DataFrame:
+        return checkpointed(rows.select(key, *columns).repartition(parts, key).sortWithinPartitions(key))
+
+    laid = lay(df, number)
+    if partitions or number <= LAYOUT_PARTITIONS:
+        return laid
+    enough = max(LAYOUT_PARTITIONS, -(-laid.count() // LAYOUT_ROWS))
+    return laid if enough >= number else lay(laid, enough)
 
 
 def fit(
@@ -76,6 +89,16 @@ def fit(
     ).fit(df)
 
 
+def starting_centres(df: DataFrame, algorithm: str, k: int, features: str = "pca", seed: int = SEED) -> np.ndarray | None:
+    """The centres k-means begins with; a bisecting fit has none, its settings are checked."""
+    fitter = ALGORITHMS[algorithm](featuresCol=features, k=k, seed=seed)
+    if algorithm == "bisecting":
+        if k < 2:
+            raise ValueError(f"{k} clusters asked of a bisecting fit, which has two or more")
+        return None
+    return np.array([list(c) for c in fitter.setMaxIter(0).fit(df).clusterCenters()], float)
+
+
 def silhouette(df: DataFrame, features: str = "pca", prediction: str = "prediction") -> float | None:
     """Mean silhouette with squared Euclidean distance; None for fewer than two clusters."""
     evaluator = ClusteringEvaluator(
@@ -90,9 +113,18 @@ def silhouette(df: DataFrame, features: str = "pca", prediction: str = "predicti
 
 
 def fit_and_score(df: DataFrame, algorithm: str, k: int, features: str = "pca") -> Clustering:
-    model = fit(df, algorithm, k, features)
-    scores = model_scores(df, {"own": model}, features)["own"]
-    return Clustering(algorithm, k, model, model.transform(df), scores, features)
+    return fit_and_score_together(df, [algorithm], k, features)[0]
+
+
+def fit_and_score_together(
+    df: DataFrame, algorithms: Sequence[str], k: int, features: str = "pca"
+) -> list[Clustering]:
+    """One clustering per algorithm, fitted and scored in the same passes."""
+    found = fitted_settings(df, algorithms, [k], features)
+    for line, clustering in found:
+        if clustering is None:
+            raise ValueError(line.error)
+    return [clustering for _, clustering in found]
 
 
 # ---------------------------------------------------------------- deterministic parts
@@ -220,33 +252,51 @@ def fitted_settings(
 ) -> list[tuple[Row, Clustering | None]]:
     """The lines of a sweep, each with its clustering; None where the fit failed.
 
-    All fits are scored together, in two passes over the held rows.
+    Starting centres are found a few fits at a time; from there on all fits advance and are
+    scored together, see ``fits``. The seconds of a line are those of its start and its share
+    of the common passes.
     """
     settings = [(algorithm, k) for algorithm in algorithms for k in ks]
+    errors: dict[tuple[str, int], str] = {}
+    seconds = dict.fromkeys(settings, 0.0)
+    models: dict[tuple[str, int], Model] = {}
+    scores: dict[tuple[str, int], Scores] = {}
+
+    def start(held: DataFrame, setting: tuple[str, int]) -> np.ndarray | None:
+        started = time.perf_counter()
+        try:
+            return starting_centres(held, *setting, features)
+        except Exception as problem:
+            errors[setting] = str(problem)
+            return None
+        finally:
+            seconds[setting] = time.perf_counter() - started
+
     with cached(df) as held, ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
         held.count()
-
-        def attempt(setting: tuple[str, int]) -> tuple:
-            started = time.perf_counter()
-            model = error = None
-            try:
-                model = fit(held, *setting, features)
-            except Exception as problem:
-                error = str(problem)
-            return model, error, time.perf_counter() - started
-
-        run = inheritable_thread_target(df.sparkSession)(attempt)
-        fits = pool.map(run, settings, chunksize=1)
-        names = [f"_{algorithm}_{k}" for algorithm, k in settings]
-        models = {n: model for n, (model, _, _) in zip(names, fits, strict=True) if model is not None}
-        scores = model_scores(held, models, features)
+        run = inheritable_thread_target(df.sparkSession)(lambda setting: start(held, setting))
+        starts = dict(zip(settings, pool.map(run, settings, chunksize=1), strict=True))
+        open_ = [setting for setting in settings if setting not in errors]
+        started = time.perf_counter()
+        try:
+            if open_:
+                with blocks_of(held, features) as blocks:
+                    free = {s: starts[s] for s in open_ if s[0] == "kmeans"}
+                    halved = {s: s[1] for s in open_ if s[0] == "bisecting"}
+                    models = fit_together(blocks, free, halved, SEED, features, held.rdd.getNumPartitions())
+                    scores = block_scores(blocks, models)
+        except Exception as problem:
+            models, scores = {}, {}
+            errors |= {setting: str(problem) for setting in open_}
+        for setting in open_:
+            seconds[setting] += (time.perf_counter() - started) / len(open_)
     line = Row(*SWEEP_COLUMNS)
     out = []
-    for (algorithm, k), name, (model, error, seconds) in zip(settings, names, fits, strict=True):
-        own = scores.get(name)
+    for setting in settings:
+        (algorithm, k), own, model = setting, scores.get(setting), models.get(setting)
         clustering = own and Clustering(algorithm, k, model, model.transform(df), own, features)
         score, cost = (own.silhouette, own.cost) if own else (None, None)
-        out.append((line(label, k_pca, algorithm, k, score, cost, seconds, error), clustering))
+        out.append((line(label, k_pca, algorithm, k, score, cost, seconds[setting], errors.get(setting)), clustering))
     return out
 
 

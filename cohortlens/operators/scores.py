@@ -45,6 +45,30 @@ def _points(batch: pa.RecordBatch) -> np.ndarray:
     return lists.flatten().to_numpy().reshape(len(lists), -1)
 
 
+def cluster_table(points: np.ndarray, own: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Per cluster the sums of one, squared length, squared distance and coordinates."""
+    lengths = np.square(points).sum(axis=1)
+    apart = np.square(points - centres[own]).sum(axis=1)
+    cells = np.column_stack([np.ones(len(own)), lengths, apart, points])
+    return (own[:, None] == np.arange(len(centres))).astype(float).T @ cells
+
+
+def silhouette_sum(points: np.ndarray, own: np.ndarray, table: np.ndarray) -> float:
+    """Sum of the points' scores; a point's mean squared distance to a cluster follows from the
+    cluster's sums, so no points are paired."""
+    lengths, every = np.square(points).sum(axis=1)[:, None], np.arange(len(points))
+    n, sums, totals = table[:, 0], table[:, 1], table[:, 3:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = lengths + (sums - 2 * points @ totals.T) / n
+        inner = mean[every, own] * n[own] / (n[own] - 1)
+        mean[every, own] = np.inf
+        mean[:, n == 0] = np.inf
+        outer = mean.min(axis=1)
+        larger = np.maximum(inner, outer)
+        score = np.where((n[own] == 1) | (larger == 0), 0.0, (outer - inner) / larger)
+    return float(score.sum())
+
+
 def cluster_sums(rows: DataFrame, centres: Mapping[str, np.ndarray]) -> DataFrame:
     """Per model and cluster: ``sums`` of one, squared length, squared distance and coordinates.
 
@@ -58,13 +82,8 @@ def cluster_sums(rows: DataFrame, centres: Mapping[str, np.ndarray]) -> DataFram
             if not batch.num_rows:
                 continue
             points = _points(batch)
-            lengths = np.square(points).sum(axis=1)
             for at, name in enumerate(names, start=1):
-                own = batch.column(at).to_numpy()
-                apart = np.square(points - centres[name][own]).sum(axis=1)
-                cells = np.column_stack([np.ones(len(own)), lengths, apart, points])
-                for cluster in np.unique(own).tolist():
-                    totals[name][cluster] += cells[own == cluster].sum(axis=0)
+                totals[name] += cluster_table(points, batch.column(at).to_numpy(), centres[name])
         found = [(n, i, row) for n, table in totals.items() for i, row in enumerate(table) if row[0]]
         columns = list(zip(*found, strict=True)) or [(), (), ()]
         kinds = pa.string(), pa.int32(), pa.list_(pa.float64())
@@ -79,8 +98,7 @@ def cluster_sums(rows: DataFrame, centres: Mapping[str, np.ndarray]) -> DataFram
 
 
 def _silhouette_sums(rows: DataFrame, tables: Mapping[str, np.ndarray]) -> DataFrame:
-    """Sum of the rows' scores per model; a row's mean squared distance to a cluster follows
-    from the cluster's sums, so no rows are paired."""
+    """Sum of the rows' scores per model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = dict.fromkeys(tables, 0.0)
@@ -88,19 +106,8 @@ def _silhouette_sums(rows: DataFrame, tables: Mapping[str, np.ndarray]) -> DataF
             if not batch.num_rows:
                 continue
             points = _points(batch)
-            lengths = np.square(points).sum(axis=1)[:, None]
             for at, (name, table) in enumerate(tables.items(), start=1):
-                own, every = batch.column(at).to_numpy(), np.arange(batch.num_rows)
-                n, sums, totals = table[:, 0], table[:, 1], table[:, 3:]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    mean = lengths + (sums - 2 * points @ totals.T) / n
-                    inner = mean[every, own] * n[own] / (n[own] - 1)
-                    mean[every, own] = np.inf
-                    mean[:, n == 0] = np.inf
-                    outer = mean.min(axis=1)
-                    larger = np.maximum(inner, outer)
-                    score = np.where((n[own] == 1) | (larger == 0), 0.0, (outer - inner) / larger)
-                found[name] += float(score.sum())
+                found[name] += silhouette_sum(points, batch.column(at).to_numpy(), table)
         arrays = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.float64())]
         yield pa.RecordBatch.from_arrays(arrays, names=["model", "score"])
 

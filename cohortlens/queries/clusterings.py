@@ -163,7 +163,7 @@ def fixed_k(spark, folder):
     ready = mixed_features(prepared(spark, folder), "standard")
     reduced = FE.fit_pca(ready, 10).transform(ready)
     laid = CL.stable_layout(reduced, "encounter_id", ["pca"])
-    parts = [CL.fit_and_score(laid, a, 3) for a in ("kmeans", "bisecting")]
+    parts = CL.fit_and_score_together(laid, ("kmeans", "bisecting"), 3)
     return CL.comparison(parts).select(
         "algorithm", "k", F.round("silhouette", 6).alias("silhouette"),
         F.round("cost", 3).alias("cost"), F.array_join(F.col("sizes").cast("array<string>"), " ").alias("sizes"),
@@ -333,7 +333,7 @@ def compare_labelings(spark, folder):
 @add("ag24_model_comparison")
 def model_comparison(spark, folder):
     laid = laid_vectors(spark, folder)
-    parts = [CL.fit_and_score(laid, a, 3) for a in ("kmeans", "bisecting")]
+    parts = CL.fit_and_score_together(laid, ("kmeans", "bisecting"), 3)
     return CL.verdict(CL.comparison(parts)).select(
         "algorithm", "k", F.round("silhouette", 6).alias("silhouette"),
         F.round("cost", 4).alias("cost"), "meets_target",
