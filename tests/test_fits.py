@@ -1,12 +1,13 @@
 """Fits made together against Spark's own, one by one."""
 
 import pytest
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clusters as CL
 from cohortlens.operators import fits
 from cohortlens.operators.scores import model_scores
+from cohortlens.sources.scratch import cached
 
 
 def _laid(spark, partitions, rows=400, width=6):
@@ -58,3 +59,22 @@ def test_few_rows_are_laid_in_few_partitions(spark):
         assert _laid(spark, 40).rdd.getNumPartitions() == 40
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_starting_centres_hold_their_points(spark):
+    """With the solver that Spark chooses for dense vectors every row was made four times."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(vector):
+        made.add(1)
+        return vector
+
+    laid = _laid(spark, 4)
+    fitter = CL.KMeans(featuresCol="pca", k=5, seed=CL.SEED, maxIter=0)
+    wanted = [list(c) for c in fitter.fit(laid).clusterCenters()]
+    seen = laid.withColumn("pca", F.udf(count, VectorUDT())("pca"))
+    assert CL.starting_centres(seen, "kmeans", 5).tolist() == wanted
+    assert made.value <= 3 * laid.count()
+    with cached(laid) as held:
+        held.count()
+        assert CL.starting_centres(held, "kmeans", 5).tolist() == wanted
