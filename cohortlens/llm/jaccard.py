@@ -11,8 +11,9 @@ share one of the first fifth of each, so a tree is built over the sets that shar
 shingle; sets of one shingle too many for a task are dealt into tiles, and pairs of tiles are
 joined like pairs of boxes. The order knows how common a shingle is from counts over all
 texts, so a passage of half the corpus brings hardly any sets together. Large groups are first
-joined tile by tile on their sets, and what is linked there already is not compared again:
-thousands of near copies do not become millions of pairs. Equal sets are one point.
+joined tile by tile on their sets, in a few rounds with other groups each, and what is linked
+there already is not compared again: thousands of near copies do not become millions of pairs.
+Equal sets are one point.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ TILE = 512
 TILE_BYTES = 16 << 20
 #: Sets of one shingle from which their groups are joined tile by tile first.
 LARGE = 8
+#: Most rounds in which that is done.
+ROUNDS = 3
 #: Pairs whose bound is computed at a time.
 STEP = 1 << 13
 #: Width of the bands of set sizes that tiles are made of.
@@ -353,13 +356,27 @@ def _side(columns: dict[str, pa.ChunkedArray], chosen: np.ndarray) -> Side:
     return Side(points[chosen], columns["n"].to_numpy()[chosen], columns["label"].to_numpy()[chosen])
 
 
-def _large_links(members: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """Verified links inside tiles of the large groups, each row in the largest it is part of.
+def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members with the label of their class; those without one are their own."""
+    rows = members.select("shingle", "row")
+    if labels is None:
+        return rows.withColumn("label", F.col("row"))
+    return rows.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
 
-    Tiles are dealt twice, so that those of one group are linked through each other; links
-    between tiles that are missed here are found with those of small groups.
+
+def _large_links(members: DataFrame, labels: DataFrame | None, sets: DataFrame, width: int, percent: int, turn: int) -> DataFrame:
+    """Verified links inside tiles of the large groups of several classes, each row in one of its groups.
+
+    That is the largest at first, and in later turns the first in an order of all groups that is
+    another each turn: near copies have most groups in common and so mostly meet. Tiles are dealt
+    twice, so that those of one group are linked through each other; links that are missed here
+    are found with those of small groups.
     """
-    own = members.filter(F.col("rows") >= LARGE).groupBy("row").agg(F.max_by("shingle", F.struct("rows", "shingle")).alias("shingle"))
+    named = _named(members, labels)
+    sizes = named.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l"), F.max("label").alias("h"))
+    large = sizes.filter((F.col("rows") >= LARGE) & (F.col("l") < F.col("h"))).select("shingle", "rows")
+    place = F.struct("rows", "shingle") if not turn else F.struct(F.xxhash64("shingle", F.lit(turn)), "shingle")
+    own = written(named.join(large, "shingle").groupBy("row", "label").agg(F.max_by("shingle", place).alias("shingle")), "own-groups")
     rows = sets.select("row", "n", "point").join(broadcast_if_small(own, 500_000), "row")
     near = _units(_tiles(written(rows, "large"), TILE), UNIT, _with_partners(percent)).select(F.col("a").alias("row")).distinct()
     near = broadcast_if_small(near.join(own, "row"), 500_000)
@@ -372,7 +389,7 @@ def _large_links(members: DataFrame, sets: DataFrame, width: int, percent: int)
         p, q = surviving(one, one, percent)
         # Likeliest pairs first; what they link need not be compared.
         likely = overlap(one, one, p, q) / (one.least[p] + one.least[q])
-        group = np.arange(len(names))
+        group = np.unique(one.labels, return_inverse=True)[1]
         edges = []
         for at in np.argsort(-likely, kind="stable").tolist():
             i, j = int(p[at]), int(q[at])
@@ -385,6 +402,18 @@ def _large_links(members: DataFrame, sets: DataFrame, width: int, percent: int)
     return _units(_tiles(rows, TILE), [*UNIT, "text"], join)
 
 
+def _joined_first(members: DataFrame, sets: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The links of the large groups, and the classes they make, after as many rounds as find more."""
+    links = labels = None
+    for turn in range(ROUNDS):
+        more = written(_large_links(members, labels, sets, width, percent, turn), "large-links")
+        if links is not None and more.isEmpty():
+            break
+        links = more if links is None else links.union(more)
+        labels = written(components(links).select(F.col("node").alias("row"), F.col("root").alias("label")), "labels")
+    return links, labels
+
+
 def _with_partners(percent: int) -> Callable[[dict[str, pa.ChunkedArray]], tuple[np.ndarray, np.ndarray]]:
     """The rows of a unit that any other may be linked with."""
 
@@ -407,13 +436,13 @@ def _tiles(rows: DataFrame, size: int) -> DataFrame:
         rows.join(tiles, "shingle")
         .select("*", deals.alias("deal"))
         .withColumn("unit", 2 * F.pmod(F.xxhash64("row", "deal"), F.col("tiles")) + F.col("deal"))
-        .withColumns({"side": F.lit(0), "label": F.col("row")})
+        .withColumn("side", F.lit(0))
     )
 
 
 def _candidates(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows in different classes that survive the bound, from all groups."""
-    named = members.select("shingle", "row").join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
+    named = _named(members, labels)
     mixed = named.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("l"), F.max("label").alias("h"))
     open_groups = mixed.filter("l <> h").select("shingle", "rows")
     points = sets.select("row", "n", "point")
@@ -496,8 +525,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col:
     )
     kept = broadcast_if_small(equal.select("row"), 500_000)
     members = _members(full.select("row", "first").join(kept, "row", "left_semi"))
-    linked_large = written(_large_links(members, full, width, percent), "large-links")
-    labels = written(components(linked_large).select(F.col("node").alias("row"), F.col("root").alias("label")), "labels")
+    linked_large, labels = _joined_first(members, full, width, percent)
     pairs = written(_candidates(members, labels, full, percent), "pairs")
     links = written(_verified(pairs, full, width, percent).union(linked_large), "links")
     roots = components(links).select(F.col("node").alias("row"), "root")

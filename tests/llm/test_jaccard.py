@@ -131,6 +131,22 @@ def test_common_passage_and_many_copies(spark):
     assert found_classes(spark, rows, 8) == slow_classes(rows)
 
 
+def test_classes_of_near_copies_meet_in_another_group(spark):
+    """Two halves of near copies, each in a larger group with other texts, were left as 100 pairs."""
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(120)]
+    rows = [" ".join([*words[: 6 * i], f"x{i}", *words[6 * i + 1 :]]) for i in range(20)]
+    rows += [" ".join(draw.choices([f"q{j}" for j in range(5000)], k=120)) for _ in range(24)]
+    sets = [(i, t.encode(), len(h := jaccard.shingles(t.encode())), jaccard.point(h).tobytes()) for i, t in enumerate(rows)]
+    groups = {1: [*range(10), *range(20, 32)], 2: [*range(10, 20), *range(32, 44)]} | {s: range(20) for s in range(3, 13)}
+    sets = spark.createDataFrame(sets, "row long, text binary, n long, point binary")
+    members = spark.createDataFrame([(s, r) for s, own in groups.items() for r in own], "shingle long, row long")
+    links, labels = jaccard._joined_first(members, sets, 5, 80)
+    assert {(r.row, r.label) for r in labels.collect()} == {(i, 0) for i in range(20)}
+    assert jaccard._candidates(members, labels, sets, 80).filter("a < 20 and b < 20").isEmpty()
+    assert links.count() < 40
+
+
 def test_empty(spark):
     assert found_classes(spark, []) == []
     assert found_classes(spark, [(5, None), (4, "")]) == [(4, 0, 4), (5, 0, 5)]
