@@ -34,6 +34,7 @@ MAX_SETTINGS = 100_000
 LAYOUT_PARTITIONS = 16
 LAYOUT_ROWS = 20_000
 PARALLEL_FITS = 4
+PARALLEL_ROWS = 4_000_000
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
     "seconds double, error string"
@@ -238,9 +239,10 @@ def sweep(
 ) -> DataFrame:
     """Fit every algorithm for every k on held rows, and list silhouette and cost.
 
-    A few fits run side by side: each is a long series of short jobs, and one alone
-    leaves executors idle between them. A fit that fails is listed with its error and
-    does not end the sweep. Scores belong to the final centres, see ``model_scores``.
+    A few fits run side by side: each is a series of short jobs, and one alone leaves
+    executors idle between them. Beyond ``PARALLEL_ROWS`` the jobs are long enough alone.
+    A fit that fails is listed with its error and does not end the sweep. Scores belong to
+    the final centres, see ``model_scores``.
     """
     found = [line for line, _ in fitted_settings(df, algorithms, ks, features, label, k_pca, parallelism)]
     return df.sparkSession.createDataFrame(found, SWEEP_SCHEMA)
@@ -257,9 +259,10 @@ def fitted_settings(
 ) -> list[tuple[Row, Clustering | None]]:
     """The lines of a sweep, each with its clustering; None where the fit failed.
 
-    Starting centres are found a few fits at a time; from there on all fits advance and are
-    scored together, see ``fits``. The seconds of a line are those of its start and its share
-    of the common passes.
+    Starting centres are found a few fits at a time, of many rows one fit at a time: each holds
+    a copy of the points, and several copies would not stay in memory. From there on all fits
+    advance and are scored together, see ``fits``. The seconds of a line are those of its start
+    and its share of the common passes.
     """
     settings = [(algorithm, k) for algorithm in algorithms for k in ks]
     errors: dict[tuple[str, int], str] = {}
@@ -277,10 +280,11 @@ def fitted_settings(
         finally:
             seconds[setting] = time.perf_counter() - started
 
-    with cached(df) as held, ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
-        held.count()
+    with cached(df) as held:
+        side_by_side = parallelism if held.count() <= PARALLEL_ROWS else 1
         run = inheritable_thread_target(df.sparkSession)(lambda setting: start(held, setting))
-        starts = dict(zip(settings, pool.map(run, settings, chunksize=1), strict=True))
+        with ThreadPool(max(1, min(side_by_side, len(settings)))) as pool:
+            starts = dict(zip(settings, pool.map(run, settings, chunksize=1), strict=True))
         open_ = [setting for setting in settings if setting not in errors]
         started = time.perf_counter()
         try:

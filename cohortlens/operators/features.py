@@ -157,6 +157,24 @@ def fit_features(
     return fitted, fitted.model.transform(indexed)
 
 
+def assembled(
+    df: DataFrame, key: str, one_hot: Sequence[str] = (), index_only: Sequence[str] = (),
+    numeric: Sequence[str] = (), invalid: str = "skip",
+) -> DataFrame:
+    """Key and unscaled vector of each row, as a table.
+
+    What follows reads the rows several times: scalers, components and layout. Without the
+    table each of them joins the labels and assembles the vectors again.
+    """
+    _, ready = fit_features(df, one_hot, index_only, numeric, None, invalid)
+    return written(ready.select(key, "raw_features"), "assembled")
+
+
+def scaled(df: DataFrame, kind: str, source: str = "raw_features", out: str = "scaled") -> DataFrame:
+    """Vectors scaled by a scaler fitted on them."""
+    return _scaler(kind, source, out).fit(df).transform(df)
+
+
 def with_stage(fitted: FittedFeatures, stage, df: DataFrame) -> FittedFeatures:
     """Fitted stages with one more, fitted on their own output."""
     more = stage.fit(fitted.transform(df))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -43,9 +43,12 @@ def prepared(spark, folder):
     return filled(spark, folder, [*CATEGORICAL, *CODES, *NUMERIC])
 
 
-def mixed_features(rows, scaler: str):
-    _, ready = FE.fit_features(rows, CATEGORICAL, CODES, NUMERIC, scaler)
-    return ready.select("encounter_id", "scaled")
+def mixed_vectors(rows):
+    return FE.assembled(rows, "encounter_id", CATEGORICAL, CODES, NUMERIC)
+
+
+def mixed_features(vectors, scaler: str):
+    return FE.scaled(vectors, scaler).select("encounter_id", "scaled")
 
 
 def numeric_features(rows):
@@ -160,7 +163,7 @@ def sweep_bisecting(spark, folder):
 
 @add("cl8_fixed_k")
 def fixed_k(spark, folder):
-    ready = mixed_features(prepared(spark, folder), "standard")
+    ready = mixed_features(mixed_vectors(prepared(spark, folder)), "standard")
     reduced = FE.fit_pca(ready, 10).transform(ready)
     laid = CL.stable_layout(reduced, "encounter_id", ["pca"])
     parts = CL.fit_and_score_together(laid, ("kmeans", "bisecting"), 3)
@@ -171,10 +174,12 @@ def fixed_k(spark, folder):
 
 
 def _feature_sets(spark, folder, *names: str) -> dict:
+    """The named sets; those that differ in the scaler only share their vectors."""
     rows = prepared(spark, folder)
+    mixed = cache(lambda: mixed_vectors(rows))
     every = {
-        "minmax": lambda: mixed_features(rows, "minmax"),
-        "standard": lambda: mixed_features(rows, "standard"),
+        "minmax": lambda: mixed_features(mixed(), "minmax"),
+        "standard": lambda: mixed_features(mixed(), "standard"),
         "numeric": lambda: numeric_features(rows),
     }
     return {name: every[name] for name in names}
@@ -209,7 +214,7 @@ def feature_set_grid(spark, folder):
 
 @add("cl13_fallback")
 def fallback(spark, folder):
-    ready = mixed_features(prepared(spark, folder), "minmax")
+    ready = mixed_features(mixed_vectors(prepared(spark, folder)), "minmax")
     chosen, tried = CL.choose(ready, "encounter_id")
     return scored(tried).withColumn(
         "chosen",

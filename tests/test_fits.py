@@ -1,5 +1,7 @@
 """Fits made together against Spark's own, one by one."""
 
+import threading
+
 import pytest
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
@@ -78,3 +80,26 @@ def test_starting_centres_hold_their_points(spark):
     with cached(laid) as held:
         held.count()
         assert CL.starting_centres(held, "kmeans", 5).tolist() == wanted
+
+
+@pytest.mark.parametrize("rows, most", [(10, 1), (10_000, CL.PARALLEL_FITS)])
+def test_many_rows_are_started_one_fit_at_a_time(spark, monkeypatch, rows, most):
+    """Side by side each start held its own copy of the points, and none stayed in memory."""
+    now, seen, find, lock = [], [], CL.starting_centres, threading.Lock()
+
+    def start(*args):
+        with lock:
+            now.append(1)
+            seen.append(len(now))
+        try:
+            return find(*args)
+        finally:
+            with lock:
+                now.pop()
+
+    laid = _laid(spark, 4)
+    wanted = [line[:6] for line, _ in CL.fitted_settings(laid, ["kmeans"], (2, 3, 5))]
+    monkeypatch.setattr(CL, "PARALLEL_ROWS", rows)
+    monkeypatch.setattr(CL, "starting_centres", start)
+    assert [line[:6] for line, _ in CL.fitted_settings(laid, ["kmeans"], (2, 3, 5))] == wanted
+    assert max(seen) <= most
