@@ -34,7 +34,9 @@ MAX_SETTINGS = 100_000
 LAYOUT_PARTITIONS = 16
 LAYOUT_ROWS = 20_000
 PARALLEL_FITS = 4
-PARALLEL_ROWS = 4_000_000
+# What the copies of the points may take together, and what a copy takes beside the numbers.
+START_BYTES = 8 << 30
+POINT_BYTES = 100
 SWEEP_SCHEMA = (
     "features string, k_pca int, algorithm string, k int, silhouette double, cost double, "
     "seconds double, error string"
@@ -240,7 +242,7 @@ def sweep(
     """Fit every algorithm for every k on held rows, and list silhouette and cost.
 
     A few fits run side by side: each is a series of short jobs, and one alone leaves
-    executors idle between them. Beyond ``PARALLEL_ROWS`` the jobs are long enough alone.
+    executors idle between them. Many rows keep them busy alone.
     A fit that fails is listed with its error and does not end the sweep. Scores belong to
     the final centres, see ``model_scores``.
     """
@@ -260,7 +262,7 @@ def fitted_settings(
     """The lines of a sweep, each with its clustering; None where the fit failed.
 
     Starting centres are found a few fits at a time, of many rows one fit at a time: each holds
-    a copy of the points, and several copies would not stay in memory. From there on all fits
+    a copy of the points, and together they may take ``START_BYTES``. From there on all fits
     advance and are scored together, see ``fits``. The seconds of a line are those of its start
     and its share of the common passes.
     """
@@ -281,7 +283,8 @@ def fitted_settings(
             seconds[setting] = time.perf_counter() - started
 
     with cached(df) as held:
-        side_by_side = parallelism if held.count() <= PARALLEL_ROWS else 1
+        copy = held.count() * (8 * FE.vector_size(held, features) + POINT_BYTES)
+        side_by_side = min(parallelism, START_BYTES // max(copy, 1))
         run = inheritable_thread_target(df.sparkSession)(lambda setting: start(held, setting))
         with ThreadPool(max(1, min(side_by_side, len(settings)))) as pool:
             starts = dict(zip(settings, pool.map(run, settings, chunksize=1), strict=True))

@@ -82,8 +82,8 @@ def test_starting_centres_hold_their_points(spark):
         assert CL.starting_centres(held, "kmeans", 5).tolist() == wanted
 
 
-@pytest.mark.parametrize("rows, most", [(10, 1), (10_000, CL.PARALLEL_FITS)])
-def test_many_rows_are_started_one_fit_at_a_time(spark, monkeypatch, rows, most):
+@pytest.mark.parametrize("copies, most", [(0.5, 1), (2.5, 2)])
+def test_many_rows_are_started_one_fit_at_a_time(spark, monkeypatch, copies, most):
     """Side by side each start held its own copy of the points, and none stayed in memory."""
     now, seen, find, lock = [], [], CL.starting_centres, threading.Lock()
 
@@ -99,7 +99,7 @@ def test_many_rows_are_started_one_fit_at_a_time(spark, monkeypatch, rows, most)
 
     laid = _laid(spark, 4)
     wanted = [line[:6] for line, _ in CL.fitted_settings(laid, ["kmeans"], (2, 3, 5))]
-    monkeypatch.setattr(CL, "PARALLEL_ROWS", rows)
+    monkeypatch.setattr(CL, "START_BYTES", int(copies * 400 * (8 * 6 + CL.POINT_BYTES)))
     monkeypatch.setattr(CL, "starting_centres", start)
     assert [line[:6] for line, _ in CL.fitted_settings(laid, ["kmeans"], (2, 3, 5))] == wanted
     assert max(seen) <= most
