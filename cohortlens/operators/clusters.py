@@ -21,7 +21,7 @@ from cohortlens.functions import columns as C
 from cohortlens.functions.columns import struct_rows
 from cohortlens.functions.fixed import SILHOUETTE_TARGET
 from cohortlens.operators import features as FE
-from cohortlens.operators.fits import Model, block_scores, blocks_of, fit_together
+from cohortlens.operators.fits import Leading, Model, block_scores, blocks_of, fit_together, points_of
 from cohortlens.operators.rows import hash_sample
 from cohortlens.operators.scores import Scores
 from cohortlens.sources.scratch import cached, checkpointed
@@ -84,9 +84,12 @@ def stable_layout(
 
 
 def fit(
-    df: DataFrame, algorithm: str, k: int, features: str = "pca", prediction: str = "prediction",
+    df: DataFrame | Leading, algorithm: str, k: int, features: str = "pca", prediction: str = "prediction",
     seed: int = SEED,
 ):
+    """A model of its own. Of points that other fits are asked of too it is asked, and made with theirs."""
+    if isinstance(df, Leading):
+        return df.ask(algorithm, k)
     return ALGORITHMS[algorithm](
         featuresCol=features, predictionCol=prediction, k=k, seed=seed
     ).fit(df)
@@ -312,6 +315,38 @@ def fitted_settings(
     return out
 
 
+def fitted_sizes(
+    laid: DataFrame, source: str, settings: Sequence[tuple[int, str, int]], label: str = ""
+) -> list[Row]:
+    """The lines of fits on leading elements of a vector: their number, algorithm and k.
+
+    The points are held once. Starting centres of all sizes are found in the same passes, and
+    from there on all fits advance and are scored together, see ``fits``. The seconds of a line
+    are its share of that.
+    """
+    errors: dict[tuple[int, str, int], str] = {}
+    scores: dict[tuple[int, str, int], Scores] = {}
+    started = time.perf_counter()
+    try:
+        with points_of(laid, source, SEED) as points:
+            for size, algorithm, k in settings:
+                try:
+                    fit(points.leading(size), algorithm, k, source)
+                except Exception as problem:
+                    errors[size, algorithm, k] = str(problem)
+            _, scores = points.fitted()
+    except Exception as problem:
+        errors = {setting: str(problem) for setting in settings} | errors
+    seconds = (time.perf_counter() - started) / max(len(settings), 1)
+    line = Row(*SWEEP_COLUMNS)
+    out = []
+    for setting in settings:
+        own = scores.get(setting)
+        score, cost = (own.silhouette, own.cost) if own else (None, None)
+        out.append(line(label, *setting, score, cost, seconds, errors.get(setting)))
+    return out
+
+
 def best_setting(
     results: DataFrame, by: Sequence[str] = (), setting: str = "k", score: str = "silhouette"
 ) -> DataFrame:
@@ -454,10 +489,11 @@ def grid(
     """Every feature set with every number of components, k and algorithm.
 
     Components are fitted once per set, at the largest size; smaller sizes are its
-    leading elements. Sizes beyond the number of features are listed as skipped.
+    leading elements. Sizes beyond the number of features are listed as skipped. All fits of
+    a set advance together.
 
-    With ``results``, the lines of each set and number of components are appended to a table
-    there as soon as they are known, and settings that the table lists already are not fitted
+    With ``results``, the lines of each set are appended to a table there as soon as they are
+    known, and settings that the table lists already are not fitted
     again: a grid that was interrupted goes on where it stopped. Lines with an error are tried
     again. The result is what was asked for, also if the table holds more.
     """
@@ -488,15 +524,7 @@ def grid(
             continue
         model = FE.fit_pca(df, max(possible), scaled, "_components")
         laid = stable_layout(model.transform(df), key, ["_components"], partitions)
-        for k_pca in possible:
-            reduced = FE.leading(laid, "_components", "pca", k_pca).select(key, "pca")
-            wanted = [k for k in ks if any(own == k for _, own in open_[k_pca])]
-            if len(open_[k_pca]) == len(algorithms) * len(wanted):
-                add([line for line, _ in fitted_settings(reduced, algorithms, wanted, "pca", label, k_pca)])
-                continue
-            for algorithm in algorithms:
-                left = [k for a, k in open_[k_pca] if a == algorithm]
-                add([line for line, _ in fitted_settings(reduced, [algorithm], left, "pca", label, k_pca)] if left else [])
+        add(fitted_sizes(laid, "_components", [(k_pca, a, k) for k_pca in possible for a, k in open_[k_pca]], label))
     return spark.createDataFrame(found, SWEEP_SCHEMA)
 
 

@@ -3,24 +3,27 @@
 The points are held as blocks of rows. K-means starts from the centres that Spark's own
 initialisation finds; splits in two start from noise around the centre that is split, drawn as
 Spark's bisecting fit draws it. From there on every pass moves the centres of all fits that
-have not ended, so the number of passes does not grow with the number of fits.
+have not ended, so the number of passes does not grow with the number of fits. Fits may see
+different numbers of leading coordinates of the points; the width of their centres tells.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from cohortlens.operators.scores import Scores, cluster_table, silhouette_sum
+from cohortlens.operators.scores import Scores, silhouette_sums
 
 BLOCK_ROWS = 2_048
 PART_BYTES = 32 << 20
@@ -29,13 +32,26 @@ TOLERANCE = 1e-4
 # Centres that moved less than this share of their length only differ by rounding.
 STILL = 1e-12
 MAX_LEVEL = 63
-ROOT = ((), 0)
+# Spark's k-means takes this many rounds of points for its starting centres, and so many steps among them.
+START_ROUNDS = 2
+START_STEPS = 30
+# Distances below this share of the squared lengths are taken from the differences.
+CLOSE = 1e-6
 
 
 # ---------------------------------------------------------------- points
+class Block(NamedTuple):
+    part: int
+    before: int
+    points: np.ndarray
+
+
 @contextmanager
 def blocks_of(df: DataFrame, features: str) -> Iterator[RDD]:
-    """The vectors as matrices of at most ``BLOCK_ROWS`` rows, held inside the block."""
+    """The vectors as matrices of at most ``BLOCK_ROWS`` rows, held inside the block.
+
+    Each comes with its partition of ``df`` and the number of rows before it there.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,10 +68,19 @@ def blocks_of(df: DataFrame, features: str) -> Iterator[RDD]:
                 yield pa.RecordBatch.from_arrays(arrays, names=["width", "data"])
 
     packed = df.select(vector_to_array(F.col(features)).alias("point")).mapInArrow(pack, "width int, data binary")
-    whole = packed.rdd.map(lambda row: np.frombuffer(bytes(row[1])).reshape(-1, row[0])).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def place(part: int, rows: Iterable[Row]) -> Iterator[Block]:
+        before = 0
+        for row in rows:
+            points = np.frombuffer(bytes(row[1])).reshape(-1, row[0])
+            # Coordinate by coordinate: a few leading ones then lie together.
+            yield Block(part, before, np.asfortranarray(points))
+            before += len(points)
+
+    whole = packed.rdd.mapPartitionsWithIndex(place).persist(StorageLevel.MEMORY_AND_DISK)
     held = whole
     try:
-        size = whole.map(lambda block: block.nbytes).sum()
+        size = whole.map(lambda block: block.points.nbytes).sum()
         # Passes over few rows should not be many tasks.
         wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
         held = whole.coalesce(int(wanted)) if wanted < whole.getNumPartitions() else whole
@@ -67,10 +92,10 @@ def blocks_of(df: DataFrame, features: str) -> Iterator[RDD]:
 def add_up(blocks: RDD, step: Callable[[np.ndarray], list[np.ndarray]]) -> list[np.ndarray]:
     """The sums of what ``step`` finds in each block; the driver gets one list per task."""
 
-    def run(part: Iterable[np.ndarray]) -> list[list[np.ndarray]]:
+    def run(part: Iterable[Block]) -> list[list[np.ndarray]]:
         total = None
         for block in part:
-            found = step(block)
+            found = step(block.points)
             total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
         return [] if total is None else [total]
 
@@ -81,14 +106,34 @@ def add_up(blocks: RDD, step: Callable[[np.ndarray], list[np.ndarray]]) -> list[
 
 
 def _near(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Squared distances less the points' own squared lengths; absent centres are NaN."""
+    """Squared distances less the points' own squared lengths, a line per centre; absent centres are NaN."""
     lengths = np.square(centres).sum(axis=1)
     absent = np.isnan(lengths)
-    found = lengths - 2 * points @ np.where(absent[:, None], 0.0, centres).T
-    found[:, absent] = np.inf
+    found = np.where(absent[:, None], 0.0, -2 * centres) @ points.T
+    found += lengths[:, None]
+    found[absent] = np.inf
     return found
 
 
+def _hot(near: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of the lines between two of ``ends`` the first smallest is true at each point."""
+    best = np.stack([near[at:end].min(axis=0) for at, end in zip(ends, ends[1:], strict=False)])
+    hot = near == np.repeat(best, np.diff(ends), axis=0)
+    if np.count_nonzero(hot) > best.size:
+        for at, end in zip(ends, ends[1:], strict=False):
+            hot[at:end] &= np.cumsum(hot[at:end], axis=0) == 1
+    return hot
+
+
+def _second(near: np.ndarray) -> np.ndarray:
+    """Whether the second of two lines is the smaller one."""
+    return near[1] < near[0]
+
+
+def _ends(tables: Sequence[np.ndarray]) -> np.ndarray:
+    return np.cumsum([0, *map(len, tables)])
+
+
 # ---------------------------------------------------------------- models
 @dataclass
 class Leaf:
@@ -115,7 +160,7 @@ class Model:
 
     def predict(self, points: np.ndarray) -> np.ndarray:
         if self.tree is None:
-            return _near(points, self.centres).argmin(axis=1)
+            return _near(points, self.centres).argmin(axis=0)
         own = np.zeros(len(points), int)
         left = [(self.tree, np.arange(len(points)))]
         while left:
@@ -123,7 +168,7 @@ class Model:
             if isinstance(node, Leaf):
                 own[rows] = node.number
                 continue
-            side = _near(points[rows], node.centres).argmin(axis=1)
+            side = _second(_near(points[rows], node.centres)).astype(int)
             left += [(child, rows[side == at]) for at, child in enumerate(node.sides) if child is not None]
         return own
 
@@ -141,6 +186,160 @@ class Model:
         return df.withColumn(out, cluster(vector_to_array(F.col(self.features))))
 
 
+# ---------------------------------------------------------------- starting centres
+def _hash32(data: bytes, seed: int) -> int:
+    """MurmurHash3 of bytes, a multiple of four."""
+    mask, h = 0xFFFFFFFF, seed
+    for (k,) in struct.iter_unpack("<I", data):
+        k = k * 0xCC9E2D51 & mask
+        k = (k << 15 | k >> 17) * 0x1B873593 & mask
+        h ^= k
+        h = ((h << 13 | h >> 19) & mask) * 5 + 0xE6546B64 & mask
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    return h ^ h >> 16
+
+
+def _state(seed: int) -> int:
+    """What Spark's ``XORShiftRandom`` begins with."""
+    data = struct.pack(">q", seed)
+    low = _hash32(data, 0x3C074A61)
+    return _hash32(data, low) << 32 | low
+
+
+def _shift(states: np.ndarray) -> np.ndarray:
+    states = states ^ (states << np.uint64(21))
+    states ^= states >> np.uint64(35)
+    return states ^ (states << np.uint64(4))
+
+
+def _turn(images: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """States after as many shifts as ``images`` stand for: the images of the 64 bits."""
+    bits = (states[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    return np.bitwise_xor.reduce(np.where(bits.astype(bool), images, np.uint64(0)), axis=1)
+
+
+@cache
+def _jumps() -> list[np.ndarray]:
+    """Images of the bits after 1, 2, 4, ... shifts."""
+    found = [_shift(np.uint64(1) << np.arange(64, dtype=np.uint64))]
+    while len(found) < 48:
+        found.append(_turn(found[-1], found[-1]))
+    return found
+
+
+def draws(seed: int, before: int, count: int) -> np.ndarray:
+    """Doubles that Spark's ``XORShiftRandom`` draws after the first ``before`` ones."""
+    jumps, lane = _jumps(), 4
+    states = np.array([_state(seed)], np.uint64)
+    for at in range((2 * before).bit_length()):
+        if 2 * before >> at & 1:
+            states = _turn(jumps[at], states)
+    # Lanes of 16 shifts advance side by side.
+    while len(states) << 4 < 2 * count:
+        states, lane = np.concatenate([states, _turn(jumps[lane], states)]), lane + 1
+    lanes = []
+    for _ in range(16):
+        states = _shift(states)
+        lanes.append(states)
+    row = np.stack(lanes, axis=1).ravel()[: 2 * count]
+    high, low = row[0::2] & np.uint64((1 << 26) - 1), row[1::2] & np.uint64((1 << 27) - 1)
+    return ((high << np.uint64(27)) + low).astype(float) * 2.0**-53
+
+
+def first_seed(seed: int) -> int:
+    """The first whole number drawn, which Spark's initialisation draws everything from."""
+    found = int(_shift(np.array([_state(seed)], np.uint64))[0]) & 0xFFFFFFFF
+    return found - (1 << 32) if found >> 31 else found
+
+
+def _apart(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, a line per centre."""
+    lengths, own = np.square(points).sum(axis=1), np.square(centres).sum(axis=1)
+    found = -2 * centres @ points.T
+    found += lengths
+    found += own[:, None]
+    centre, row = np.nonzero(found < CLOSE * (lengths + own.max()))
+    for at in range(0, len(row), BLOCK_ROWS):
+        one, other = centre[at : at + BLOCK_ROWS], row[at : at + BLOCK_ROWS]
+        found[one, other] = np.square(points[other] - centres[one]).sum(axis=1)
+    return found
+
+
+@dataclass
+class Candidates:
+    """Points taken at one width, and which of them each of the fits took, in their order."""
+
+    ks: np.ndarray
+    points: np.ndarray
+    taken: list[list[int]]
+
+    def costs(self, block: np.ndarray) -> np.ndarray:
+        """Per fit the rows' squared distances to the nearest point taken."""
+        apart = _apart(block[:, : self.points.shape[1]], self.points)
+        return np.stack([apart[own].min(axis=0) for own in self.taken])
+
+    def drop_copies(self) -> None:
+        for at, own in enumerate(self.taken):
+            first: dict[tuple, int] = {}
+            for i in own:
+                first.setdefault(tuple(self.points[i].tolist()), i)
+            self.taken[at] = list(first.values())
+
+
+def starting_centres_together(
+    blocks: RDD, first: np.ndarray, sizes: Mapping[int, Sequence[int]], seed: int,
+    settle: Callable[[np.ndarray, np.ndarray, int], np.ndarray],
+) -> dict[tuple[int, int], np.ndarray]:
+    """The centres Spark's k-means begins with, for numbers of clusters by width.
+
+    Spark takes points at random, in proportion to their distance from those taken before, each
+    row with a number drawn for its partition and place. The numbers do not depend on the fit,
+    so all fits take their points in the same passes. ``first`` is the point all begin with;
+    ``settle`` makes centres of points and the numbers of rows nearest to them.
+    """
+    found = {
+        width: Candidates(np.array(list(ks)), first[None, :width], [[0] for _ in ks]) for width, ks in sizes.items()
+    }
+    for turn in range(START_ROUNDS):
+        known = list(found.values())
+        whole = add_up(blocks, lambda b: [c.costs(b).sum(axis=1) for c in known])  # noqa: B023
+
+        def take(part: Iterable[Block], turn=turn, known=known, whole=whole) -> Iterator[tuple]:
+            for block in part:
+                drawn = draws(seed ^ (turn << 16) ^ block.part, block.before, len(block.points))
+                for at, (own, total) in enumerate(zip(known, whole, strict=True)):
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        hit = drawn < 2.0 * own.costs(block.points) * own.ks[:, None] / total[:, None]
+                    for row in np.flatnonzero(hit.any(axis=0)):
+                        point = block.points[row, : own.points.shape[1]].copy()
+                        yield block.part, block.before + int(row), at, hit[:, row].copy(), point
+
+        for *_, at, hit, point in sorted(blocks.mapPartitions(take).collect(), key=lambda line: line[:3]):
+            own = known[at]
+            for fit in np.flatnonzero(hit):
+                own.taken[fit].append(len(own.points))
+            own.points = np.concatenate([own.points, point[None]])
+    for own in found.values():
+        own.drop_copies()
+
+    def count(block: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for own in found.values():
+            apart = _apart(block[:, : own.points.shape[1]], own.points)
+            out += [_hot(apart[taken], np.array([0, len(taken)])).sum(axis=1) for taken in own.taken]
+        return out
+
+    weights = iter(add_up(blocks, count))
+    starts = {}
+    for width, own in found.items():
+        for k, taken in zip(own.ks.tolist(), own.taken, strict=True):
+            points, near = own.points[taken], next(weights)
+            starts[width, k] = points if len(points) <= k else settle(points, near.astype(float), k)
+    return starts
+
+
 # ---------------------------------------------------------------- k-means
 @dataclass
 class Moving:
@@ -260,47 +459,67 @@ class Bisection:
         return Model(np.array(leaves), tree, all(done[name].still for name in self.splits.values()), features)
 
 
-def _side(name: tuple, forks: Mapping[tuple, np.ndarray], near: Mapping[tuple, np.ndarray], known: dict) -> np.ndarray:
-    """For each row the side of a split it lies on, or -1 if the split is not of its cluster."""
+def _rows_of(name: tuple, second: Mapping[tuple, np.ndarray], known: dict) -> np.ndarray:
+    """Which rows belong to the cluster that a split divides."""
     if name not in known:
         parent, own = name[0], name[1]
-        side = near[name].argmin(axis=1)
-        known[name] = side if not parent else np.where(_side(parent, forks, near, known) == own, side, -1)
+        inside = second[parent] if own else ~second[parent]
+        known[name] = inside & _rows_of(parent, second, known) if parent[0] else inside
     return known[name]
 
 
 def _one_step(free: list[np.ndarray], wanted: list[tuple], forks: dict[tuple, np.ndarray]) -> Callable[[np.ndarray], list[np.ndarray]]:
     """Per block the sums of one, squared length and coordinates per centre of each fit."""
-    tables = [*free, *forks.values()]
-    every = np.concatenate(tables)
-    ends = np.cumsum([len(t) for t in tables])[:-1]
+    plans = []
+    for width in sorted({c.shape[1] for c in [*free, *forks.values()]}):
+        moving = [at for at, c in enumerate(free) if c.shape[1] == width]
+        names = [name for name, c in forks.items() if c.shape[1] == width]
+        split = [at for at, name in enumerate(wanted) if forks[name].shape[1] == width]
+        tables = [*(free[at] for at in moving), *(forks[name] for name in names)]
+        places = [*moving, *(len(free) + at for at in split)]
+        parts = np.cumsum([*(len(free[at]) for at in moving), *(2 for _ in split)])[:-1]
+        ends = _ends(tables[: len(moving)])
+        plans.append((width, names, [wanted[at] for at in split], places, np.concatenate(tables), ends, parts))
 
     def step(block: np.ndarray) -> list[np.ndarray]:
-        cells = np.column_stack([np.ones(len(block)), np.square(block).sum(axis=1), block])
-        near = np.split(_near(block, every), ends, axis=1)
-        owns = [n.argmin(axis=1) for n in near[: len(free)]]
-        sides, known = dict(zip(forks, near[len(free) :], strict=True)), {}
-        owns += [_side(name, forks, sides, known) for name in wanted]
-        sizes = [len(t) for t in free] + [2] * len(wanted)
-        hot = np.concatenate([own[:, None] == np.arange(k) for own, k in zip(owns, sizes, strict=True)], axis=1)
-        sums = hot.astype(float).T @ cells
-        return np.split(sums, np.cumsum(sizes)[:-1])
+        out: list[np.ndarray] = [np.empty(0)] * (len(free) + len(wanted))
+        cells, squares = np.empty((len(block), 2 + block.shape[1]), order="F"), np.square(block)
+        cells[:, 0], cells[:, 2:] = 1.0, block
+        for width, names, split, places, every, ends, parts in plans:
+            cells[:, 1] = squares[:, :width].sum(axis=1)
+            near = _near(block[:, :width], every)
+            hot = [_hot(near[: ends[-1]], ends)] if len(ends) > 1 else []
+            pairs = near[ends[-1] :].reshape(len(names), 2, len(block))
+            second, known = {name: _second(pair) for name, pair in zip(names, pairs, strict=True)}, {}
+            for name in split:
+                inside = _rows_of(name, second, known) if name[0] else np.ones(len(block), bool)
+                hot.append(np.stack([inside & ~second[name], inside & second[name]]))
+            sums = np.split(np.concatenate(hot).astype(float) @ cells[:, : 2 + width], parts)
+            for at, own in zip(places, sums, strict=True):
+                out[at] = own
+        return out
 
     return step
 
 
 def fit_together(
     blocks: RDD, starts: Mapping[object, np.ndarray], bisecting: Mapping[object, int], seed: int,
-    features: str, partitions: int,
+    features: str, partitions: int, widths: Mapping[object, int] | None = None,
 ) -> dict[object, Model]:
-    """K-means from each of ``starts`` and bisecting fits of the sizes given, by their names."""
+    """K-means from each of ``starts`` and bisecting fits of the sizes given, by their names.
+
+    ``widths`` tells how many coordinates a bisecting fit sees; without it all.
+    """
     free = {name: Moving(centres) for name, centres in starts.items()}
     splits: dict[tuple, Moving] = {}
     fits: dict[object, Bisection] = {}
     if bisecting:
-        whole = add_up(blocks, lambda b: [np.concatenate([[len(b)], [np.square(b).sum()], b.sum(axis=0)])])[0]
-        noise = Noise(seed, len(whole) - 2)
-        fits = {name: Bisection(k, partitions, {1: _part(ROOT, whole)}, k - 1) for name, k in bisecting.items()}
+        size, squares, totals = add_up(blocks, lambda b: [np.array(len(b)), np.square(b).sum(axis=0), b.sum(axis=0)])
+        width_of = {name: (widths or {}).get(name, len(totals)) for name in bisecting}
+        noise = {width: Noise(seed, width) for width in width_of.values()}
+        # The first split has no side it lies on; its width stands there.
+        roots = {w: _part(((), w), np.concatenate([[size, squares[:w].sum()], totals[:w]])) for w in noise}
+        fits = {name: Bisection(k, partitions, {1: roots[width_of[name]]}, k - 1) for name, k in bisecting.items()}
     plans: dict[object, dict[int, tuple]] = {}
     while True:
         if all(m.ended for m in splits.values()):
@@ -313,7 +532,7 @@ def fit_together(
                 fit.ended = not plans[name]
                 for i, split in plans[name].items():
                     centre = fit.active[i].centre
-                    apart = 1e-4 * float(np.linalg.norm(centre)) * noise.draw(split[2])
+                    apart = 1e-4 * float(np.linalg.norm(centre)) * noise[len(centre)].draw(split[2])
                     splits.setdefault(split, Moving(np.array([centre - apart, centre + apart])))
         moving = [m for m in free.values() if not m.ended]
         wanted = [name for name, m in splits.items() if not m.ended]
@@ -338,22 +557,165 @@ def fit_together(
 
 
 # ---------------------------------------------------------------- scores
+def _assigner(models: Sequence[Model]) -> Callable[[np.ndarray], np.ndarray]:
+    """For points a line per cluster of each model: whether a row belongs to it."""
+    flat = [m.centres for m in models if m.tree is None]
+    forks: dict[int, tuple[int, np.ndarray]] = {}
+
+    def numbered(node: Fork | Leaf | None) -> tuple | int:
+        # Models share the centres of splits they have in common.
+        if not isinstance(node, Fork):
+            return node.number if node else 0
+        number, _ = forks.setdefault(id(node.centres), (len(forks), node.centres))
+        return number, *map(numbered, node.sides)
+
+    trees = [(len(m.centres), m.tree and numbered(m.tree)) for m in models]
+    count, ends = len(forks), _ends(flat)
+    every = [*flat, *(centres for _, centres in forks.values())]
+    table = np.concatenate(every) if every else np.empty((0, models[0].centres.shape[1]))
+
+    def run(points: np.ndarray) -> np.ndarray:
+        near = _near(points, table)
+        hot = iter(np.split(_hot(near[: ends[-1]], ends), ends[1:-1]) if flat else [])
+        second = [_second(pair) for pair in near[ends[-1] :].reshape(count, 2, len(points))]
+
+        def fill(node: tuple | int, inside: np.ndarray, lines: np.ndarray) -> None:
+            if isinstance(node, tuple):
+                number, first, other = node
+                fill(first, inside & ~second[number], lines)
+                fill(other, inside & second[number], lines)
+            else:
+                lines[node] |= inside
+
+        out = []
+        for size, tree in trees:
+            if tree is None:
+                out.append(next(hot))
+                continue
+            lines = np.zeros((size, len(points)), bool)
+            fill(tree, np.ones(len(points), bool), lines)
+            out.append(lines)
+        return np.concatenate(out)
+
+    return run
+
+
 def block_scores(blocks: RDD, models: Mapping[object, Model]) -> dict[object, Scores]:
-    """Silhouette, cost and cluster sizes of every model, in two passes over the blocks."""
+    """Silhouette, cost and cluster sizes of every model, in two passes over the blocks.
+
+    Points and centres are taken less a point among the centres, so that sums do not lose
+    digits where all lie far from the origin.
+    """
     if not models:
         return {}
-    every = list(models.values())
-    tables = add_up(blocks, lambda b: [cluster_table(b, m.predict(b), m.centres) for m in every])
-    several = [(m, t) for m, t in zip(every, tables, strict=True) if (t[:, 0] > 0).sum() > 1]
-    sums: list[float] = []
-    if several:
-        score = lambda b: [np.array([silhouette_sum(b, m.predict(b), t) for m, t in several])]
-        sums = add_up(blocks, score)[0].tolist()
-    left = iter(sums)
-    return {
-        name: Scores(
-            next(left) / float(table[:, 0].sum()) if (table[:, 0] > 0).sum() > 1 else None,
-            float(table[:, 2].sum()), [int(n) for n in table[:, 0]], model.converged,
-        )
-        for (name, model), table in zip(models.items(), tables, strict=True)
-    }
+    names: dict[int, list[object]] = {}
+    for name, model in models.items():
+        names.setdefault(model.centres.shape[1], []).append(name)
+    own = {width: [models[name] for name in there] for width, there in names.items()}
+    assign = {width: _assigner(there) for width, there in own.items()}
+    ends = {width: _ends([m.centres for m in there]) for width, there in own.items()}
+    middle = own[max(own)][0].centres.mean(axis=0)
+
+    def sums(block: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for width, assigned in assign.items():
+            points = block[:, :width] - middle[:width]
+            cells = np.empty((len(points), 2 + width), order="F")
+            cells[:, 0], cells[:, 1], cells[:, 2:] = 1.0, np.square(points).sum(axis=1), points
+            out.append(assigned(block[:, :width]).astype(float) @ cells)
+        return out
+
+    tables = dict(zip(assign, add_up(blocks, sums), strict=True))
+
+    def scored(block: np.ndarray) -> list[np.ndarray]:
+        return [
+            silhouette_sums(block[:, :width] - middle[:width], assigned(block[:, :width]), tables[width], ends[width])
+            for width, assigned in assign.items()
+        ]
+
+    scores = {}
+    for (width, there), found in zip(own.items(), add_up(blocks, scored), strict=True):
+        parts = np.split(tables[width], ends[width][1:-1])
+        for name, model, table, score in zip(names[width], there, parts, found.tolist(), strict=True):
+            sizes, centres = table[:, 0], model.centres - middle[:width]
+            apart = table[:, 1] - 2 * (centres * table[:, 2:]).sum(axis=1) + sizes * np.square(centres).sum(axis=1)
+            scores[name] = Scores(
+                score / float(sizes.sum()) if (sizes > 0).sum() > 1 else None,
+                float(np.maximum(apart, 0.0).sum()), [int(n) for n in sizes], model.converged,
+            )
+    return {name: scores[name] for name in models}
+
+
+# ---------------------------------------------------------------- fits on leading coordinates
+@dataclass
+class Points:
+    """Rows that fits are asked of, on any number of their leading coordinates."""
+
+    rows: DataFrame
+    features: str
+    seed: int
+    blocks: RDD
+    asked: list[tuple[int, str, int]] = field(default_factory=list)
+
+    def leading(self, width: int) -> Leading:
+        return Leading(self, width)
+
+    def _first(self, seed: int) -> np.ndarray:
+        """The row Spark's initialisation begins with, taken by Spark."""
+        sample = self.rows.select(self.features)._jdf.toJavaRDD().takeSample(False, 1, seed)
+        if not len(sample):
+            raise ValueError("there are no rows to cluster")
+        return np.array(list(sample[0].get(0).toArray()), float)
+
+    def _settle(self, points: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+        """Centres among few weighted points, by the steps of Spark on its driver."""
+        context = self.rows.sparkSession.sparkContext
+        jvm, gateway = context._jvm, context._gateway
+        local = jvm.org.apache.spark.mllib.clustering
+        lines, sizes = gateway.new_array(local.VectorWithNorm, len(points)), gateway.new_array(jvm.double, len(points))
+        for at, (point, weight) in enumerate(zip(points.tolist(), weights.tolist(), strict=True)):
+            values = gateway.new_array(jvm.double, len(point))
+            for place, value in enumerate(point):
+                values[place] = value
+            lines[at] = local.VectorWithNorm(jvm.org.apache.spark.mllib.linalg.Vectors.dense(values))
+            sizes[at] = weight
+        centres = local.LocalKMeans.kMeansPlusPlus(0, lines, sizes, k, START_STEPS)
+        return np.array([list(c.vector().toArray()) for c in centres], float)
+
+    def fitted(self) -> tuple[dict[tuple, Model], dict[tuple, Scores]]:
+        """Models and scores of all fits asked for, by width, algorithm and k."""
+        sizes: dict[int, list[int]] = {}
+        for width, algorithm, k in self.asked:
+            if algorithm == "kmeans":
+                sizes.setdefault(width, []).append(k)
+        free = {}
+        if sizes:
+            seed = first_seed(self.seed)
+            found = starting_centres_together(self.blocks, self._first(seed), sizes, seed, self._settle)
+            free = {(width, "kmeans", k): centres for (width, k), centres in found.items()}
+        halved = {asked: asked[2] for asked in self.asked if asked[1] == "bisecting"}
+        widths = {asked: asked[0] for asked in halved}
+        partitions = self.rows.rdd.getNumPartitions()
+        models = fit_together(self.blocks, free, halved, self.seed, self.features, partitions, widths)
+        return models, block_scores(self.blocks, models)
+
+
+@dataclass
+class Leading:
+    """The first coordinates of points."""
+
+    points: Points
+    width: int
+
+    def ask(self, algorithm: str, k: int) -> None:
+        if algorithm not in ("kmeans", "bisecting"):
+            raise ValueError(f"unknown algorithm {algorithm!r}")
+        if k < 2:
+            raise ValueError(f"{k} clusters asked of a fit, which has two or more")
+        self.points.asked.append((self.width, algorithm, k))
+
+
+@contextmanager
+def points_of(rows: DataFrame, features: str, seed: int) -> Iterator[Points]:
+    with blocks_of(rows, features) as blocks:
+        yield Points(rows, features, seed, blocks)

@@ -69,6 +69,32 @@ def silhouette_sum(points: np.ndarray, own: np.ndarray, table: np.ndarray) -> fl
     return float(score.sum())
 
 
+def silhouette_sums(points: np.ndarray, hot: np.ndarray, table: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same sums for many models, whose clusters are the lines between two of ``ends``.
+
+    ``hot`` tells which rows belong to a cluster; ``table`` has its sums of one, squared length
+    and coordinates.
+    """
+    n, squares, totals = table[:, 0], table[:, 1], table[:, 2:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = (-2 / n)[:, None] * totals @ points.T
+        mean += np.square(points).sum(axis=1)
+        mean += (squares / n)[:, None]
+        mean[n == 0] = 0.0
+        factor = np.where(n > 1, n / (n - 1), 0.0)
+        score = []
+        for at, end in zip(ends, ends[1:], strict=False):
+            apart, own = mean[at:end], hot[at:end]
+            inner = (own * factor[at:end, None] * apart).sum(axis=0)
+            apart[own] = np.inf
+            apart[n[at:end] == 0] = np.inf
+            outer = apart.min(axis=0)
+            larger = np.maximum(inner, outer)
+            none = (larger == 0) | own[n[at:end] == 1].any(axis=0)
+            score.append(np.where(none, 0.0, (outer - inner) / larger).sum())
+    return np.array(score)
+
+
 def cluster_sums(rows: DataFrame, centres: Mapping[str, np.ndarray]) -> DataFrame:
     """Per model and cluster: ``sums`` of one, squared length, squared distance and coordinates.
 

@@ -7,9 +7,10 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clusters as CL
+from cohortlens.operators import features as FE
 from cohortlens.operators import fits
 from cohortlens.operators.scores import model_scores
-from cohortlens.sources.scratch import cached
+from cohortlens.sources.scratch import cached, checkpointed
 
 
 def _laid(spark, partitions, rows=400, width=6):
@@ -103,3 +104,52 @@ def test_many_rows_are_started_one_fit_at_a_time(spark, monkeypatch, copies, mos
     monkeypatch.setattr(CL, "starting_centres", start)
     assert [line[:6] for line, _ in CL.fitted_settings(laid, ["kmeans"], (2, 3, 5))] == wanted
     assert max(seen) <= most
+
+
+def test_numbers_drawn_are_those_of_spark(spark):
+    random = spark._jvm.org.apache.spark.util.random.XORShiftRandom
+    for seed in (42, -7, 1 << 40):
+        drawn = random(seed)
+        wanted = [drawn.nextDouble() for _ in range(150)]
+        assert fits.draws(seed, 0, 150).tolist() == wanted
+        assert fits.draws(seed, 131, 19).tolist() == wanted[131:]
+        assert fits.first_seed(seed) == random(seed).nextInt()
+
+
+def test_starting_centres_of_all_sizes_are_those_of_spark(spark, monkeypatch):
+    monkeypatch.setattr(fits, "BLOCK_ROWS", 64)
+    few = [(i, Vectors.dense([i % 3, 1.0, 0.0])) for i in range(50)]
+    for laid, sizes in ((_laid(spark, 3), (2, 6)), (CL.stable_layout(spark.createDataFrame(few, ["id", "pca"]), "id", ["pca"], 70), (1, 3))):
+        asked, seed = {size: [2, 3, 7] for size in sizes}, fits.first_seed(CL.SEED)
+        with fits.points_of(laid, "pca", CL.SEED) as points:
+            found = fits.starting_centres_together(points.blocks, points._first(seed), asked, seed, points._settle)
+        for size in sizes:
+            reduced = FE.leading(laid, "pca", "x", size).select("x")
+            for k in asked[size]:
+                assert found[size, k].tolist() == CL.starting_centres(reduced, "kmeans", k, "x").tolist()
+
+
+def test_a_grid_makes_the_fits_of_all_sizes_together(spark, monkeypatch):
+    """Each number of components was a sweep: its points were held, started and passed over again."""
+    laid = _laid(spark, 4)
+    passes, add_up = [], fits.add_up
+    monkeypatch.setattr(fits, "add_up", lambda *a: passes.append(1) or add_up(*a))
+    monkeypatch.setattr(CL, "stable_layout", lambda df, *a: checkpointed(df.select("id", "_components")))
+    found = CL.grid({"all": lambda: laid}, "id", [2, 4, 5], range(2, 6), partitions=4, scaled="pca").collect()
+    assert len(found) == 24 and len(passes) <= 3 * fits.MAX_STEPS + 6
+    turned = FE.fit_pca(laid, 5, "pca", "_components").transform(laid)
+    for size in (2, 4, 5):
+        alone = CL.sweep(FE.leading(turned, "_components", "x", size), ks=range(2, 6), features="x").collect()
+        own = [line for line in found if line.k_pca == size]
+        for a, b in zip(own, alone, strict=True):
+            assert (a.algorithm, a.k, a.error) == (b.algorithm, b.k, None)
+            assert a.cost == pytest.approx(b.cost, rel=1e-9) and a.silhouette == pytest.approx(b.silhouette, rel=1e-9)
+
+
+def test_scores_far_from_the_origin(spark):
+    far = [(i, Vectors.dense([1e6 + i % 2 * 8 + i / 100, -1e6 + i % 5])) for i in range(40)]
+    laid = CL.stable_layout(spark.createDataFrame(far, ["id", "pca"]), "id", ["pca"], 2)
+    near = [(i, Vectors.dense([v[0] - 1e6, v[1] + 1e6])) for i, v in far]
+    moved = CL.stable_layout(spark.createDataFrame(near, ["id", "pca"]), "id", ["pca"], 2)
+    (a, _), (b, _) = (CL.fitted_settings(rows, ["kmeans"], [2])[0] for rows in (laid, moved))
+    assert a.cost == pytest.approx(b.cost, rel=1e-8) and a.silhouette == pytest.approx(b.silhouette, rel=1e-8)
