@@ -20,7 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Row
+from pyspark.serializers import NoOpSerializer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.scores import Scores, silhouette_sums
@@ -54,6 +55,7 @@ def blocks_of(df: DataFrame, features: str) -> Iterator[RDD]:
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
         for batch in batches:
             lists = batch.column(0)
             values = lists.flatten()
@@ -64,31 +66,33 @@ def blocks_of(df: DataFrame, features: str) -> Iterator[RDD]:
                 raise ValueError("vectors with values that are not finite cannot be clustered")
             for at in range(0, len(points), BLOCK_ROWS):
                 part = points[at : at + BLOCK_ROWS]
-                arrays = [pa.array([part.shape[1]], pa.int32()), pa.array([part.tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["width", "data"])
-
-    packed = df.select(vector_to_array(F.col(features)).alias("point")).mapInArrow(pack, "width int, data binary")
-
-    def place(part: int, rows: Iterable[Row]) -> Iterator[Block]:
-        before = 0
-        for row in rows:
-            points = np.frombuffer(bytes(row[1])).reshape(-1, row[0])
-            # Coordinate by coordinate: a few leading ones then lie together.
-            yield Block(part, before, np.asfortranarray(points))
-            before += len(points)
-
-    whole = packed.rdd.mapPartitionsWithIndex(place).persist(StorageLevel.MEMORY_AND_DISK)
+                head = np.array([batch.column(1)[0].as_py(), before, part.shape[1]])
+                before += len(part)
+                # Coordinate by coordinate: a few leading ones then lie together.
+                yield pa.RecordBatch.from_arrays([pa.array([head.tobytes() + part.tobytes("F")], pa.binary())], names=["data"])
+
+    spark = df.sparkSession
+    rows = df.select(vector_to_array(F.col(features)).alias("point"), F.spark_partition_id().alias("part"))
+    binary = spark._jvm.org.apache.spark.sql.Encoders.BINARY()
+    packed = getattr(rows.mapInArrow(pack, "data binary")._jdf, "as")(binary).toJavaRDD()
+    # The bytes go to the tasks as they are held.
+    whole = RDD(packed, spark.sparkContext, NoOpSerializer()).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     held = whole
     try:
-        size = whole.map(lambda block: block.points.nbytes).sum()
+        size = whole.map(len).sum()
         # Passes over few rows should not be many tasks.
-        wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+        wanted = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
         held = whole.coalesce(int(wanted)) if wanted < whole.getNumPartitions() else whole
-        yield held
+        yield held.map(_block)
     finally:
         whole.unpersist()
 
 
+def _block(data: bytes) -> Block:
+    part, before, width = np.frombuffer(data, np.int64, 3).tolist()
+    return Block(part, before, np.frombuffer(data, float, offset=24).reshape(width, -1).T)
+
+
 def add_up(blocks: RDD, step: Callable[[np.ndarray], list[np.ndarray]]) -> list[np.ndarray]:
     """The sums of what ``step`` finds in each block; the driver gets one list per task."""
 

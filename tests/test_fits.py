@@ -153,3 +153,18 @@ def test_scores_far_from_the_origin(spark):
     moved = CL.stable_layout(spark.createDataFrame(near, ["id", "pca"]), "id", ["pca"], 2)
     (a, _), (b, _) = (CL.fitted_settings(rows, ["kmeans"], [2])[0] for rows in (laid, moved))
     assert a.cost == pytest.approx(b.cost, rel=1e-8) and a.silhouette == pytest.approx(b.silhouette, rel=1e-8)
+
+
+def test_blocks_tell_where_their_rows_lie(spark, monkeypatch):
+    """They are views on the bytes that are held; each pass made copies of them before."""
+    monkeypatch.setattr(fits, "BLOCK_ROWS", 7)
+    laid = _laid(spark, 20)
+    wanted = {}
+    for part, row in laid.select(F.spark_partition_id(), "pca").collect():
+        wanted.setdefault(part, []).append(row.toArray().tolist())
+    with fits.blocks_of(laid, "pca") as blocks:
+        assert blocks.getNumPartitions() < 20
+        found, copied = blocks.collect(), blocks.map(lambda b: b.points.flags.owndata).collect()
+    for part, before, points in found:
+        assert points.tolist() == wanted[part][before : before + 7]
+    assert sum(len(b.points) for b in found) == 400 and not any(copied)
